@@ -1,4 +1,4 @@
-"""The queries of this subpackage: each applies one operator to its whole table."""
+"""The queries of this subpackage: each applies one operator to its whole table, and its SQL where there is one."""
 
 from __future__ import annotations
 
@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm.common import table
+from quotewright.llm.line_dedup import drop_spread_lines
 from quotewright.llm.lm_interpolation import interpolated_scores
+from quotewright.llm.mixing import mix_sources
 from quotewright.llm.packing import pack_documents
+from quotewright.llm.quality_model import classify
+from quotewright.llm.quality_rules import BOILERPLATE, clean_lines
+from quotewright.llm.revisit import TRACKING, resolve_revisits
 from quotewright.llm.simhash import simhash_groups
 from quotewright.llm.suffix_dedup import remove_repeats
+from quotewright.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,11 +47,188 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return clean_lines(table(spark, sf_dir, "documents")).select("doc_id", *counts)
+
+
+ORACLE_SQL["op3_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i : i + 4], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM w) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest(range(0, 5)) AS o) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+         list_filter(ls, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS f,
+         array_to_string(list_filter(ls, lambda x: NOT (
+             len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) > 0
+             AND (5 * len(regexp_extract_all(x, '[#*$%&|<>!{{}}~^=]')) > len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))
+                  OR NOT regexp_matches(x, '\p{{L}}')
+                  OR len(regexp_extract_all(x, ' [|»›·•] ')) >= 2
+                  OR regexp_matches(lower(x), '{"|".join(BOILERPLATE)}')))), chr(10)) AS clean
+  FROM d),
+b AS (
+  SELECT l.doc_id, n_words, word_chars, n_symbols, len(f) - len(list_distinct(f)) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, length(regexp_replace(clean, '[\x20\x09-\x0D]+', '', 'g')) AS left_chars
+  FROM l LEFT JOIN rep ON l.doc_id = rep.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_chars >= 0.5 * word_chars AS kept
+FROM b
+"""
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "source", "block", "release", "deadline", "slot")
+
+
+ORACLE_SQL["op4_mixing"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS source, ((doc_id % 2147483648) * 2654435761) % 4294967296 AS m FROM documents),
+b AS (SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY m, doc_id) - 1) // 4 AS block FROM d),
+w AS (SELECT source, sqrt(count(*)) AS weight FROM d GROUP BY source),
+e AS (SELECT source, greatest(1000, 4 * count(*) OVER ()) AS period,
+             weight / sum(weight) OVER () * (greatest(1000, 4 * count(*) OVER ()) - count(*) OVER ()) AS exact FROM w),
+s AS (SELECT source, period, CAST(floor(exact) AS BIGINT) + 1
+             + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, source)
+                         <= period - sum(CAST(floor(exact) AS BIGINT) + 1) OVER () THEN 1 ELSE 0 END AS share FROM e),
+i AS (SELECT source, period, CAST(share AS BIGINT) AS share, row_number() OVER (ORDER BY source) AS idx FROM s),
+a AS (SELECT list(share ORDER BY idx) AS a, CAST(max(period) AS BIGINT) AS period FROM i),
+sim(t, done, pick, k) AS (
+  SELECT CAST(0 AS BIGINT), list_transform(a, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM a
+  UNION ALL
+  SELECT t + 1, list_transform(range(1, len(done) + 1), lambda j: done[j] + CASE WHEN j = p THEN 1 ELSE 0 END), p, done[p]
+  FROM (SELECT t, done, list_min(list_transform(range(1, len(a) + 1), lambda j:
+                 CASE WHEN done[j] < a[j] AND (done[j] * period) // a[j] <= t
+                      THEN (((done[j] + 1) * period + a[j] - 1) // a[j]) * 1000000 + j END)) % 1000000 AS p
+        FROM sim, a WHERE t < period)),
+slots AS (SELECT i.source, i.share, i.period, sim.k, sim.t - 1 AS place FROM sim JOIN i ON i.idx = sim.pick WHERE sim.t > 0)
+SELECT b.doc_id, b.source, b.block,
+       b.block // share * period + (k * period) // share AS release,
+       b.block // share * period + ((k + 1) * period + share - 1) // share AS deadline,
+       b.block // share * period + place AS slot
+FROM b JOIN slots ON slots.source = b.source AND slots.k = b.block % slots.share
+"""
+
+
+@query
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+ORACLE_SQL["op5_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, p.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.v, p.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v p ON q.vec_id % 50 = 0 AND p.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_spread_lines(table(spark, sf_dir, "documents"), least_sites=8)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
+ORACLE_SQL["op6_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, source, i, ls[i] AS raw, regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
+  FROM (SELECT doc_id, source, ls, unnest(range(1, len(ls) + 1)) AS i
+        FROM (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents))),
+spread AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 8),
+k AS (
+  SELECT doc_id, count(*) AS n_lines, count(spread.line) AS hits,
+         coalesce(string_agg(CASE WHEN spread.line IS NULL THEN raw END, chr(10) ORDER BY i), '') AS kept
+  FROM l LEFT JOIN spread ON spread.line = l.line GROUP BY doc_id),
+f AS (SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, hits, kept, text,
+             coalesce(hits > 0 AND length(kept) >= 0.5 * length(text), FALSE) AS fits
+      FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id)
+SELECT doc_id, n_lines, CASE WHEN fits THEN hits ELSE 0 END AS n_removed,
+       length(CASE WHEN fits THEN kept ELSE text END) AS kept_chars, md5(CASE WHEN fits THEN kept ELSE text END) AS kept_md5
+FROM f
+"""
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """WARC records made from the pages: of each page a response and three revisits, two of them by another spelling
+    of its URL, one of these with another validator, one before the response."""
+    tag = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 16), F.lit('"'))
+    day = F.concat(F.lit("day "), (F.col("page_id") % 28).cast("string"))
+    rows = pages.select("page_id", "url", tag.alias("tag"), day.alias("day"), F.md5("html").alias("payload"), F.explode(F.array(*map(F.lit, range(4)))).alias("n"))
+    late = F.expr("page_id * 10 + CASE n WHEN 0 THEN 0 WHEN 1 THEN 15 WHEN 2 THEN 25 ELSE -5 END")
+    return rows.withColumn("ts", late).select(
+        (F.col("page_id") * 4 + F.col("n")).alias("record_id"),
+        F.expr("CASE n WHEN 1 THEN concat(url, '#again') WHEN 2 THEN replace(url, 'http:', 'https:') ELSE url END").alias("url"),
+        "ts",
+        F.expr("IF(n = 0, 'response', 'revisit')").alias("kind"),
+        F.expr("CASE n WHEN 0 THEN tag WHEN 1 THEN concat('W/', tag) WHEN 3 THEN '\"none\"' END").alias("etag"),
+        F.when(F.col("n") != 1, F.col("day")).alias("last_modified"),
+        F.expr(
+            """IF(n = 0, map('Content-Type', 'text/html', 'ETag', tag, 'Date', concat('t', ts)),
+                  map('Date', concat('t', ts), 'Content-Length', '0', 'Vary', 'Accept'))"""
+        ).alias("headers"),
+        F.when(F.col("n") == 0, F.col("payload")).alias("payload"),
+    )
+
+
+@query
+def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    headers = F.array_join(F.transform("headers", lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return resolved.select("record_id", "canonical_url", "ts", "resolved_id", "verdict", headers.alias("headers"), "payload")
+
+
+_HOST = r"regexp_replace(lower(regexp_extract(rest, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g')"
+_PATH = r"regexp_replace(regexp_extract(rest, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?]*([^?]*)', 1), '/+$', '')"
+_PARAMS = rf"""list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+               lambda p: p <> '' AND NOT regexp_matches(p, '{TRACKING}')))"""
+ORACLE_SQL["op7_revisits"] = rf"""
+WITH n AS (SELECT unnest([0, 1, 2, 3]) AS n),
+p AS (
+  SELECT page_id, n, '"' || substr(md5(html), 1, 16) || '"' AS tag, 'day ' || CAST(page_id % 28 AS VARCHAR) AS day, md5(html) AS body,
+         page_id * 10 + CASE n WHEN 0 THEN 0 WHEN 1 THEN 15 WHEN 2 THEN 25 ELSE -5 END AS ts,
+         regexp_replace(trim(CASE n WHEN 1 THEN url || '#again' WHEN 2 THEN replace(url, 'http:', 'https:') ELSE url END), '#.*$', '') AS rest
+  FROM pages, n),
+c AS (
+  SELECT page_id * 4 + n AS record_id, n, tag, day, body, ts,
+         {_HOST} || {_PATH} || CASE WHEN len({_PARAMS}) > 0 THEN '?' || array_to_string({_PARAMS}, '&') ELSE '' END AS canonical_url
+  FROM p),
+r AS (
+  SELECT v.record_id, v.n, v.canonical_url, v.ts, v.tag AS own_tag, v.day AS own_day,
+         a.record_id AS found, a.tag, a.day, a.body, a.ts AS found_ts,
+         row_number() OVER (PARTITION BY v.record_id ORDER BY a.ts DESC NULLS LAST, a.record_id DESC) AS nth
+  FROM c v LEFT JOIN c a ON a.n = 0 AND a.canonical_url = v.canonical_url AND a.ts < v.ts
+  WHERE v.n > 0),
+j AS (
+  SELECT *, CASE WHEN found IS NULL THEN 'no-response'
+                 WHEN n = 1 THEN CASE WHEN own_tag = tag THEN 'etag' ELSE 'mismatch' END
+                 WHEN n = 3 THEN 'mismatch'
+                 WHEN own_day = day THEN 'last-modified' ELSE 'mismatch' END AS verdict
+  FROM r WHERE nth = 1)
+SELECT record_id, canonical_url, ts, CASE WHEN verdict IN ('etag', 'last-modified') THEN found END AS resolved_id, verdict,
+       CASE WHEN verdict IN ('etag', 'last-modified') THEN 'content-type=text/html;date=t' || ts || ';etag=' || tag || ';vary=Accept'
+            ELSE 'content-length=0;date=t' || ts || ';vary=Accept' END AS headers,
+       CASE WHEN verdict IN ('etag', 'last-modified') THEN body END AS payload
+FROM j
+"""
+
+
 @query
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    docs = table(spark, sf_dir, "documents")
-    scored = interpolated_scores(docs, held_out)
+    scored = interpolated_scores(table(spark, sf_dir, "documents"), held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -53,3 +236,10 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), words=3, distance=2)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    judged = classify(table(spark, sf_dir, "documents"), trusted)
+    return judged.select("doc_id", "lang", "n_tokens", "log10_prob", "perplexity", "threshold", "kept")
