@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quotewright.llm.common import mix, pack, packed_texts, part_bytes, save, shards, text_bytes, unpack, unpacked_texts
 
 SEED = 32
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _VALUE = np.random.default_rng(41).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
 _MULTIPLIERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)]
 
@@ -46,8 +46,9 @@ def rolling(buf: np.ndarray, length: int) -> np.ndarray:
         if size > length:
             return mix(out)
         half = size // 2
-        power = power[: len(power) - half] * _MULTIPLIERS[k % 7] + (power[half:] ^ (power[half:] >> np.uint64(33)))
-        k += 1
+        longer = power[: len(power) - half] * _MULTIPLIERS[k % 7]
+        longer += power[half:]
+        power, k = longer, k + 1
 
 
 def runs(buf: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +73,8 @@ def runs(buf: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np
     own = anchor[whole]
     cut = np.flatnonzero(np.diff(own)) + 1
     first, last = whole[np.concatenate(([0], cut))], whole[np.concatenate((cut - 1, [len(whole) - 1]))]
-    return first, last, seeds[own[np.concatenate(([0], cut))]]
+    # the least hashes were chosen, so they are scattered anew
+    return first, last, mix(seeds[own[np.concatenate(([0], cut))]] * np.uint64(0xA0761D6478BD642F))
 
 
 def _segments(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
