@@ -1,10 +1,830 @@
-"""One query per operator, over the driver's tables, with the equivalent SQL."""
+"""One query per operator, over the driver's tables, with the equivalent SQL for DuckDB.
+
+The tables stand in for papers, records and registries: documents for papers with sections, lineitem and part for
+records, customer for two extractions of the same papers, orders for the registry, events for runs.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quotewright.functions.numbers import numbers_close, parse_int, parse_number
+from quotewright.functions.records import CHECKPOINT, EVIDENCE_FIELDS, RECORD, REGISTRY
+from quotewright.functions.text import (
+    ANCHOR_PATTERN,
+    METRIC_PATTERN,
+    MODEL_PATTERN,
+    estimated_tokens,
+    normalize_doi,
+    normalize_title,
+    paper_id_of,
+    record_id,
+    recovered_json,
+)
+from quotewright.operators import blocks, dedup, pairing, registry, repair, runs, screening, sheet, verify
+from quotewright.operators.sanity import sanity_flags
+from quotewright.sources import tei
+from quotewright.streaming.incremental import new_documents, run_available
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- papers: documents cut into title, abstract, sections and tables
+
+
+def papers(docs: DataFrame) -> DataFrame:
+    """First line title, second abstract, lines with bars tables, empty lines lost tables, the others sections.
+
+    Characters beyond ASCII become x, because the oracle's patterns know no others."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x00-\x7F]", "x")
+    rows = docs.select(F.col("doc_id").alias("paper_id"), F.split(text, "\n").alias("l"))
+    rest = F.slice("l", 3, F.greatest(F.size("l") - 2, F.lit(0)))
+    bar = lambda x: F.contains(x, F.lit(" | "))
+    return rows.select(
+        "paper_id",
+        F.get("l", F.lit(0)).alias("title"),
+        F.coalesce(F.get("l", F.lit(1)), F.lit("")).alias("abstract"),
+        F.transform(F.filter(rest, lambda x: ~bar(x) & (x != "")), lambda x: F.struct(F.lit("S").alias("header"), x.alias("text"))).alias("sections"),
+        F.transform(F.filter(rest, bar), lambda x: F.struct(F.lit("T").alias("label"), F.lit("c").alias("caption"), x.alias("text"))).alias("tables"),
+        F.transform(F.filter(rest, lambda x: x == ""), lambda x: F.lit("vazia")).alias("empty_table_labels"),
+    )
+
+
+BLOCKS_SQL = f"""
+p AS (SELECT doc_id AS paper_id, string_split(regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', 'x', 'g'), chr(10)) AS l FROM documents),
+parts AS (
+  SELECT paper_id, l[1] AS title, coalesce(l[2], '') AS abstract, l[3:] AS rest FROM p),
+b AS (
+  SELECT paper_id, list_concat(list_concat(list_concat(
+      [{{'kind': 'fixed', 'rendered': 'TITLE: ' || title || chr(10) || 'ABSTRACT: ' || abstract}}],
+      list_transform(list_filter(rest, lambda x: NOT contains(x, ' | ') AND x <> ''),
+                     lambda x: {{'kind': 'section', 'rendered': chr(10) || '=== SECTION: S ===' || chr(10) || x}})),
+      list_transform(list_filter(rest, lambda x: contains(x, ' | ')),
+                     lambda x: {{'kind': 'table', 'rendered': chr(10) || '=== TABLE: T - c ===' || chr(10) || x}})),
+      CASE WHEN len(list_filter(rest, lambda x: x = '')) > 0
+           THEN [{{'kind': 'warning', 'rendered': '{blocks.WARNING[0]}' || array_to_string(list_transform(list_filter(rest, lambda x: x = ''), lambda x: 'vazia'), '; ') || '{blocks.WARNING[1]}'}}]
+           ELSE [] END) AS bs
+  FROM parts),
+e AS (SELECT paper_id, unnest(range(0, len(bs))) AS block_pos, unnest(bs) AS b FROM b),
+s AS (
+  SELECT paper_id, block_pos, b.kind AS kind, b.rendered AS rendered, length(b.rendered) // 3 AS cost,
+         3.0 * len(regexp_extract_all(b.rendered, '(?i){METRIC_PATTERN}'))
+         + 2.0 * len(regexp_extract_all(b.rendered, '(?i){MODEL_PATTERN}'))
+         + 1.0 * len(regexp_extract_all(b.rendered, '(?i){ANCHOR_PATTERN}')) AS points,
+         len(regexp_extract_all(b.rendered, '[0-9]')) * 1.0 / greatest(length(b.rendered), 1) AS density
+  FROM e),
+scored AS (
+  SELECT paper_id, block_pos, kind, rendered, cost,
+         CASE WHEN kind IN ('fixed', 'warning') THEN CAST('Infinity' AS DOUBLE)
+              WHEN kind = 'table' THEN points * (1.0 + least(density * 10, 2.0)) ELSE CAST(points AS DOUBLE) END AS score
+  FROM s)"""
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT paper_id, CAST(block_pos AS INTEGER) AS block_pos, kind, round(CAST(score AS DOUBLE), 9) AS score, md5(rendered) AS digest FROM scored WHERE kind NOT IN ('fixed', 'warning')")
+def block_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks.segment(papers(table(spark, sf_dir, "documents"))).where(~F.col("kind").isin(*blocks.PINNED))
+    score = F.round(blocks.block_score(F.col("kind"), F.col("rendered")), 9)
+    return rows.select("paper_id", "block_pos", "kind", score.alias("score"), F.md5("rendered").alias("digest"))
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT kind, count(*) AS n_blocks, CAST(sum(cost) AS BIGINT) AS tokens, CAST(max(cost) AS INTEGER) AS most FROM scored GROUP BY kind")
+def block_token_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks.segment(papers(table(spark, sf_dir, "documents"))).withColumn("cost", estimated_tokens(F.col("rendered")))
+    return rows.groupBy("kind").agg(F.count("*").alias("n_blocks"), F.sum("cost").alias("tokens"), F.max("cost").alias("most"))
+
+
+@query(
+    f"""
+WITH RECURSIVE {BLOCKS_SQL},
+pinned AS (SELECT paper_id, length(string_agg(rendered, chr(10) ORDER BY block_pos)) // 3 AS used FROM scored WHERE kind IN ('fixed', 'warning') GROUP BY paper_id),
+o AS (SELECT paper_id, block_pos, cost, row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, block_pos) AS nth
+      FROM scored WHERE kind NOT IN ('fixed', 'warning')),
+fill(paper_id, nth, used, pos, taken) AS (
+  SELECT paper_id, CAST(0 AS BIGINT), used, CAST(-1 AS BIGINT), FALSE FROM pinned
+  UNION ALL
+  SELECT f.paper_id, o.nth, CASE WHEN f.used + o.cost <= 400 THEN f.used + o.cost ELSE f.used END, o.block_pos, f.used + o.cost <= 400
+  FROM fill f JOIN o ON o.paper_id = f.paper_id AND o.nth = f.nth + 1),
+used AS (SELECT paper_id, max(used) AS used_tokens FROM fill GROUP BY paper_id),
+w AS (SELECT s.paper_id, s.block_pos, s.rendered FROM scored s LEFT JOIN fill f ON f.paper_id = s.paper_id AND f.pos = s.block_pos
+      WHERE s.kind IN ('fixed', 'warning') OR f.taken)
+SELECT w.paper_id, CAST(count(*) AS INTEGER) AS n_blocks, CAST(any_value(used_tokens) AS INTEGER) AS used_tokens, md5(string_agg(rendered, chr(10) ORDER BY block_pos)) AS digest
+FROM w JOIN used ON used.paper_id = w.paper_id GROUP BY w.paper_id"""
+)
+def budget_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = blocks.select_window(blocks.segment(papers(table(spark, sf_dir, "documents"))), budget=400)
+    return chosen.select("paper_id", F.size("blocks").alias("n_blocks"), "used_tokens", F.md5("window").alias("digest"))
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT paper_id, length(string_agg(rendered, chr(10) ORDER BY block_pos)) AS n_chars, md5(string_agg(rendered, chr(10) ORDER BY block_pos)) AS digest FROM scored GROUP BY paper_id")
+def rendered_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = blocks.select_window(blocks.segment(papers(table(spark, sf_dir, "documents"))), budget=None)
+    return chosen.select("paper_id", F.length("window").cast("long").alias("n_chars"), F.md5("window").alias("digest"))
+
+
+@query(
+    f"""
+WITH {BLOCKS_SQL}
+SELECT p.paper_id, CASE WHEN trim(abstract) <> '' THEN 'abstract' ELSE 'full' END AS source,
+       md5(CASE WHEN trim(abstract) <> '' THEN abstract ELSE full_ END) AS digest
+FROM parts p JOIN (SELECT paper_id, string_agg(rendered, chr(10) ORDER BY block_pos) AS full_ FROM scored GROUP BY paper_id) f ON f.paper_id = p.paper_id"""
+)
+def screening_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = papers(table(spark, sf_dir, "documents"))
+    full = blocks.render(blocks.blocks_of(*(F.col(c) for c in ("title", "abstract", "sections", "tables", "empty_table_labels"))))
+    text = blocks.screening_text(F.col("abstract"), full)
+    return parsed.select("paper_id", F.when(text == F.col("abstract"), "abstract").otherwise("full").alias("source"), F.md5(text).alias("digest"))
+
+
+@query(
+    """
+WITH t AS (SELECT user_id AS paper_id, level, count(*) FILTER (WHERE event_type = 'purchase' AND event_id % 3 = level) AS n
+           FROM events, (SELECT unnest([0, 1, 2]) AS level) GROUP BY user_id, level),
+c AS (SELECT paper_id, coalesce(min(level) FILTER (WHERE n > 0), 2) AS level FROM t GROUP BY paper_id)
+SELECT c.paper_id, CAST(c.level AS INTEGER) AS fallback_level, CAST(t.n AS INTEGER) AS n_records FROM c JOIN t ON t.paper_id = c.paper_id AND t.level = c.level"""
+)
+def budget_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tries = table(spark, sf_dir, "events").select(F.col("user_id").alias("paper_id"), "event_id", "event_type", F.explode(F.array(*map(F.lit, range(3)))).alias("level"))
+    found = F.when((F.col("event_type") == "purchase") & (F.col("event_id") % 3 == F.col("level")), F.col("event_id"))
+    answers = tries.groupBy("paper_id", "level").agg(F.collect_list(found).alias("records"))
+    return blocks.climb_ladder(answers).select("paper_id", "fallback_level", F.size("records").alias("n_records"))
+
+
+# --- numbers and identifiers
+
+MONEY = """i AS (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS c FROM lineitem)"""
+
+
+def _locale_text() -> Column:
+    c, kind = F.col("c"), F.col("l_orderkey") % 8
+    whole, cents = F.expr("c div 100"), F.lpad((c % 100).cast("string"), 2, "0")
+    groups = lambda sep: F.concat(F.expr("c div 100000").cast("string"), F.lit(sep), F.lpad((whole % 1000).cast("string"), 3, "0"))
+    return (
+        F.when(kind == 0, F.concat(whole.cast("string"), F.lit("."), cents))
+        .when(kind == 1, F.concat(whole.cast("string"), F.lit(","), cents))
+        .when(kind == 2, F.concat(groups("."), F.lit(","), cents))
+        .when(kind == 3, F.concat(groups(","), F.lit("."), cents))
+        .when(kind == 4, F.concat(cents, F.lit("%")))
+        .when(kind == 5, F.concat(F.lit("AUC=0."), cents))
+        .when(kind == 6, groups("."))
+        .otherwise(F.concat(F.lit("Accuracy "), cents))
+    )
+
+
+@query(
+    f"""
+WITH {MONEY}
+SELECT l_orderkey, l_linenumber,
+       CASE l_orderkey % 8 WHEN 4 THEN (c % 100) / 100.0 WHEN 5 THEN (c % 100) / 100.0 WHEN 6 THEN CAST(c // 100 AS DOUBLE)
+            WHEN 7 THEN CASE WHEN c % 100 > 1 THEN (c % 100) / 100.0 ELSE CAST(c % 100 AS DOUBLE) END ELSE c / 100.0 END AS value,
+       l_orderkey % 8 = 4 AS is_percent,
+       CAST(round_even(CASE l_orderkey % 8 WHEN 4 THEN (c % 100) / 100.0 WHEN 5 THEN (c % 100) / 100.0 WHEN 6 THEN CAST(c // 100 AS DOUBLE)
+            WHEN 7 THEN CASE WHEN c % 100 > 1 THEN (c % 100) / 100.0 ELSE CAST(c % 100 AS DOUBLE) END ELSE c / 100.0 END, 0) AS BIGINT) AS whole
+FROM i"""
+)
+def numparse_locale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * 100).cast("long").alias("c"))
+    rows = rows.withColumn("raw", _locale_text()).withColumn("n", parse_number(F.col("raw")))
+    return rows.select("l_orderkey", "l_linenumber", "n.value", "n.is_percent", parse_int(F.col("raw")).alias("whole"))
+
+
+@query(
+    """
+WITH p AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS a, CAST(round(o_totalprice * 100) AS BIGINT) * (100 + o_orderkey % 10) // 100 AS b FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE abs(a / 100.0 - b / 100.0) / greatest(a / 100.0, b / 100.0, 1e-9) <= 0.05 END AS close FROM p"""
+)
+def numbers_close_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("a"))
+    rows = rows.withColumn("b", F.expr("a * (100 + o_orderkey % 10) div 100"))
+    text = lambda c, sep: F.concat(F.expr(f"{c} div 100").cast("string"), F.lit(sep), F.lpad(F.expr(f"{c} % 100").cast("string"), 2, "0"))
+    b = F.when(F.col("o_orderkey") % 11 == 0, "sem dado").otherwise(text("b", ","))
+    return rows.select("o_orderkey", numbers_close(text("a", "."), b).alias("close"))
+
+
+@query(
+    """
+WITH p AS (
+  SELECT page_id, url, CASE page_id % 4 WHEN 0 THEN ' HTTPS://DX.DOI.ORG/10.1/' || CAST(page_id AS VARCHAR) WHEN 1 THEN 'doi: 10.2/X' || CAST(page_id AS VARCHAR) END AS doi FROM pages),
+n AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(lower(trim(coalesce(doi, ''))), '^https?://(dx\\.)?doi\\.org/', ''), '^doi:\\s*', '')) AS doi,
+             regexp_replace(lower(url), '[^a-z0-9]', '', 'g') AS title FROM p)
+SELECT page_id, doi, title, CASE WHEN doi <> '' THEN 'doi:' || doi WHEN title <> '' THEN 'title:' || title END AS record_id,
+       regexp_replace(CASE WHEN doi <> '' THEN 'doi:' || doi WHEN title <> '' THEN 'title:' || title END, '[^a-zA-Z0-9._-]', '_', 'g') AS paper_id
+FROM n"""
+)
+def record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("page_id").cast("string")
+    doi = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit(" HTTPS://DX.DOI.ORG/10.1/"), key)).when(F.col("page_id") % 4 == 1, F.concat(F.lit("doi: 10.2/X"), key))
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", doi.alias("doi"))
+    own = record_id(F.col("doi"), F.col("url"))
+    return rows.select("page_id", normalize_doi(F.col("doi")).alias("doi"), normalize_title(F.col("url")).alias("title"), own.alias("record_id"), paper_id_of(own).alias("paper_id"))
+
+
+# --- sanity
+
+
+def _evidence(value: Column, quote: Column | None = None) -> Column:
+    quote = F.lit(None).cast("string") if quote is None else quote
+    return F.struct(value.cast("string").alias("value"), quote.alias("quote"), F.lit(None).cast("string").alias("source_section"))
+
+
+def record_of(**given: Column) -> Column:
+    """A record struct with the given values (evidence as values) and no others; yes/no words default to 'not_reported'."""
+    fields = []
+    for f in RECORD:
+        if f.name in EVIDENCE_FIELDS:
+            value = given.get(f.name, F.lit(None))
+            fields.append(_evidence(value, given.get(f"{f.name}_quote")).alias(f.name))
+        else:
+            default = "not_reported" if f.name in ("baseline", "financial", "productive", "climatic", "hybrid") else None
+            fields.append(given.get(f.name, F.lit(default).cast("string")).alias(f.name))
+    return F.struct(*fields)
+
+
+def _line_record() -> Column:
+    cents = lambda c: F.lpad(F.round(F.col(c) * 100).cast("int").cast("string"), 2, "0")
+    k = F.col("l_linenumber")
+    prose = F.lit("renda e area plantada e historico de credito do produtor rural")
+    return record_of(
+        model_used=F.concat(F.lit("Modelo "), F.col("l_returnflag")),
+        auc=F.when(k == 7, "sem dado").otherwise(F.concat(F.lit("0."), F.lpad((F.round(F.col("l_discount") * 100).cast("int") * 9).cast("string"), 2, "0"))),
+        accuracy=F.concat(F.lit("1,"), cents("l_tax")),
+        recall=F.concat(cents("l_tax"), F.lit("%")),
+        sample_size=F.when(k == 3, F.concat(F.lit("-"), F.col("l_quantity").cast("int").cast("string"))).otherwise(F.col("l_quantity").cast("int").cast("string")),
+        standard_error=F.when(k == 2, "-0.5"),
+        variables_used=F.when(k == 4, prose).otherwise("renda"),
+    )
+
+
+SANITY_SQL = """
+r AS (
+  SELECT l_orderkey, l_linenumber, l_linenumber AS k, CAST(round(l_discount * 100) AS INTEGER) * 9 AS auc, CAST(round(l_tax * 100) AS INTEGER) AS tax,
+         CAST(l_quantity AS INTEGER) AS q FROM lineitem),
+f AS (
+  SELECT l_orderkey, l_linenumber, 'variables_used.value_shape' AS field_name, FALSE AS ok,
+         'variables_used.value parece prosa/resumo (11 palavras), nao um dado pontual -- provavel erro de extracao do LLM, revisar manualmente.' AS message
+  FROM r WHERE k = 4
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'auc', k <> 7 AND auc >= 50,
+         CASE WHEN k = 7 THEN 'AUC parseado=None fora do intervalo esperado [0.5, 1.0]' WHEN auc >= 50 THEN 'ok'
+              ELSE 'AUC parseado=' || CAST(auc / 100.0 AS VARCHAR) || ' fora do intervalo esperado [0.5, 1.0]' END FROM r
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'accuracy', tax = 0,
+         CASE WHEN tax = 0 THEN 'ok' ELSE 'accuracy parseado=' || CAST(1 + tax / 100.0 AS VARCHAR) || ' fora do intervalo esperado [0, 1]' END FROM r
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'recall', TRUE, 'ok' FROM r
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'sample_size', k <> 3 AND q > 0,
+         CASE WHEN k = 3 THEN 'sample_size parseado=-' || CAST(q AS VARCHAR) || ' nao e inteiro positivo' ELSE 'ok' END FROM r
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'standard_error', FALSE, 'standard_error parseado=-0.5 negativo ou nao numerico' FROM r WHERE k = 2)"""
+
+
+def _line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", sanity_flags(_line_record()).alias("flags"))
+    return rows.select("l_orderkey", "l_linenumber", F.explode("flags").alias("f")).select("l_orderkey", "l_linenumber", "f.field_name", "f.ok", "f.message")
+
+
+@query(f"WITH {SANITY_SQL} SELECT l_orderkey, l_linenumber, field_name, ok, message FROM f")
+def sanity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_flags(spark, sf_dir)
+
+
+@query(f"WITH {SANITY_SQL} SELECT field_name, count(*) AS n, count(*) FILTER (WHERE NOT ok) AS n_failed, bool_and(ok) AS all_ok FROM f GROUP BY field_name")
+def sanity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_flags(spark, sf_dir).groupBy("field_name").agg(F.count("*").alias("n"), F.count_if(~F.col("ok")).alias("n_failed"), F.bool_and("ok").alias("all_ok"))
+
+
+# --- screening
+
+
+def _screenings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw answers made from documents and labels, read as answers are: codes by language and labels, decisions by quality."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id")
+    decision = F.when(F.col("toxic") == 1, "excluir").when(F.col("quality") == 1, "include_review_only").otherwise("talvez")
+    raw = F.to_json(
+        F.struct(
+            decision.alias("decision"),
+            F.when(F.col("lang").isin("en", "es"), F.array(F.lit("I2"), F.lit("I9"))).otherwise(F.array(F.lit("I3"))).alias("inclusion_criteria_met"),
+            F.when(F.col("lang").isin("de", "fr"), F.array(F.lit("E2"), F.lit("E4"))).otherwise(F.array().cast("array<string>")).alias("exclusion_criteria_met"),
+            F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("justification"),
+        )
+    )
+    answers = rows.select(F.col("doc_id").cast("string").alias("paper_id"), F.concat(F.lit("```json\n"), raw, F.lit("\n```")).alias("raw"))
+    return repair.read_screenings(answers)
+
+
+SCREEN_SQL = """
+s AS (
+  SELECT CAST(d.doc_id AS VARCHAR) AS paper_id, d.lang, l.toxic, l.quality,
+         CASE WHEN toxic = 1 THEN 'exclude' WHEN quality = 1 THEN 'include_review_only' ELSE 'exclude' END AS decision,
+         CASE WHEN lang IN ('en', 'es') THEN 'I2' ELSE 'I3' END AS inclusion, CASE WHEN lang IN ('de', 'fr') THEN 'E2, E4' ELSE '' END AS exclusion,
+         CASE WHEN toxic = 0 AND quality = 0 THEN 'decisao original ''talvez'' nao reconhecida -- default para ''exclude'' por seguranca, revisar manualmente.' ELSE '' END AS warnings
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
+
+
+@query(
+    f"""WITH {SCREEN_SQL} SELECT paper_id, decision, inclusion AS inclusion_criteria_met, exclusion AS exclusion_criteria_met, '' AS metaanalysis_inclusion_criteria_met,
+  '' AS metaanalysis_exclusion_criteria_met, 'doc ' || paper_id AS justification, warnings AS screening_warnings FROM s"""
+)
+def screening_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return screening.screening_sheet(_screenings(spark, sf_dir))
+
+
+@query(f"WITH {SCREEN_SQL} SELECT CAST(d.doc_id AS VARCHAR) AS paper_id, d.lang FROM documents d LEFT JOIN s ON s.paper_id = CAST(d.doc_id AS VARCHAR) WHERE s.decision IS DISTINCT FROM 'exclude'")
+def screening_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), "lang")
+    return screening.gate(docs, _screenings(spark, sf_dir).select("paper_id", "decision"))
+
+
+@query(f"WITH {SCREEN_SQL} SELECT paper_id, decision, exclusion <> '' AS has_exclusion_code, (exclusion <> '') = (decision = 'exclude') AS consistent FROM s")
+def screening_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return screening.exclusion_rule(_screenings(spark, sf_dir))
+
+
+# --- quotes
+
+
+def _quotes(docs: DataFrame) -> DataFrame:
+    """A quote of each document's own text: word for word, with other white space, altered, too short, missing."""
+    kind = F.col("doc_id") % 5
+    text = F.expr("substring(text, 1 + length(text) div 3, 60)")
+    quote = (
+        F.when(kind == 0, text)
+        .when(kind == 1, F.concat(F.lit("  "), F.replace(text, F.lit(" "), F.lit(" \n ")), F.lit(" ")))
+        .when(kind == 2, F.concat(text, F.lit("@@@@")))
+        .when(kind == 3, F.lit(" ab "))
+    )
+    return docs.select(F.col("doc_id").alias("paper_id"), quote.alias("quote"))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return verify.check_quotes(_quotes(docs), docs.select(F.col("doc_id").alias("paper_id"), F.col("text").alias("source_text")))
+
+
+@query(
+    r"""
+WITH q AS (SELECT doc_id AS paper_id, regexp_replace(regexp_replace(substring(text, 1 + length(text) // 3, 60), '\s+', ' ', 'g'), '^ | $', '', 'g') AS q,
+                  regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '^ | $', '', 'g') AS s, doc_id % 5 AS kind FROM documents)
+SELECT paper_id, kind IN (0, 1) AND length(q) >= 3 AS exact,
+       CASE WHEN kind = 4 OR (kind < 2 AND q = '') THEN 'quote vazio' WHEN kind = 3 OR (kind < 2 AND length(q) < 3) THEN 'quote muito curto para verificar com confianca' WHEN kind < 2 THEN 'ok' ELSE 'fuzzy' END AS reason
+FROM q"""
+)
+def quote_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _checked(spark, sf_dir)
+    return rows.select("paper_id", (F.col("similarity") == 100).alias("exact"), F.when(F.col("paper_id") % 5 == 2, "fuzzy").otherwise(F.col("reason")).alias("reason"))
+
+
+@query()
+def quote_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked(spark, sf_dir).where("paper_id % 5 = 2").select("paper_id", "verified", F.round("similarity", 6).alias("similarity"), "reason")
+
+
+# --- dedup
+
+
+def _part_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select((F.col("p_partkey") % 100).alias("paper_id"), "p_partkey", "p_brand", F.round(F.col("p_retailprice") * 100).cast("long").alias("c"))
+    # a price as a proportion of four decimals; three would read as thousands
+    auc = F.concat(F.lit("0."), F.lpad(F.expr("c % 10000").cast("string"), 4, "0"))
+    record = record_of(model_used=F.md5("p_brand"), auc=auc, extraction_notes=F.when(F.col("p_partkey") % 3 == 0, F.col("p_partkey").cast("string")))
+    items = F.array_sort(F.collect_list(F.struct("p_partkey", record.alias("r"))))
+    return rows.groupBy("paper_id").agg(items.alias("i")).select(
+        "paper_id", F.transform("i", lambda x: x["p_partkey"]).alias("keys"), F.transform("i", lambda x: x["r"]).alias("records"), F.array().cast("array<string>").alias("extraction_warnings")
+    )
+
+
+DEDUP_SQL = """
+r AS (SELECT p_partkey % 100 AS paper_id, p_partkey, p_brand, (CAST(round(p_retailprice * 100) AS BIGINT) % 10000) / 10000.0 AS v,
+             row_number() OVER (PARTITION BY p_partkey % 100 ORDER BY p_partkey) - 1 AS pos FROM part),
+edge AS (SELECT a.paper_id, a.pos AS i, b.pos AS j FROM r a JOIN r b ON a.paper_id = b.paper_id AND a.p_brand = b.p_brand AND a.pos <> b.pos
+         WHERE abs(a.v - b.v) / greatest(abs(a.v), abs(b.v), 1e-9) <= 0.02),
+reach(paper_id, i, j) AS (SELECT paper_id, pos, pos FROM r UNION SELECT reach.paper_id, reach.i, edge.j FROM reach JOIN edge ON edge.paper_id = reach.paper_id AND edge.i = reach.j),
+label AS (SELECT paper_id, i AS pos, min(j) AS label FROM reach GROUP BY paper_id, i)"""
+
+
+@query(f"WITH RECURSIVE {DEDUP_SQL} SELECT r.p_partkey, CAST(label.label AS INTEGER) AS label FROM r JOIN label ON label.paper_id = r.paper_id AND label.pos = r.pos")
+def dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dedup.label_duplicates(_part_papers(spark, sf_dir)).select(F.explode(F.arrays_zip("keys", "label")).alias("z"))
+    return rows.select(F.col("z.keys").alias("p_partkey"), F.col("z.label").alias("label"))
+
+
+@query(
+    f"""
+WITH RECURSIVE {DEDUP_SQL},
+best AS (SELECT r.paper_id, label.label, r.p_partkey, r.p_brand, count(*) OVER (PARTITION BY r.paper_id, label.label) AS n,
+                row_number() OVER (PARTITION BY r.paper_id, label.label ORDER BY CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1 END, r.pos) AS nth
+         FROM r JOIN label ON label.paper_id = r.paper_id AND label.pos = r.pos)
+SELECT paper_id, CAST(count(*) FILTER (WHERE nth = 1) AS INTEGER) AS n_records, string_agg(md5(p_brand), ',' ORDER BY label) FILTER (WHERE nth = 1) AS brands,
+       CAST(count(*) FILTER (WHERE nth = 1 AND n > 1) AS INTEGER) AS n_warnings
+FROM best GROUP BY paper_id"""
+)
+def dedup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dedup.deduplicate(_part_papers(spark, sf_dir))
+    brands = F.array_join(F.transform("records", lambda r: r["model_used"]["value"]), ",")
+    return rows.select("paper_id", F.size("records").alias("n_records"), brands.alias("brands"), F.size("extraction_warnings").alias("n_warnings"))
+
+
+# --- two extractions
+
+
+def _two_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers of about five customers each. B lacks every fourth customer, has one of its own where the paper's number is
+    divisible by 7, lists them in reverse, and differs in balance and segment for some. Names are one letter each, repeated."""
+    rows = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 300).alias("paper_id"), "c_custkey", "c_mktsegment", F.round(F.col("c_acctbal") * 100).cast("long").alias("c")
+    ).withColumn("pos", F.expr("(c_custkey div 300) % 20"))
+    name = F.repeat(F.chr(65 + F.col("pos")), F.lit(8))
+    money = lambda c: F.concat(F.when(c < 0, "-").otherwise(""), F.floor(F.abs(c) / 100).cast("string"), F.lit("."), F.lpad((F.abs(c) % 100).cast("string"), 2, "0"))
+    a = record_of(model_used=name, default_rate=money(F.col("c")), financial=F.lit("yes"), model_class=F.lit("svm"), auc=F.lit("0.91"))
+    b_money = F.when(F.col("c_custkey") % 5 == 0, F.col("c") * 2).otherwise(F.col("c"))
+    b = record_of(
+        model_used=name,
+        default_rate=F.when(F.col("c_custkey") % 6 != 0, money(b_money)),
+        financial=F.when(F.col("c_mktsegment") == "BUILDING", "no").otherwise("yes"),
+        model_class=F.lit("svm"),
+        auc=F.lit("0.92"),
+    )
+    listed = lambda r: F.array_sort(F.collect_list(F.struct("pos", r.alias("r"))))
+    both = rows.groupBy("paper_id").agg(listed(a).alias("a"), listed(F.when(F.col("c_custkey") % 4 != 0, b)).alias("b"))
+    extra = record_of(model_used=F.lit("zzzzzzzz"), auc=F.lit("0.5"))
+    in_b = F.reverse(F.filter("b", lambda x: x["r"].isNotNull()))
+    return both.select(
+        "paper_id",
+        F.transform("a", lambda x: x["r"]).alias("records_a"),
+        F.concat(F.transform(in_b, lambda x: x["r"]), F.when(F.col("paper_id") % 7 == 0, F.array(extra)).otherwise(F.array())).alias("records_b"),
+    )
+
+
+PAIR_SQL = """
+c AS (SELECT c_custkey % 300 AS paper_id, c_custkey, c_mktsegment AS seg, CAST(round(c_acctbal * 100) AS BIGINT) AS c, repeat(chr(65 + CAST((c_custkey // 300) % 20 AS INTEGER)), 8) AS name,
+             (c_custkey // 300) % 20 AS pos FROM customer),
+a AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY pos) - 1 AS index_a FROM c),
+b AS (SELECT paper_id, name, row_number() OVER (PARTITION BY paper_id ORDER BY pos DESC) - 1 AS index_b FROM c WHERE c_custkey % 4 <> 0
+      UNION ALL SELECT p.paper_id, 'zzzzzzzz', (SELECT count(*) FROM c WHERE c.paper_id = p.paper_id AND c_custkey % 4 <> 0) FROM (SELECT DISTINCT paper_id FROM c) p WHERE p.paper_id % 7 = 0),
+j AS (SELECT coalesce(a.paper_id, b.paper_id) AS paper_id, index_a, index_b, a.name AS model_used_a, b.name AS model_used_b,
+             CASE WHEN a.name IS NOT NULL AND b.name IS NOT NULL THEN 100.0 END AS match_score, c_custkey, seg, c
+      FROM a FULL JOIN b ON a.paper_id = b.paper_id AND a.name = b.name),
+d AS (
+  SELECT *, index_a IS NOT NULL AND index_b IS NOT NULL AS paired,
+         c_custkey % 6 = 0 OR (c_custkey % 5 = 0 AND c <> 0) AS rate, seg = 'BUILDING' AS fin FROM j),
+x AS (
+  SELECT *, CASE WHEN NOT paired THEN '' WHEN rate AND fin THEN 'default_rate, financial' WHEN rate THEN 'default_rate' WHEN fin THEN 'financial' ELSE '' END AS fields,
+         NOT paired OR rate OR fin AS has_divergence FROM d)"""
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.compare_extractions(_two_extractions(spark, sf_dir))
+
+
+@query(f"WITH {PAIR_SQL} SELECT paper_id, CAST(index_a AS INTEGER) AS index_a, CAST(index_b AS INTEGER) AS index_b, model_used_a, model_used_b, CAST(match_score AS DOUBLE) AS match_score FROM x")
+def pair_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir).select("paper_id", "index_a", "index_b", "model_used_a", "model_used_b", "match_score")
+
+
+@query(
+    f"""
+WITH {PAIR_SQL}
+SELECT paper_id, CAST(index_a AS INTEGER) AS index_a, CAST(index_b AS INTEGER) AS index_b, fields, has_divergence,
+       CASE WHEN NOT paired THEN NULL WHEN c_custkey % 6 = 0 THEN 'um dos extratores nao reportou valor' WHEN c_custkey % 5 = 0 AND c <> 0 THEN 'diff relativa=0.500' ELSE 'diff relativa=0.000' END AS rate_detail,
+       CASE WHEN paired THEN 'similaridade=100.0' END AS name_detail, CASE WHEN paired THEN 19 ELSE 0 END AS n_fields
+FROM x"""
+)
+def field_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _compared(spark, sf_dir)
+    detail = lambda f: F.get(F.filter("divergences", lambda d: d["field_name"] == f), F.lit(0))["detail"]
+    fields = F.array_join(sheet.remaining_fields(F.col("divergences"), F.array().cast("array<string>")), ", ")
+    return rows.select("paper_id", "index_a", "index_b", fields.alias("fields"), "has_divergence", detail("default_rate").alias("rate_detail"), detail("model_used").alias("name_detail"), F.size("divergences").alias("n_fields"))
+
+
+@query(
+    f"""
+WITH {PAIR_SQL}, n AS (SELECT c_custkey % 300 AS paper_id, count(*) AS na, count(*) FILTER (WHERE c_custkey % 4 <> 0) + CASE WHEN any_value(c_custkey % 300) % 7 = 0 THEN 1 ELSE 0 END AS nb FROM customer GROUP BY 1)
+SELECT n.paper_id, any_value(na <> nb) AS record_count_mismatch, any_value(na <> nb) OR bool_or(has_divergence) AS needs_human_review FROM n JOIN x ON x.paper_id = n.paper_id GROUP BY n.paper_id"""
+)
+def human_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = _two_extractions(spark, sf_dir)
+    return pairing.needs_human_review(pairing.compare_extractions(both), both)
+
+
+def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _compared(spark, sf_dir)
+    choice = lambda f, c: F.struct(F.lit(f).alias("field_name"), F.lit(c).alias("choice"))
+    third = F.col("paper_id") % 3
+    given = F.when(third == 0, F.array(choice("default_rate", "b"), choice("auc", "b"))).when(third == 1, F.array(choice("financial", "a"), choice("default_rate", "neither")))
+    decisions = rows.where("index_a IS NOT NULL").select("paper_id", "index_a", given.alias("decisions")).where("decisions IS NOT NULL")
+    return pairing.apply_decisions(rows, decisions)
+
+
+DECIDE_SQL = f"""{PAIR_SQL},
+y AS (SELECT *, CASE WHEN paired AND paper_id % 3 = 0 AND rate THEN 'default_rate<-b' WHEN paired AND paper_id % 3 = 1 AND fin THEN 'financial<-a' END AS applied FROM x)"""
+_MONEY_SQL = "CASE WHEN {0} < 0 THEN '-' ELSE '' END || CAST(abs({0}) // 100 AS VARCHAR) || '.' || lpad(CAST(abs({0}) % 100 AS VARCHAR), 2, '0')"
+
+
+@query(
+    f"""
+WITH {DECIDE_SQL}
+SELECT paper_id, CAST(index_a AS INTEGER) AS index_a,
+       CASE WHEN applied = 'default_rate<-b' THEN CASE WHEN c_custkey % 6 <> 0 THEN {_MONEY_SQL.format("(c * 2)")} END ELSE {_MONEY_SQL.format("c")} END AS default_rate,
+       CASE WHEN applied IS NOT NULL THEN '[arbitro: ' || applied || ']' END AS extraction_notes, CASE WHEN applied IS NOT NULL THEN 1 ELSE 0 END AS n_resolutions
+FROM y WHERE index_a IS NOT NULL"""
+)
+def arbiter_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _decided(spark, sf_dir).where("index_a IS NOT NULL")
+    return rows.select("paper_id", "index_a", F.col("reconciled.default_rate.value").alias("default_rate"), F.col("reconciled.extraction_notes").alias("extraction_notes"), F.size("resolutions").alias("n_resolutions"))
+
+
+# --- the sheet
+
+
+def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _decided(spark, sf_dir)
+    records = rows.where("index_a IS NOT NULL").select("paper_id", F.col("index_a").alias("record_index"), F.col("reconciled").alias("r"))
+    checked = rows.where("index_a IS NOT NULL AND paper_id % 10 <> 9").select(
+        "paper_id", F.col("index_a").alias("record_index"), (F.col("paper_id") % 4 != 0).alias("all_verified"),
+        F.when(F.col("paper_id") % 4 != 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("auc"))).alias("unverified_fields"),
+    )
+    resolutions = rows.select("paper_id", F.explode("resolutions").alias("x")).select("paper_id", "x.*")
+    return sheet.consolidate(records, checked, rows, resolutions)
+
+
+SHEET_SQL = f"""{DECIDE_SQL},
+z AS (
+  SELECT *, CASE WHEN paper_id % 10 = 9 THEN NULL ELSE paper_id % 4 <> 0 END AS citation_verified,
+         CASE WHEN paper_id % 10 <> 9 AND paper_id % 4 = 0 THEN 'auc' ELSE '' END AS unverified_fields,
+         CASE WHEN applied IS NULL THEN fields WHEN applied = 'default_rate<-b' THEN CASE WHEN fin THEN 'financial' ELSE '' END ELSE CASE WHEN rate THEN 'default_rate' ELSE '' END END AS open_fields,
+         CASE WHEN applied = 'default_rate<-b' THEN CASE WHEN c_custkey % 6 <> 0 THEN c * 2 END ELSE c END AS rate_cents
+  FROM y WHERE index_a IS NOT NULL),
+s AS (
+  SELECT paper_id, CAST(index_a AS INTEGER) AS record_index, model_used_a AS Model_used, '0.91' AS AUC, citation_verified, unverified_fields,
+         coalesce(rate_cents < 0 OR rate_cents > 100, FALSE) AS sanity_failed,
+         open_fields <> '' OR index_b IS NULL AS dual_extraction_diverges, open_fields AS dual_divergent_fields, index_b IS NULL AS dual_unmatched,
+         coalesce(split_part(applied, '<-', 1), '') AS arbiter_resolved_fields
+  FROM z),
+sheet AS (SELECT *, sanity_failed OR coalesce(NOT citation_verified, FALSE) OR dual_extraction_diverges OR dual_unmatched AS needs_review FROM s)"""
+_SHOWN = ("paper_id", "record_index", "Model_used", "AUC", "citation_verified", "unverified_fields", "sanity_failed", "dual_extraction_diverges",
+          "dual_divergent_fields", "dual_unmatched", "arbiter_resolved_fields", "needs_review")
+
+
+@query(f"WITH {SHEET_SQL} SELECT {', '.join(_SHOWN)} FROM sheet")
+def consolidated_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sheet(spark, sf_dir).select(*_SHOWN)
+
+
+@query(f"WITH {SHEET_SQL} SELECT paper_id, CAST(count(*) AS INTEGER) AS n_models_extracted, bool_or(needs_review) AS needs_review FROM sheet GROUP BY paper_id")
+def needs_review_by_paper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.paper_rollup(_sheet(spark, sf_dir))
+
+
+
+
+@query(
+    f"""
+WITH q AS (SELECT (supplier.s_suppkey % 3 = 0) AS needs_review, s_suppkey AS k, (s_suppkey * 2654435761) % 4294967296 AS h FROM supplier),
+n AS (SELECT count(*) AS n, count(*) FILTER (WHERE needs_review) AS f FROM q),
+clean AS (SELECT k, row_number() OVER (ORDER BY h, k) AS nth FROM q WHERE NOT needs_review)
+SELECT k AS s_suppkey, 'auto-flagged' AS audit_reason, '' AS human_verdict, '' AS human_notes FROM q WHERE needs_review
+UNION ALL SELECT k, 'random_calibration_sample', '', '' FROM clean, n WHERE nth <= greatest(0, greatest(5, CAST(round_even(n * 0.5, 0) AS BIGINT)) - f)"""
+)
+def audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 3 == 0).alias("needs_review"))
+    key = F.expr("(s_suppkey * 2654435761) % 4294967296 * 100000000 + s_suppkey")
+    return sheet.audit_sample(rows, key, fraction=0.5).select("s_suppkey", "audit_reason", "human_verdict", "human_notes")
+
+
+# --- registry
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    kind = {f.name: f.dataType for f in REGISTRY}
+    return rows.select(
+        F.concat(F.lit("doi:10/"), key).alias("record_id"),
+        F.concat(F.lit("10/"), key).alias("doi"),
+        F.when(F.col("o_orderstatus") == "F", "done").otherwise("pending").alias("fulltext_status"),
+        F.expr("CASE o_orderkey % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'failed' WHEN 2 THEN 'done' ELSE 'not_applicable' END").alias("extraction_status"),
+        F.lit("2020-01-01T00:00:00Z").alias("updated_at"),
+        F.struct(F.when(F.col("o_orderkey") % 9 != 0, F.concat(key, F.lit(".pdf"))).alias("pdf_path")).alias("fulltext"),
+        F.struct(
+            F.year("o_orderdate").cast("string").alias("year"), F.concat(F.lit("A"), F.col("o_custkey").cast("string")).alias("author"), F.lit(None).cast("string").alias("journal"),
+            F.col("o_orderpriority").alias("country"), F.lit("1.5").alias("latitude"), F.lit("").alias("longitude"),
+        ).alias("metadata"),
+        F.lit(None).cast(kind["extraction"]).alias("extraction"),
+    )
+
+
+PENDING_SQL = "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 4 < 2"
+
+
+@query("SELECT 'doi:10/' || CAST(o_orderkey AS VARCHAR) AS record_id, o_orderkey % 4 = 1 AS again FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 4 < 2")
+def registry_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.pending(_registry(spark, sf_dir)).select("record_id", (F.col("extraction_status") == "failed").alias("again"))
+
+
+def _updates(spark: SparkSession, sf_dir: str, staged: DataFrame) -> DataFrame:
+    done = staged.where("CAST(regexp_extract(record_id, '([0-9]+)$', 1) AS BIGINT) % 3 = 0").select("paper_id")
+    seen = staged.where("CAST(regexp_extract(record_id, '([0-9]+)$', 1) AS BIGINT) % 3 = 1").select("paper_id", F.lit("exclude").alias("decision"))
+    lines = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("doi_10_"), F.col("l_orderkey").cast("string")).alias("paper_id"), (F.col("l_returnflag") == "R").alias("needs_review"))
+    return registry.derive_status(staged, done, seen, registry.paper_rollup(lines))
+
+
+STATUS_SQL = f"""
+p AS ({PENDING_SQL} AND o_orderkey % 9 <> 0),
+roll AS (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS n, bool_or(l_returnflag = 'R') AS r FROM lineitem GROUP BY l_orderkey),
+u AS (SELECT o_orderkey, 'doi:10/' || CAST(o_orderkey AS VARCHAR) AS record_id, CASE o_orderkey % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'not_applicable' ELSE 'failed' END AS status,
+             CASE WHEN o_orderkey % 3 = 0 THEN 'doi_10_' || CAST(o_orderkey AS VARCHAR) || '.json' END AS checkpoint_path,
+             CASE WHEN o_orderkey % 3 = 0 THEN coalesce(n, 0) END AS n_models_extracted, CASE WHEN o_orderkey % 3 = 0 THEN coalesce(r, FALSE) END AS needs_review
+      FROM p LEFT JOIN roll ON l_orderkey = o_orderkey)"""
+
+
+@query(f"WITH {STATUS_SQL} SELECT record_id, status, checkpoint_path, n_models_extracted, needs_review FROM u")
+def registry_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _updates(spark, sf_dir, registry.staging_map(registry.pending(_registry(spark, sf_dir))))
+
+
+@query(f"WITH {STATUS_SQL} SELECT count(*) FILTER (WHERE status = 'done') AS n_done, count(*) FILTER (WHERE status = 'not_applicable') AS n_not_applicable, count(*) FILTER (WHERE status = 'failed') AS n_failed FROM u")
+def registry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.status_counts(registry_status(spark, sf_dir))
+
+
+@query(
+    f"""
+WITH {STATUS_SQL}
+SELECT 'doi:10/' || CAST(o.o_orderkey AS VARCHAR) AS record_id,
+       coalesce(u.status, CASE o.o_orderkey % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'failed' WHEN 2 THEN 'done' ELSE 'not_applicable' END) AS extraction_status,
+       CASE WHEN u.status IS NULL THEN '2020-01-01T00:00:00Z' ELSE '2024-06-01T00:00:00Z' END AS updated_at, u.n_models_extracted, u.needs_review,
+       CASE WHEN u.status = 'done' THEN '2024-06-01T00:00:00Z' END AS extracted_at
+FROM orders o LEFT JOIN u ON u.o_orderkey = o.o_orderkey"""
+)
+def registry_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = registry.mark_status(_registry(spark, sf_dir), registry_status(spark, sf_dir), now=F.lit("2024-06-01T00:00:00Z"))
+    return rows.select("record_id", "extraction_status", "updated_at", "extraction.n_models_extracted", "extraction.needs_review", "extraction.extracted_at")
+
+
+@query(
+    """
+SELECT o_orderkey AS record, CASE WHEN o_orderkey % 5 = 0 THEN 'old' ELSE '10/' || CAST(o_orderkey AS VARCHAR) END AS doi, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS "Year",
+       CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'A' || CAST(o_custkey AS VARCHAR) END AS "Author", '' AS "Journal", CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS "Country",
+       CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '1.5' END AS "Latitude", '' AS "Longitude"
+FROM orders"""
+)
+def biblio_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg = _registry(spark, sf_dir)
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("doi_10_"), F.col("o_orderkey").cast("string")).alias("paper_id"), F.col("o_orderkey").alias("record"), F.lit("old").alias("doi"), *(F.lit("").alias(c) for c in sheet.BIBLIOGRAPHY[1:])
+    )
+    ids = reg.select(paper_id_of(F.col("record_id")).alias("paper_id"), "record_id").where("CAST(regexp_extract(record_id, '([0-9]+)$', 1) AS BIGINT) % 5 <> 0")
+    return registry.merge_bibliography(rows, ids, reg).select("record", *sheet.BIBLIOGRAPHY)
+
+
+# --- runs
+
+
+def _run(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
+    """Checkpoints made from events: a paper per user, a record per view, a comparison per click, a resolution per purchase."""
+    rows = table(spark, sf_dir, "events").where(F.col("event_id") % 2 == odd)
+    kind = {f.name: f.dataType for f in CHECKPOINT}
+    nothing = lambda n: F.lit(None).cast(kind[n])
+    many = lambda n, t: F.array_repeat(F.lit(None).cast(t), n.cast("int"))
+    agg = rows.groupBy("user_id").agg(
+        F.count_if(F.col("event_type") == "view").alias("views"), F.count_if(F.col("event_type") == "click").alias("clicks"), F.count_if(F.col("event_type") == "purchase").alias("buys"), F.count("*").alias("n")
+    )
+    field = F.struct(F.lit("auc").alias("field_name"), F.lit("a").alias("value_a"), F.lit("b").alias("value_b"), F.lit(True).alias("diverges"), F.lit("").alias("detail"))
+    comparison = F.struct(
+        F.lit(0).alias("index_a"), F.lit(None).cast("int").alias("index_b"), F.lit("a").alias("model_used_a"), F.lit(None).cast("string").alias("model_used_b"), F.lit(None).cast("double").alias("match_score"),
+        F.array(field, field).alias("divergences"),
+    )
+    extraction = F.struct(F.col("user_id").cast("string").alias("paper_id"), many(F.col("views"), RECORD).alias("records"), F.array().cast("array<string>").alias("extraction_warnings"))
+    return agg.select(
+        F.col("user_id").cast("string").alias("paper_id"),
+        (F.col("n") * 30).alias("source_text_len"),
+        F.when(F.col("user_id") % 2 == 0, F.col("n") * 7).alias("estimated_prompt_tokens"),
+        F.lit(odd).alias("fallback_level"),
+        nothing("timing").alias("timing"),
+        nothing("empty_table_labels").alias("empty_table_labels"),
+        extraction.alias("extraction_a"),
+        nothing("extraction_b").alias("extraction_b"),
+        nothing("extraction_reconciled").alias("extraction_reconciled"),
+        many(F.col("buys"), kind["arbiter_resolutions"].elementType).alias("arbiter_resolutions"),
+        F.lit(False).alias("record_count_mismatch"),
+        F.array_repeat(comparison, F.col("clicks").cast("int")).alias("comparisons"),
+        nothing("verifications").alias("verifications"),
+    )
+
+
+_SUMMARY_SQL = """SELECT CAST(user_id AS VARCHAR) AS paper_id, CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS records,
+  CASE WHEN user_id % 2 = 0 THEN count(*) * 7 ELSE count(*) * 10 END AS prompt_tokens, {0} AS fallback_level, CAST(2 * count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS divergent_fields,
+  CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS unmatched, CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS arbiter_resolved, CAST(NULL AS DOUBLE) AS total_s
+  FROM events WHERE event_id % 2 = {0} GROUP BY user_id"""
+RUNS_SQL = f"""a AS ({_SUMMARY_SQL.format(0)}), b AS ({_SUMMARY_SQL.format(1)}),
+report AS (SELECT coalesce(a.paper_id, b.paper_id) AS paper_id, {", ".join(f"{s}.{m} AS {m}_{s}" for s in "ab" for m in runs.METRICS)} FROM a FULL JOIN b ON a.paper_id = b.paper_id)"""
+
+
+@query(f"WITH {RUNS_SQL} SELECT * FROM report")
+def run_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.compare_runs(*(runs.summarize(_run(spark, sf_dir, odd)) for odd in (0, 1)))
+
+
+@query(f"WITH {RUNS_SQL} SELECT " + ", ".join(f"round_even(avg({m}_{s}), 2) AS {m}_{s}" for s in "ab" for m in runs.METRICS) + " FROM report")
+def run_compare_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.column_means(run_compare(spark, sf_dir))
+
+
+# --- raw answers
+
+
+@query(
+    """
+SELECT event_id, CASE WHEN event_id % 4 = 3 THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k, event_id % 4 <> 3 AS recovered FROM events"""
+)
+def json_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_id", "props")
+    raw = F.expr("CASE event_id % 4 WHEN 0 THEN concat('```json\n', props, '\n```') WHEN 1 THEN concat('Claro! ', props, ' pronto.') WHEN 2 THEN props ELSE '{ cortado' END")
+    found = recovered_json(raw)
+    return rows.select("event_id", F.get_json_object(found, "$.k").try_cast("bigint").alias("k"), found.isNotNull().alias("recovered"))
+
+
+def _raw_extractions(parts: DataFrame) -> DataFrame:
+    """Answers with one record each: sound; with aliases, bare numbers, lists and odd words; with a number as evidence value; cut off."""
+    price = F.col("p_retailprice").cast("int").cast("string")
+    sound = """{"records":[{"model_used":{"value":"@"},"model_class":"svm","baseline":"no","sample_size":{"value":"#"},"default_rate":{},"financial":"yes","productive":"no","climatic":"no","hybrid":"no",
+      "variables_used":{},"auc":{},"accuracy":{},"f1_score":{},"recall":{},"specificity":{},"standard_deviation":{},"standard_error":{}}]}"""
+    odd = """{"records":[{"model":"@","model_class":"XGBoost","amostra":#,"variables":["renda","area",null],"financial":true,"productive":"sim","climatic":"?","hybrid":"no","baseline":"no",
+      "type_data_used":["financial","climatic"],"agricultural_context":"pequeno","auc":"0.9"}]}"""
+    wrong = sound.replace('"sample_size":{"value":"#"}', '"sample_size":{"value":#}')
+    raw = F.expr("CASE p_partkey % 4 WHEN 0 THEN sound WHEN 1 THEN odd WHEN 2 THEN wrong ELSE '{ \"records\": [' END")
+    rows = parts.select(F.col("p_partkey"), F.lit(sound).alias("sound"), F.lit(odd).alias("odd"), F.lit(wrong).alias("wrong"), price.alias("price"), "p_brand")
+    return rows.select(F.col("p_partkey").cast("string").alias("paper_id"), F.replace(F.replace(raw, F.lit("#"), F.col("price")), F.lit("@"), F.col("p_brand")).alias("raw"))
+
+
+@query(
+    """
+SELECT CAST(p_partkey AS VARCHAR) AS paper_id, CASE p_partkey % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'repaired' ELSE 'error' END AS status,
+       CASE WHEN p_partkey % 4 < 2 THEN p_brand END AS model_used, CASE p_partkey % 4 WHEN 0 THEN 'svm' WHEN 1 THEN 'gradient_boosting' END AS model_class,
+       CASE WHEN p_partkey % 4 < 2 THEN CAST(CAST(trunc(p_retailprice) AS INTEGER) AS VARCHAR) END AS sample_size, CASE WHEN p_partkey % 4 = 1 THEN 'renda, area' END AS variables_used,
+       CASE p_partkey % 4 WHEN 0 THEN 'no' WHEN 1 THEN 'yes' END AS productive, CASE p_partkey % 4 WHEN 0 THEN 'no' WHEN 1 THEN 'not_reported' END AS climatic,
+       CASE WHEN p_partkey % 4 = 1 THEN 'hybrid' END AS type_data_used, CASE WHEN p_partkey % 4 = 1 THEN 'small' END AS agricultural_context
+FROM part"""
+)
+def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.read_extractions(_raw_extractions(table(spark, sf_dir, "part"))).withColumn("r", F.get("records", F.lit(0)))
+    values = [F.col(f"r.{f}.value").alias(f) for f in ("model_used", "sample_size", "variables_used")]
+    return rows.select("paper_id", "status", *values, *(f"r.{f}" for f in ("model_class", "productive", "climatic", "type_data_used", "agricultural_context")))
+
+
+# --- TEI and increments
+
+
+@query(
+    r"""
+WITH d AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '[&<>]', '', 'g'), chr(10)) AS l FROM documents),
+n AS (SELECT doc_id, list_transform(l, lambda x: regexp_replace(regexp_replace(x, '\s+', ' ', 'g'), '^ | $', '', 'g')) AS l FROM d)
+SELECT CAST(doc_id AS VARCHAR) AS paper_id, l[1] AS title, CAST(len(list_filter(l[2:], lambda x: x <> '')) AS INTEGER) AS n_sections,
+       coalesce(CAST(list_sum(list_transform(list_filter(l[2:], lambda x: x <> ''), lambda x: length(x))) AS BIGINT), 0) AS chars, 1 AS n_tables, 1 AS n_lost
+FROM n"""
+)
+def tei_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "[&<>]", ""), "\n")
+    divs = F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.concat(F.lit("<div><head>h</head><p>"), x, F.lit("</p></div>"))), "")
+    tables = """<figure type="table"><head>t</head><table><row><cell>a</cell><cell>b</cell></row><row><cell>1</cell></row></table></figure><figure type="table"><label>2</label></figure>"""
+    xml = F.concat(
+        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title>'), F.get(lines, F.lit(0)),
+        F.lit("</title></titleStmt></fileDesc></teiHeader><text><body>"), divs, F.lit(tables), F.lit("</body></text></TEI>"),
+    )
+    rows = tei.parse_papers(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), xml.alias("xml")))
+    chars = F.aggregate("sections", F.lit(0).cast("long"), lambda a, s: a + F.length(s["text"]))
+    return rows.select("paper_id", "title", F.size("sections").alias("n_sections"), chars.alias("chars"), F.size("tables").alias("n_tables"), F.size("empty_table_labels").alias("n_lost"))
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
+def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An available-now stream into a table, then read; the stream's checkpoint and the table lie in the shared folder."""
+    import tempfile
+
+    events = table(spark, sf_dir, "events")
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quotewright-")
+    place = f"{base}/quotewright-events-{uuid.uuid4().hex}"
+    events.write.parquet(f"{place}/arrived")  # a folder that files arrive in
+    stream = new_documents(spark, f"{place}/arrived", events.schema, fmt="parquet")
+    run_available(stream, lambda batch, number: batch.select("event_type", "user_id").write.mode("append").parquet(f"{place}/table"), f"{place}/checkpoint")
+    rows = spark.read.parquet(f"{place}/table")
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
