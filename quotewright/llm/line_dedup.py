@@ -43,22 +43,24 @@ def drop_spread_lines(
     Lines are what \\n separates; they are compared without white space at their ends, by hashes of 96 bits. Blank
     lines stay. A text that would lose more than ``most_lost`` of its characters is a copy, not a page with
     boilerplate: it stays whole, for document-level dedup to judge. Null texts stay null and have no lines, null
-    sites don't count, rows that repeat an id are told apart by their texts. Other columns stay.
+    sites don't count, rows that repeat an id are told apart by their texts, rows with a null id stay whole. Other columns
+    stay, but input columns named n_lines or n_removed are replaced.
     """
-    name = [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h")]
+    id_, digest, hit, kept = (f"__line_{i}" for i in range(4))  # names that no table has
     line = F.regexp_replace(F.col("line"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    lines = docs.select(*name, F.col(site_col).alias("site"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
-    lines = lines.withColumn("line", line).where("line <> ''").select("_id", "_h", "site", "pos", *_key(F.col("line")))
+    named = {id_: F.col(id_col), digest: F.xxhash64(text_col)}
+    lines = docs.select(*(c.alias(n) for n, c in named.items()), F.col(site_col).alias("site"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
+    lines = lines.withColumn("line", line).where("line <> ''").select(id_, digest, "site", "pos", *_key(F.col("line")))
     spread = save(spread_lines(lines, least_sites), "lines")
     # a line may be in any share of all documents: its rows are dealt to `salts` keys
     salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hits = lines.withColumn("salt", F.pmod(F.xxhash64("_id", "pos"), F.lit(salts)).cast("int")).join(salted, [*KEY, "salt"], "left_semi")
-    hits = hits.select("_id", "_h", "pos").distinct().groupBy("_id", "_h").agg(F.collect_list("pos").alias("_hits"))
-    out = docs.withColumns({"_id": F.col(id_col), "_h": F.xxhash64(text_col)}).join(hits, ["_id", "_h"], "left")
+    hits = lines.withColumn("salt", F.pmod(F.xxhash64(id_, "pos"), F.lit(salts)).cast("int")).join(salted, [*KEY, "salt"], "left_semi")
+    hits = hits.select(id_, digest, "pos").distinct().groupBy(id_, digest).agg(F.collect_list("pos").alias(hit))
+    out = docs.withColumns(named).join(hits, [id_, digest], "left")
     split = F.split(text_col, "\n")
-    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_hits", i)), "\n")
-    out = out.withColumn("_kept", F.when(F.col("_hits").isNotNull(), kept))
-    fits = F.length("_kept") >= (1 - most_lost) * F.length(text_col)
+    rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(hit, i)), "\n")
+    out = out.withColumn(kept, F.when(F.col(hit).isNotNull(), rest))
+    fits = F.length(kept) >= (1 - most_lost) * F.length(text_col)
     out = out.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0)).cast("long"))
-    out = out.withColumn("n_removed", F.when(fits, F.size("_hits")).otherwise(0).cast("long"))
-    return out.withColumn(text_col, F.when(fits, F.col("_kept")).otherwise(F.col(text_col))).drop("_id", "_h", "_hits", "_kept")
+    out = out.withColumn("n_removed", F.when(fits, F.size(hit)).otherwise(0).cast("long"))
+    return out.withColumn(text_col, F.when(fits, F.col(kept)).otherwise(F.col(text_col))).drop(id_, digest, hit, kept)

@@ -61,27 +61,28 @@ def mix_sources(
     Without ``weights`` (source, weight) a source weighs the square root of its rows. Blocks are ``block`` rows of a
     source in scattered order of their ids. All rows are scheduled: once a source has run out, its slots stay empty and the
     others keep their proportions. A null source counts as the source named ''; sources missing from ``weights`` or with
-    a weight that is not positive are left out; rows with a null id are ordered first, rows that repeat an id one by one.
+    a weight that is not positive are left out; rows with a null id come
+    first, rows that repeat an id are scheduled one by one. Input columns with the names of added ones are replaced.
     """
-    rows = docs.withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit(""))).withColumn("_m", scattered(F.col(id_col)))
-    rows = rows.withColumn("_bucket", (F.col("_m") / F.lit((1 << 32) // buckets)).cast("int"))
-    sizes = save(rows.groupBy("_source", "_bucket").agg(F.count("*").alias("n")), "sizes")
+    # names that no table has
+    source, m, bucket, nth, before, share, length, k, start, place = (f"__mix_{i}" for i in range(10))
+    rows = docs.withColumn(source, F.coalesce(F.col(source_col).cast("string"), F.lit(""))).withColumn(m, scattered(F.col(id_col)))
+    rows = rows.withColumn(bucket, (F.col(m) / F.lit((1 << 32) // buckets)).cast("int"))
+    sizes = save(rows.groupBy(source, bucket).agg(F.count("*").alias("n")), "sizes")
     if weights is None:
-        weights = sizes.groupBy("_source").agg(F.sqrt(F.sum("n")).alias("weight")).withColumnRenamed("_source", "source")
+        weights = sizes.groupBy(F.col(source).alias("source")).agg(F.sqrt(F.sum("n")).alias("weight"))
     slots = schedule(shares(weights.where("weight > 0"), period))
-    slots = save(slots.withColumnRenamed("source", "_source"), "slots")
-    before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("_source", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    own = slots.select("_source", "share", "period").distinct()
-    before = save(before.join(own, "_source"), "before")
-    nth = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_m", id_col))
-    out = rows.withColumn("_nth", nth).join(before, ["_source", "_bucket"])
-    out = out.withColumn("block", ((F.col("_nth") - 1 + F.col("_before")) / block).cast("long"))
-    out = out.withColumn("k", F.col("block") % F.col("share"))
-    out = out.withColumn("_start", (F.col("block") - F.col("k")) / F.col("share") * F.col("period"))
-    out = out.join(F.broadcast(slots.select("_source", "k", F.col("slot").alias("_slot"))), ["_source", "k"])  # `period` rows
-    start = F.col("_start").cast("long")
-    out = out.withColumn("release", start + F.expr("(k * period) div share"))
-    out = out.withColumn("deadline", start + F.expr("((k + 1) * period + share - 1) div share"))
-    out = out.withColumn("slot", start + F.col("_slot"))
-    return out.drop("_source", "_m", "_bucket", "_nth", "_before", "share", "period", "k", "_start", "_slot")
+    slots = save(slots.toDF(source, share, length, k, place), "slots")
+    past = Window.partitionBy(source).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sizes.select(source, bucket, F.coalesce(F.sum("n").over(past), F.lit(0)).alias(before))
+    sums = save(sums.join(slots.select(source, share, length).distinct(), source), "before")
+    own = F.row_number().over(Window.partitionBy(source, bucket).orderBy(m, id_col))
+    out = rows.withColumn(nth, own).join(sums, [source, bucket])
+    out = out.withColumn("block", ((F.col(nth) - 1 + F.col(before)) / block).cast("long"))
+    out = out.withColumn(k, F.col("block") % F.col(share))
+    out = out.withColumn(start, ((F.col("block") - F.col(k)) / F.col(share) * F.col(length)).cast("long"))
+    out = out.join(F.broadcast(slots.select(source, k, place)), [source, k])  # `period` rows
+    out = out.withColumn("release", F.col(start) + F.expr(f"({k} * {length}) div {share}"))
+    out = out.withColumn("deadline", F.col(start) + F.expr(f"(({k} + 1) * {length} + {share} - 1) div {share}"))
+    out = out.withColumn("slot", F.col(start) + F.col(place))
+    return out.drop(source, m, bucket, nth, before, share, length, k, start, place)

@@ -46,38 +46,38 @@ def clean_lines(
     words, or over ``most_repeated`` percent repeated); clean_text (the lines that pass their rules); kept: not
     base_failed, and the clean text has ``least_left`` of the words' characters.
 
-    Windows are told apart by 64-bit hashes, inside one text. Null and empty texts have no words and fail. The
-    added columns must not be in ``docs`` already; ``text_col`` is left as it is.
+    Windows are told apart by 64-bit hashes, inside one text. Null and empty texts have no words and fail.
+    ``text_col`` is left as it is; input columns with the names of added ones are replaced.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("_words", words(F.col(text_col))).withColumn("_lines", F.split(text, "\n"))
-    out = out.withColumn("n_words", F.size("_words").cast("long"))
-    windows = F.transform(F.sequence(F.lit(1), F.size("_words") - 4), lambda i: F.xxhash64(F.slice("_words", i, 5)))
-    out = out.withColumn("_windows", F.when(F.size("_words") >= 5, windows).otherwise(F.array().cast("array<bigint>")))
-    numbered = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    again = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    out = docs.withColumn("__rules_words", words(F.col(text_col))).withColumn("__rules_lines", F.split(text, "\n"))
+    out = out.withColumn("n_words", F.size("__rules_words").cast("long"))
+    windows = F.transform(F.sequence(F.lit(1), F.size("__rules_words") - 4), lambda i: F.xxhash64(F.slice("__rules_words", i, 5)))
+    out = out.withColumn("__rules_windows", F.when(F.size("__rules_words") >= 5, windows).otherwise(F.array().cast("array<bigint>")))
+    numbered = F.transform("__rules_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    again = F.size(F.array_distinct("__rules_windows")) < F.size("__rules_windows")
     none = F.array().cast("array<struct<h:bigint,i:int>>")
-    out = out.withColumn("_sorted", F.when(again, F.sort_array(numbered)).otherwise(none)).drop("_windows", "_words")
+    out = out.withColumn("__rules_sorted", F.when(again, F.sort_array(numbered)).otherwise(none)).drop("__rules_windows", "__rules_words")
     twice = F.expr(
         """sort_array(transform(
-             filter(_sorted, (x, k) -> x.h = get(_sorted, k - 1).h OR x.h = get(_sorted, k + 1).h), x -> x.i))"""
+             filter(__rules_sorted, (x, k) -> x.h = get(__rules_sorted, k - 1).h OR x.h = get(__rules_sorted, k + 1).h), x -> x.i))"""
     )
-    out = out.withColumn("_twice", twice).drop("_sorted")
+    out = out.withColumn("__rules_twice", twice).drop("__rules_sorted")
     covered = F.expr(
-        """aggregate(_twice, named_struct('n', 0L, 'last', -5),
+        """aggregate(__rules_twice, named_struct('n', 0L, 'last', -5),
              (a, i) -> named_struct('n', a.n + least(5, i - a.last), 'last', i), a -> a.n)"""
     )
-    lines = F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    clean = F.array_join(F.filter("_lines", lambda x: ~line_fails(x)), "\n")
+    lines = F.filter("__rules_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    clean = F.array_join(F.filter("__rules_lines", lambda x: ~line_fails(x)), "\n")
     size = lambda c: F.length(F.regexp_replace(c, SPACE, "")).cast("long")
     out = (
         out.withColumn("n_repeat_words", covered)
-        .withColumn("_full", lines)
+        .withColumn("__rules_full", lines)
         .withColumn("word_chars", size(text))
         .withColumn("n_symbols", F.regexp_count(text, F.lit(SYMBOLS)).cast("long"))
-        .withColumn("n_dup_lines", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"))
+        .withColumn("n_dup_lines", (F.size("__rules_full") - F.size(F.array_distinct("__rules_full"))).cast("long"))
         .withColumn("clean_text", clean)
-        .drop("_lines", "_full", "_twice")
+        .drop("__rules_lines", "__rules_full", "__rules_twice")
     )
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     out = out.withColumn("base_failed", failed)

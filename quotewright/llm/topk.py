@@ -178,7 +178,7 @@ def exact_top_k(
 
     Components become floor(``scale`` * x). ``is_query`` is a SQL condition on the row. Ties go to the smaller id. Vectors
     that are null or hold a null or non-finite component take no part; shorter vectors count as filled up with
-    zeros; rows that repeat an id are rows of their own, but never answer that id's queries. Empty tables give an
+    zeros; rows that repeat an id are rows of their own, but never answer that id's queries, which share one list. Empty tables give an
     empty result; other columns are not read.
     """
     spark = vectors.sparkSession
