@@ -32,53 +32,39 @@ class Node:
     worst: float = np.inf
 
 
-def build_tree(points: np.ndarray, leaf_size: int = 16) -> tuple[Node, np.ndarray]:
-    """A cover tree with halving radii over float points, and the centers of its leaves."""
-    centers: list[np.ndarray] = []
-
-    def grow(own: np.ndarray, center: np.ndarray, radius: float) -> Node:
-        node = Node(center)
-        if len(own) <= leaf_size or radius <= 1:
-            node.leaf = len(centers)
-            centers.append(center)
-            return node
-        radius /= 2
-        left, parts = own, []
-        at = center
-        while len(left):  # greedy cover: each new center is over `radius` away from those before
-            near = ((left - at) ** 2).sum(1) <= radius * radius
-            if near.any():
-                parts.append((at, left[near]))
-                left = left[~near]
-            if len(left):
-                at = left[0]
-        if len(parts) == 1 or all(len(p) == 1 for _, p in parts):
-            return grow_even(node, own, radius)
-        if len(parts) > 8:
-            return grow_even(node, own, radius)
-        node.children = [grow(p, c, radius) for c, p in parts]
-        return node
+def build_tree(points: np.ndarray, leaf_size: int = 48, fan_out: int = 8) -> tuple[Node, np.ndarray]:
+    """A cover tree over float points, and the centers of its leaves.
+
+    A node's children cover its points within half its radius, each center over that far from those before it. Where
+    that takes more than ``fan_out`` centers, as in many dimensions, the farthest points serve and each point goes
+    to the nearest. Distances are computed once, for all pairs of the bounded sample.
+    """
+    squares = (points**2).sum(1)
+    far = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * points @ points.T, 0))
+    leaves: list[int] = []
 
-    def grow_even(node: Node, own: np.ndarray, radius: float) -> Node:
-        """Where a radius separates too much or nothing: farthest points as centers, others to the nearest."""
+    def cover(own: np.ndarray, radius: float) -> np.ndarray:
         chosen = [own[0]]
-        best = ((own - own[0]) ** 2).sum(1)
-        while len(chosen) < 8 and best.max() > 0:
-            chosen.append(own[int(best.argmax())])
-            best = np.minimum(best, ((own - chosen[-1]) ** 2).sum(1))
-        if len(chosen) == 1:
-            node.leaf = len(centers)
-            centers.append(node.center)
+        near = far[own, own[0]]
+        while len(chosen) <= fan_out and near.max() > radius:
+            chosen.append(own[int(near.argmax())])
+            near = np.minimum(near, far[own, chosen[-1]])
+        return np.array(chosen[:fan_out])
+
+    def grow(own: np.ndarray, center: int) -> Node:
+        node = Node(points[center])
+        radius = float(far[own, center].max())
+        if len(own) <= leaf_size or not radius:
+            node.leaf = len(leaves)
+            leaves.append(center)
             return node
-        nearest = np.stack([((own - c) ** 2).sum(1) for c in chosen]).argmin(0)
-        for i, c in enumerate(chosen):
-            part = own[nearest == i]
-            node.children.append(grow(part, c, 2 * float(np.sqrt(((part - c) ** 2).sum(1).max())) or 1.0))
+        centers = cover(np.concatenate(([center], own[own != center])), radius / 2)
+        nearest = far[np.ix_(own, centers)].argmin(1)
+        node.children = [grow(own[nearest == i], int(c)) for i, c in enumerate(centers)]
         return node
 
-    middle = points.mean(0)
-    root = grow(points, middle, float(np.sqrt(((points - middle) ** 2).sum(1).max())) or 1.0)
-    return root, np.array(centers)
+    root = grow(np.arange(len(points)), int(((points - points.mean(0)) ** 2).sum(1).argmin()))
+    return root, points[leaves]
 
 
 def _rows(column: pa.Array, dim: int, kind: type = np.int64) -> np.ndarray:
