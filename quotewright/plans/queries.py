@@ -18,16 +18,19 @@ from quotewright.functions.text import (
     ANCHOR_PATTERN,
     METRIC_PATTERN,
     MODEL_PATTERN,
+    context_size,
     estimated_tokens,
     normalize_doi,
     normalize_title,
     paper_id_of,
     record_id,
     recovered_json,
+    word_count,
 )
 from quotewright.operators import blocks, dedup, pairing, registry, repair, runs, screening, sheet, verify
 from quotewright.operators.sanity import sanity_flags
 from quotewright.sources import tei
+from quotewright.sources.tables import column_widths, unfinished
 from quotewright.streaming.incremental import new_documents, run_available
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -828,3 +831,57 @@ def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_available(stream, lambda batch, number: batch.select("event_type", "user_id").write.mode("append").parquet(f"{place}/table"), f"{place}/checkpoint")
     rows = spark.read.parquet(f"{place}/table")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+# --- smaller operators
+
+
+@query("SELECT doc_id, CAST(greatest(8000, length(coalesce(text, '')) // 3 + 8000 + 1024) AS INTEGER) AS extraction, CAST(greatest(8000, length(coalesce(text, '')) // 3 + 2000 + 512) AS INTEGER) AS screening FROM documents")
+def context_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.length(F.coalesce("text", F.lit("")))
+    return table(spark, sf_dir, "documents").select("doc_id", context_size(n, 8000, 8000).alias("extraction"), context_size(n, 8000, 2000, 512).alias("screening"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS paper_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unfinished_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = lambda name: table(spark, sf_dir, name).select(F.col("doc_id").cast("string").alias("paper_id"))
+    return unfinished(ids("documents"), ids("labels"))
+
+
+@query(
+    """SELECT p_partkey, array_to_string(list_filter(['I' || CAST(p_size AS VARCHAR), 'E' || CAST(p_size AS VARCHAR), 'M' || CAST(p_size AS VARCHAR), 'ME' || CAST(p_size AS VARCHAR)],
+  lambda c: regexp_matches(c, '^(I[1-8]|E([1-9]|1[01])|M[1-7]|ME[1-6])$')), ',') AS codes FROM part"""
+)
+def known_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = lambda kind: F.struct(F.concat(F.lit(kind), F.col("p_size").cast("string")).alias("code"), F.lit(None).cast("string").alias("quote"), F.lit(None).cast("string").alias("note"))
+    kept = screening.known_codes(F.array(*map(code, ("I", "E", "M", "ME"))))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(kept, lambda c: c["code"]), ",").alias("codes"))
+
+
+@query(
+    f"""WITH p AS ({PENDING_SQL} AND o_orderkey % 9 <> 0)
+SELECT 'doi_10_' || CAST(o_orderkey AS VARCHAR) AS paper_id, 'doi:10/' || CAST(o_orderkey AS VARCHAR) AS record_id, CAST(o_orderkey AS VARCHAR) || '.pdf' AS pdf_path FROM p"""
+)
+def staged_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.staging_map(registry.pending(_registry(spark, sf_dir)))
+
+
+@query(
+    """SELECT 'n_name' AS "column", CAST(least(greatest(max(length(n_name)), 6) + 2, 60) AS INTEGER) AS width FROM nation
+UNION ALL SELECT 'n_nationkey', CAST(least(greatest(max(length(CAST(n_nationkey AS VARCHAR))), 11) + 2, 60) AS INTEGER) FROM nation
+UNION ALL SELECT 'n_regionkey', CAST(least(greatest(max(length(CAST(n_regionkey AS VARCHAR))), 11) + 2, 60) AS INTEGER) FROM nation"""
+)
+def sheet_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_widths(table(spark, sf_dir, "nation"))
+
+
+@query(
+    """SELECT o_orderkey, least(greatest(o_orderkey % 7, 1), 5) AS n_words, CAST(1 AS INTEGER) AS flags FROM orders WHERE o_orderkey % 7 > 6
+UNION ALL SELECT o_orderkey, least(greatest(o_orderkey % 7, 1), 5), 0 FROM orders WHERE o_orderkey % 7 <= 6"""
+)
+def word_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of one to five words, within the limit of five, by the prose rule."""
+    n = F.least(F.greatest(F.col("o_orderkey") % 7, F.lit(1)), F.lit(5))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", n.alias("n"), F.array_join(F.array_repeat(F.lit("w"), n.cast("int")), "  ").alias("v"))
+    shaped = F.filter(sanity_flags(record_of(recall=F.col("v"))), lambda f: f["field_name"] == "recall.value_shape")
+    return rows.select("o_orderkey", word_count(F.col("v")).cast("long").alias("n_words"), F.size(shaped).alias("flags"))
