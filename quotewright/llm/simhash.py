@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -11,32 +12,39 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import save
+from quotewright.llm.common import mix, save
 from quotewright.llm.components import connected_components
 
 BITS = 64
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The 64-bit SimHash of a text's word shingles, each hashed by XXH64 with seed 42."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 (seed 42) of each word shingle, repeats included; of the whole sequence where there are fewer words."""
     found = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
-    if not found:
-        return 0
     joined, n = b" ".join(found), len(found)
+    digest = xxhash.xxh64_intdigest
     if n <= words:
-        return xxhash.xxh64_intdigest(joined, 42)
+        return np.array([digest(joined, 42)] if n else [], np.uint64)
     sizes = np.fromiter(map(len, found), np.int64, n)
     ends = np.cumsum(sizes + 1) - 1
     starts, ends = (ends - sizes)[: n - words + 1].tolist(), ends[words - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, ends)), ">u8", len(starts))
+    return np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, ends)), np.uint64, len(starts))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64-bit number whose bits are set in over half the hashes."""
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
+        part = hashes[at : at + (1 << 16)].astype(">u8")
         counts += np.unpackbits(part.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The 64-bit SimHash of a text's word shingles; 0 without words."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(``id_col``, fp long): one row per input row; null and blank texts have fingerprint 0."""
 
@@ -112,8 +120,112 @@ def simhash_groups(
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component."""
-    groups = simhash_groups(docs, id_col, text_col, words, distance)
+#: Sets the words of a wide fingerprint apart; the first is the plain SimHash.
+WIDE = (0, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95)
+
+
+def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(``id_col``, w array<long>): a SimHash of 256 bits, four words from four hashes of each shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = np.zeros((b.num_rows, len(WIDE)), np.uint64)
+            for i, t in enumerate(b.column(1)):
+                h = shingle_hashes(t.as_py(), words)
+                rows[i] = [majority(mix(h ^ np.uint64(c)) if c else h) for c in WIDE]
+            flat = pa.array(rows.reshape(-1).view(np.int64))
+            w = pa.FixedSizeListArray.from_arrays(flat, len(WIDE)).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), w], [id_col, "w"])
+
+    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, f"`{id_col}` long, w array<bigint>")
+
+
+def expected_distance(similarity: float) -> float:
+    """Share of bits in which the SimHashes of two equally large shingle sets of this Jaccard similarity differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def _tables(n: int, similarity: float, recall: float) -> list[Column]:
+    """Block keys: each of log2(n) random bits, as many as let a pair halfway between ``similarity`` and 0.9 share a block
+    with probability ``recall``. So neither a block's chance members nor the recall depend on the input's size."""
+    size = max(8, math.ceil(math.log2(max(n, 2))))
+    agree = (1 - expected_distance((similarity + 0.9) / 2)) ** size
+    draw, keys = np.random.default_rng(256), []
+    for at in range(max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))):
+        masks = np.zeros(len(WIDE), np.uint64)
+        for bit in draw.choice(len(WIDE) * BITS, size, replace=False).tolist():
+            masks[bit // BITS] |= np.uint64(1 << (bit % BITS))
+        words = (F.get("w", F.lit(i)).bitwiseAND(F.lit(int(m))) for i, m in enumerate(masks.view(np.int64).tolist()))
+        keys.append(F.xxhash64(F.lit(at), *words))
+    return keys
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    whole = lambda c, name: nodes.select(F.col("node").alias(c), F.col("w").alias(name))
+    apart = F.expr("aggregate(zip_with(a, b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    most = math.ceil(expected_distance(similarity) * BITS * len(WIDE))
+    return pairs.join(whole("u", "a"), "u").join(whole("v", "b"), "v").where(apart <= most).select("u", "v")
+
+
+def similar_roots(nodes: DataFrame, n: int, similarity: float = 0.8, recall: float = 0.95, group: int = 32, first: int = 6) -> DataFrame:
+    """``nodes`` (node long, w array<long>) -> (node, root): components of links between wide fingerprints as close as
+    ``similarity`` makes them.
+
+    Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
+    random (:func:`_tables`); pairs that share one are verified on all bits. Crowds come first: in the ``first`` tables, the
+    members of blocks over ``group`` are compared with the smallest of them. Then, in all tables, a component found so far
+    has one member in each block, its smallest there, and blocks are compared pair by pair; those still over
+    ``group`` with their smallest member. So a crowd costs a few rows per member, never its pairs.
+    """
+    keys = _tables(n, similarity, recall)
+    # a cheap bound on the first word, three deviations off, leaves few pairs to fetch whole fingerprints for
+    p = expected_distance(similarity)
+    near = math.ceil(BITS * p + 3 * math.sqrt(BITS * p * (1 - p)))
+    member = F.struct("node", F.get("w", F.lit(0)).alias("w0"))
+
+    def stars(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
+        met = keyed.join(sizes.where(F.col("n") > group).select("key", "hub"), "key")
+        met = met.where(f"m.node <> hub.node AND bit_count(m.w0 ^ hub.w0) <= {near}")
+        return met.select(F.col("hub.node").alias("u"), F.col("m.node").alias("v"))
+
+    def sized(keyed: DataFrame, least: int) -> DataFrame:
+        return save(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("m").alias("hub")).where(F.col("n") > least), "blocks")
+
+    keyed = nodes.select(member.alias("m"), F.explode(F.array(*keys[:first])).alias("key"))
+    crowds = save(_verified(save(stars(keyed, sized(keyed, group)).distinct(), "pairs"), nodes, similarity), "crowds")
+    found = save(connected_components(crowds), "roots")
+    known = save(nodes.join(found, "node", "left").select("node", "w", F.coalesce("root", "node").alias("root")), "known")
+    keyed = known.select("root", member.alias("m"), F.explode(F.array(*keys)).alias("key"))
+    keyed = save(keyed.groupBy("key", "root").agg(F.min("m").alias("m")).select("key", "m"), "keyed")
+    sizes = sized(keyed, 1)
+    small = keyed.join(sizes.where(F.col("n") <= group).select("key"), "key").repartition("key")
+    members = small.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("f"))
+    pairs = members.select(
+        F.explode(
+            F.expr(
+                f"""flatten(transform(f, (x, i) -> transform(
+                      filter(slice(f, i + 2, {group}), y -> bit_count(x.w0 ^ y.w0) <= {near}),
+                      y -> struct(x.node AS u, y.node AS v))))"""
+            )
+        ).alias("e")
+    ).select("e.u", "e.v")
+    pairs = save(pairs.union(stars(keyed, sizes)).distinct(), "pairs")
+    return connected_components(_verified(pairs, nodes, similarity).union(crowds))
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(``id_col``, component_id long): the smallest id that links of ``similarity`` over ``words``-word shingles reach.
+
+    Rows with a null id are dropped; rows that repeat an id share a component; blank texts link with each other only.
+    """
+    fps = save(wide_fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words), "wide")
+    nodes = save(fps.groupBy("w").agg(F.min(id_col).alias("node")), "nodes")
+    roots = similar_roots(nodes, nodes.count(), similarity)
+    rooted = nodes.join(roots, "node", "left").select("w", F.coalesce("root", "node").alias("component_id"))
+    return fps.join(save(rooted, "rooted"), "w").select(id_col, "component_id")
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component in ``groups``; a row per id."""
     firsts = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(firsts, id_col, "left_semi")
+    return docs.join(firsts, id_col, "left_semi").dropDuplicates([id_col])

@@ -143,8 +143,39 @@ def test_groups_of_odd_rows(spark):
     got = sorted((x.doc_id, x.component_id) for x in simhash.simhash_groups(docs(spark, rows)).collect())
     assert got == [(3, 3), (4, 4), (4, 4), (5, 3), (7, 7), (9, 7)]
     assert simhash.simhash_groups(docs(spark, [])).count() == 0
-    kept = simhash.keep_first(docs(spark, rows))
-    assert sorted(x.doc_id for x in kept.collect()) == [3, 4, 4, 7] and kept.columns == docs(spark, []).columns
+    df = docs(spark, rows)
+    kept = simhash.keep_first(df, simhash.simhash_groups(df))
+    assert sorted(x.doc_id for x in kept.collect()) == [3, 4, 7] and kept.columns == df.columns
+
+
+def jaccard(a, b, n=5):
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+@pytest.mark.parametrize("group", [4, 32])
+def test_similar_groups_meet_near_copies(spark, group, monkeypatch):
+    r = random.Random(17)
+    vocabulary = [words(r, 1) + str(i) for i in range(4000)]
+    texts = [[r.choice(vocabulary) for _ in range(r.randint(200, 400))] for _ in range(120)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    of = {}
+    for i in range(300):  # copies of sixty texts with one to three words changed; one text has sixty copies
+        source = i % 60 if i < 240 else 7
+        t = list(texts[source])
+        for _ in range(r.randint(1, 3)):
+            t[r.randrange(len(t))] = r.choice(vocabulary)
+        of[1000 + i] = source
+        rows.append((1000 + i, " ".join(t)))
+    rows += [(5000, None), (5001, " "), (5002, "too few"), (None, rows[0][1]), (1, rows[1][1])]
+    whole = simhash.similar_roots
+    monkeypatch.setattr(simhash, "similar_roots", lambda nodes, n, s: whole(nodes, n, s, group=group))
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
+    by_id = dict((i, t) for i, t in rows if i is not None)
+    near = [i for i, s in of.items() if jaccard(by_id[i], by_id[s]) >= 0.85]
+    assert len(near) > 250 and sum(got[i] == of[i] for i in near) >= 0.97 * len(near)
+    assert all(got[i] == i for i in range(120)) and got[5001] == 5000 and got[5002] == 5002
+    assert simhash.similar_groups(docs(spark, [])).count() == 0
 
 
 def test_components_of_chains_stars_and_loops(spark):
