@@ -36,11 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def save(df: DataFrame, tag: str) -> DataFrame:
+def save(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Writes ``df`` as a table into the shared folder and reads it back, which cuts its lineage.
 
-    The files outlive lost executors. They are removed when the driver's Python ends.
+    The files outlive lost executors. They are removed when the driver's Python ends. Where about how many ``rows`` of a
+    few numbers there are is known, files hold about 100,000 of them instead of a share for each shuffle partition.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, math.ceil(rows / 100_000)))
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quotewright-{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from quotewright.llm.common import save
 
 
-def _least_neighbour(pairs: DataFrame, tag: str) -> DataFrame:
+def _least_neighbour(pairs: DataFrame, tag: str, rows: int) -> DataFrame:
     """Saved, so that the join with it is between two plain exchanges, which Spark can split at a hub."""
-    return save(pairs.groupBy("u").agg(F.min("v").alias("m")), tag)
+    return save(pairs.groupBy("u").agg(F.min("v").alias("m")), tag, rows)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -22,19 +22,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges, before = save(edges.distinct(), "edges"), None
+    rows = 2 * edges.count()  # about as many as a round makes
     for _ in range(max_rounds):
         # large star: every larger neighbour of u is linked to the least one of u and its neighbours
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _least_neighbour(both, "large")
+        least = _least_neighbour(both, "large", rows)
         edges = (
             both.join(least, "u")
             .where("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
             .distinct()
         )
-        edges = save(edges, "edges")
+        edges = save(edges, "edges", rows)
         # small star: u and its smaller neighbours are linked to the least one
-        least = _least_neighbour(edges, "small")
+        least = _least_neighbour(edges, "small", rows)
         edges = save(
             edges.join(least, "u")
             .where("v <> m")
@@ -42,6 +43,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             .union(least.select("u", F.col("m").alias("v")))
             .distinct(),
             "edges",
+            rows,
         )
         now = edges.select(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
         if now == before:

@@ -109,14 +109,12 @@ def simhash_groups(
     blank texts have fingerprint 0 and link like any other. Other columns of ``docs`` are not read.
     """
     fps = save(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words), "fingerprints")
-    nodes = save(fps.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes")
+    nodes, n = save(fps.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes"), fps.count()
     roots = connected_components(close_pairs(nodes.select("fp"), distance))
-    rooted = save(
-        nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
-        "rooted",
-    )
-    least = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    named = save(rooted.join(least, "root").select("fp", "component_id"), "named")
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = save(rooted, "rooted", n)
+    least = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least", n)
+    named = save(rooted.join(least, "root").select("fp", "component_id"), "named", n)
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
