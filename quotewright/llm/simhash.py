@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -122,20 +123,39 @@ def simhash_groups(
 WIDE = (0, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95)
 
 
+class Nodes(NamedTuple):
+    """``prints`` (node long, w array<long>, size long): a fingerprint and the number of distinct shingles of each text;
+    ``texts`` (node long, text): where the shingles of candidate pairs come from, ``words`` long."""
+
+    prints: DataFrame
+    texts: DataFrame
+    words: int
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
+    return np.unique(shingle_hashes(text, words))
+
+
 def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(``id_col``, w array<long>): a SimHash of 256 bits, four words from four hashes of each shingle."""
+    """(``id_col``, w array<long>, size long, digest binary): a SimHash of 256 bits of the set of shingles, four words from four
+    hashes of each; how many shingles there are, and a hash of 128 bits of them all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = np.zeros((b.num_rows, len(WIDE)), np.uint64)
+            rows, sizes, digests = np.zeros((b.num_rows, len(WIDE)), np.uint64), [], []
             for i, t in enumerate(b.column(1)):
-                h = shingle_hashes(t.as_py(), words)
+                h = shingle_set(t.as_py(), words)
                 rows[i] = [majority(mix(h ^ np.uint64(c)) if c else h) for c in WIDE]
+                sizes.append(len(h))
+                digests.append(xxhash.xxh3_128_digest(h.tobytes()))
             flat = pa.array(rows.reshape(-1).view(np.int64))
             w = pa.FixedSizeListArray.from_arrays(flat, len(WIDE)).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), w], [id_col, "w"])
+            found = [b.column(0), w, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(found, [id_col, "w", "size", "digest"])
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, f"`{id_col}` long, w array<bigint>")
+    schema = f"`{id_col}` long, w array<bigint>, size long, digest binary"
+    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, schema)
 
 
 def expected_distance(similarity: float) -> float:
@@ -143,11 +163,17 @@ def expected_distance(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def most_apart(bits: int, similarity: float) -> int:
+    """Three deviations over the mean number of ``bits`` in which pairs of this similarity differ."""
+    p = expected_distance(similarity)
+    return math.ceil(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
+
+
 def _tables(n: int, similarity: float, recall: float) -> list[Column]:
-    """Block keys: each of log2(n) random bits, as many as let a pair halfway between ``similarity`` and 0.9 share a block
-    with probability ``recall``. So neither a block's chance members nor the recall depend on the input's size."""
+    """Block keys: each of log2(n) random bits, as many as let a pair at ``similarity`` share a block with probability
+    ``recall``. So neither a block's chance members nor the recall depend on the input's size; the number of keys does."""
     size = max(8, math.ceil(math.log2(max(n, 2))))
-    agree = (1 - expected_distance((similarity + 0.9) / 2)) ** size
+    agree = (1 - expected_distance(similarity)) ** size
     draw, keys = np.random.default_rng(256), []
     for at in range(max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))):
         masks = np.zeros(len(WIDE), np.uint64)
@@ -158,27 +184,56 @@ def _tables(n: int, similarity: float, recall: float) -> list[Column]:
     return keys
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    whole = lambda c, name: nodes.select(F.col("node").alias(c), F.col("w").alias(name))
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles binary): the sorted distinct hashes of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), words).tobytes() for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:
+    """Those of the ``pairs`` (u, v) whose shingle sets have a Jaccard similarity of ``similarity`` at least.
+
+    Distance and sizes only pick the candidates; each of these is then decided by its shingles.
+    """
+    whole = lambda c, w, n: nodes.prints.select(F.col("node").alias(c), F.col("w").alias(w), F.col("size").alias(n))
     apart = F.expr("aggregate(zip_with(a, b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    most = math.ceil(expected_distance(similarity) * BITS * len(WIDE))
-    return pairs.join(whole("u", "a"), "u").join(whole("v", "b"), "v").where(apart <= most).select("u", "v")
+    close = (apart <= most_apart(BITS * len(WIDE), similarity)) & F.expr(f"least(n, m) >= {similarity} * greatest(n, m)")
+    near = pairs.join(whole("u", "a", "n"), "u").join(whole("v", "b", "m"), "v").where(close).select("u", "v")
+    near = save(near.distinct(), "candidates")
+    met = near.select(F.col("u").alias("node")).union(near.select(F.col("v").alias("node"))).distinct()
+    sets = save(_sets(nodes.texts.join(met, "node", "left_semi"), nodes.words), "sets")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
+    one = near.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+    two = one.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    return two.select("u", "v", "a", "b").mapInArrow(decide, "u long, v long").distinct()
 
-def similar_roots(nodes: DataFrame, n: int, similarity: float = 0.8, recall: float = 0.95, group: int = 32, first: int = 6) -> DataFrame:
-    """``nodes`` (node long, w array<long>) -> (node, root): components of links between wide fingerprints as close as
-    ``similarity`` makes them.
+
+def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.95, group: int = 32, first: int = 6) -> DataFrame:
+    """``nodes`` -> (node, root): components of links between texts whose shingle sets are as similar as ``similarity``.
 
     Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
-    random (:func:`_tables`); pairs that share one are verified on all bits. Crowds come first: in the ``first`` tables, the
+    random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first: in the ``first`` tables, the
     members of blocks over ``group`` are compared with the smallest of them. Then, in all tables, a component found so far
     has one member in each block, its smallest there, and blocks are compared pair by pair; those still over
     ``group`` with their smallest member. So a crowd costs a few rows per member, never its pairs.
     """
     keys = _tables(n, similarity, recall)
     # a cheap bound on the first word, three deviations off, leaves few pairs to fetch whole fingerprints for
-    p = expected_distance(similarity)
-    near = math.ceil(BITS * p + 3 * math.sqrt(BITS * p * (1 - p)))
+    near = most_apart(BITS, similarity)
     member = F.struct("node", F.get("w", F.lit(0)).alias("w0"))
 
     def stars(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -189,10 +244,10 @@ def similar_roots(nodes: DataFrame, n: int, similarity: float = 0.8, recall: flo
     def sized(keyed: DataFrame, least: int) -> DataFrame:
         return save(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("m").alias("hub")).where(F.col("n") > least), "blocks")
 
-    keyed = nodes.select(member.alias("m"), F.explode(F.array(*keys[:first])).alias("key"))
-    crowds = save(_verified(save(stars(keyed, sized(keyed, group)).distinct(), "pairs"), nodes, similarity), "crowds")
+    keyed = nodes.prints.select(member.alias("m"), F.explode(F.array(*keys[:first])).alias("key"))
+    crowds = save(verified(save(stars(keyed, sized(keyed, group)).distinct(), "pairs"), nodes, similarity), "crowds")
     found = save(connected_components(crowds), "roots")
-    known = save(nodes.join(found, "node", "left").select("node", "w", F.coalesce("root", "node").alias("root")), "known")
+    known = save(nodes.prints.join(found, "node", "left").select("node", "w", F.coalesce("root", "node").alias("root")), "known")
     keyed = known.select("root", member.alias("m"), F.explode(F.array(*keys)).alias("key"))
     keyed = save(keyed.groupBy("key", "root").agg(F.min("m").alias("m")).select("key", "m"), "keyed")
     sizes = sized(keyed, 1)
@@ -208,7 +263,7 @@ def similar_roots(nodes: DataFrame, n: int, similarity: float = 0.8, recall: flo
         ).alias("e")
     ).select("e.u", "e.v")
     pairs = save(pairs.union(stars(keyed, sizes)).distinct(), "pairs")
-    return connected_components(_verified(pairs, nodes, similarity).union(crowds))
+    return connected_components(verified(pairs, nodes, similarity).union(crowds))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -216,11 +271,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Rows with a null id are dropped; rows that repeat an id share a component; blank texts link with each other only.
     """
-    fps = save(wide_fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words), "wide")
-    nodes = save(fps.groupBy("w").agg(F.min(id_col).alias("node")), "nodes")
-    roots = similar_roots(nodes, nodes.count(), similarity)
-    rooted = nodes.join(roots, "node", "left").select("w", F.coalesce("root", "node").alias("component_id"))
-    return fps.join(save(rooted, "rooted"), "w").select(id_col, "component_id")
+    docs = docs.where(F.col(id_col).isNotNull())
+    fps = save(wide_fingerprints(docs, id_col, text_col, words), "wide")
+    named = save(fps.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("w").alias("w"), F.first("size").alias("size")), "nodes")
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    roots = similar_roots(Nodes(named.select("node", "w", "size"), texts, words), named.count(), similarity)
+    rooted = named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
+    return fps.join(save(rooted, "rooted"), "digest").select(id_col, "component_id")
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:

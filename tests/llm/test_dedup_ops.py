@@ -199,3 +199,19 @@ def test_spread_lines(spark):
     assert got[90, "s1"].n_removed == 0 and got[90, "s1"].text == f"{common}\n{common}"  # a copy stays whole
     assert got[91, "s2"].text is None and got[91, "s2"].n_lines == 0 and got[92, None].text == "" and got[93, None].n_removed == 0
     assert line_dedup.drop_spread_lines(docs(spark, [])).count() == 0
+
+
+def test_pairs_at_the_threshold_are_linked_and_others_are_not(spark):
+    r = random.Random(23)
+    vocabulary = [words(r, 1) + str(i) for i in range(4000)]
+    rows, near, far = [], [], []
+    for i in range(240):
+        t = [r.choice(vocabulary) for _ in range(300)]
+        rows.append((i, " ".join(t)))
+        cut = r.choice((26, 27, 28, 38, 42))  # words changed in one run: similarities of 0.73, 0.75 and 0.80 to 0.82
+        t[100 : 100 + cut] = [r.choice(vocabulary) + "x" for _ in range(cut)]
+        rows.append((1000 + i, " ".join(t)))
+        (near if jaccard(rows[-2][1], rows[-1][1]) >= 0.8 else far).append(i)
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
+    assert len(near) > 30 and sum(got[1000 + i] == i for i in near) >= 0.85 * len(near)
+    assert len(far) > 80 and all(got[1000 + i] == 1000 + i for i in far)
