@@ -222,35 +222,73 @@ def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:
     return two.select("u", "v", "a", "b").mapInArrow(decide, "u long, v long").distinct()
 
 
+def _grid_pairs(large: DataFrame, near: int, side: int = 2048) -> DataFrame:
+    """``large`` (key, n, m struct<node, w0>) -> all pairs (u, v) of a key's members within ``near`` bits of ``w0``.
+
+    A block's members are dealt to n / ``side`` parts, and every two parts meet in one cell: so each pair is compared
+    once, in arrays, and no task holds more than a cell of a block.
+    """
+    parts = F.ceil(F.col("n") / side).cast("int")
+    dealt = large.withColumn("own", F.pmod(F.xxhash64("m.node", F.lit(1)), parts).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    cell = [F.col("key"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")]
+    dealt = dealt.select(*cell, "own", F.col("m.node").alias("node"), F.col("m.w0").alias("w0"))
+    cells = dealt.groupBy("key", "lo", "hi").agg(*(F.collect_list(F.when(F.col("own") == F.col(s), F.struct("node", "w0"))).alias(s + "_m") for s in ("lo", "hi")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                (xn, xw), (yn, yw) = ([c.field(k).to_numpy() for k in range(2)] for c in (b.column(j)[i].values for j in (1, 2)))
+                for at in range(0, len(xn), 256):
+                    hit = np.bitwise_count(xw[at : at + 256, None].view(np.uint64) ^ yw[None, :].view(np.uint64)) <= near
+                    if b.column(0)[i].as_py():
+                        hit &= xn[at : at + 256, None] < yn[None, :]
+                    p, q = np.nonzero(hit)
+                    u, v = xn[at + p], yn[q]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    return cells.select((F.col("lo") == F.col("hi")).alias("same"), "lo_m", "hi_m").mapInArrow(run, "u long, v long")
+
+
 def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.95, group: int = 32, first: int = 6) -> DataFrame:
     """``nodes`` -> (node, root): components of links between texts whose shingle sets are as similar as ``similarity``.
 
     Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
     random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first: in the ``first`` tables, the
-    members of blocks over ``group`` are compared with the smallest of them. Then, in all tables, a component found so far
-    has one member in each block, its smallest there, and blocks are compared pair by pair; those still over
-    ``group`` with their smallest member. So a crowd costs a few rows per member, never its pairs.
+    members of blocks over ``group`` are compared with one of them, drawn anew in each round, until a round links
+    few. Then, in all tables, a component found so far has one member in each block, and all members of a block are
+    compared pair by pair, in blocks over ``group`` by cells of a grid. So a crowd costs a few rows per member, and
+    no pair that shares a block is left out for the block's size.
     """
     keys = _tables(n, similarity, recall)
     # a cheap bound on the first word, three deviations off, leaves few pairs to fetch whole fingerprints for
     near = most_apart(BITS, similarity)
     member = F.struct("node", F.get("w", F.lit(0)).alias("w0"))
-
-    def stars(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
+    links, turn = None, 0
+    known = nodes.prints.withColumn("root", F.col("node"))
+
+    def blocked(keys: list[Column], order: Column) -> tuple[DataFrame, DataFrame]:
+        """(key, m): a member of each component in each block of two at least; (key, n, hub): the blocks."""
+        keyed = known.select("root", member.alias("m"), F.explode(F.array(*keys)).alias("key"))
+        keyed = save(keyed.groupBy("key", "root").agg(F.min("m").alias("m")).select("key", "m"), "keyed")
+        sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("m", order).alias("hub"))
+        return keyed, save(sizes.where("n > 1"), "blocks")
+
+    while True:
+        keyed, sizes = blocked(keys[:first], F.xxhash64("m.node", F.lit(turn)))
         met = keyed.join(sizes.where(F.col("n") > group).select("key", "hub"), "key")
         met = met.where(f"m.node <> hub.node AND bit_count(m.w0 ^ hub.w0) <= {near}")
-        return met.select(F.col("hub.node").alias("u"), F.col("m.node").alias("v"))
-
-    def sized(keyed: DataFrame, least: int) -> DataFrame:
-        return save(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("m").alias("hub")).where(F.col("n") > least), "blocks")
-
-    keyed = nodes.prints.select(member.alias("m"), F.explode(F.array(*keys[:first])).alias("key"))
-    crowds = save(verified(save(stars(keyed, sized(keyed, group)).distinct(), "pairs"), nodes, similarity), "crowds")
-    found = save(connected_components(crowds), "roots")
-    known = save(nodes.prints.join(found, "node", "left").select("node", "w", F.coalesce("root", "node").alias("root")), "known")
-    keyed = known.select("root", member.alias("m"), F.explode(F.array(*keys)).alias("key"))
-    keyed = save(keyed.groupBy("key", "root").agg(F.min("m").alias("m")).select("key", "m"), "keyed")
-    sizes = sized(keyed, 1)
+        stars = save(met.select(F.least("hub.node", "m.node").alias("u"), F.greatest("hub.node", "m.node").alias("v")).distinct(), "pairs")
+        compared = stars.count()
+        if not compared:
+            break
+        crowds = save(verified(stars, nodes, similarity), "crowds")
+        links, turn = crowds if links is None else links.union(crowds), turn + 1
+        found = save(connected_components(links), "roots")
+        known = save(nodes.prints.join(found, "node", "left").select("node", "w", F.coalesce("root", "node").alias("root")), "known")
+        if 10 * crowds.count() < compared:
+            break
+    keyed, sizes = blocked(keys, F.col("m.node"))
     small = keyed.join(sizes.where(F.col("n") <= group).select("key"), "key").repartition("key")
     members = small.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("f"))
     pairs = members.select(
@@ -262,8 +300,10 @@ def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float =
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    pairs = save(pairs.union(stars(keyed, sizes)).distinct(), "pairs")
-    return connected_components(verified(pairs, nodes, similarity).union(crowds))
+    large = keyed.join(sizes.where(F.col("n") > group).select("key", "n"), "key")
+    pairs = save(pairs.union(_grid_pairs(large, near)).distinct(), "pairs")
+    last = verified(pairs, nodes, similarity)
+    return connected_components(last if links is None else links.union(last))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -215,3 +215,24 @@ def test_pairs_at_the_threshold_are_linked_and_others_are_not(spark):
     got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
     assert len(near) > 30 and sum(got[1000 + i] == i for i in near) >= 0.85 * len(near)
     assert len(far) > 80 and all(got[1000 + i] == 1000 + i for i in far)
+
+
+def test_large_blocks_are_compared_pair_by_pair(spark):
+    """Near copies in a family with a long common passage: all blocks are large, and their smallest node is near none."""
+    r = random.Random(31)
+    vocabulary = [words(r, 1) + str(i) for i in range(4000)]
+    common = [r.choice(vocabulary) for _ in range(200)]
+    rows = []
+    for i in range(200):
+        own = [r.choice(vocabulary) for _ in range(100)]
+        rows.append((i, " ".join(common + own)))
+        own[50:54] = [r.choice(vocabulary) + "x" for _ in range(4)]
+        rows.append((1000 + i, " ".join(common + own)))
+    rows.append((-1, " ".join(common)))
+    whole = simhash.similar_roots
+    simhash.similar_roots = lambda nodes, n, s: whole(nodes, n, s, group=4)
+    try:
+        got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
+    finally:
+        simhash.similar_roots = whole
+    assert sum(got[1000 + i] == i for i in range(200)) >= 190
