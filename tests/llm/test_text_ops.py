@@ -207,6 +207,26 @@ def test_classifier(spark):
     assert all(x.kept for x in quality_model.classify(table(spark, good), trusted.limit(0)).collect())
 
 
+def test_thresholds_cover_all_other_trusted_rows(spark):
+    r = random.Random(22)
+    rows = [(i, text(r, r.randint(3, 30)), "rare" if i % 10 == 0 else "hot", "s") for i in range(600)]
+    docs = table(spark, rows)
+    ids = docs.select("doc_id").withColumn("half", F.pmod(F.hash("doc_id"), F.lit(2))).orderBy(F.xxhash64("doc_id")).collect()
+    trained = [x.doc_id for x in ids if x.half == 0][:20]
+    found = quality_model.classify(docs, docs.select("doc_id"), sample=20).collect()
+    for lang in ("rare", "hot"):
+        own = [x.perplexity for x in found if x.lang == lang and x.doc_id not in trained]
+        assert len(own) > 50 and [x.threshold for x in found if x.lang == lang] == pytest.approx([np.quantile(own, 0.99)] * (60 if lang == "rare" else 540))
+
+
+def test_exact_quantile(spark):
+    r = random.Random(24)
+    rows = [(r.choice("ab"), 10 ** r.uniform(0, 3)) for _ in range(500)] + [("same", 7.0)] * 90 + [("one", 3.0), (None, 2.0), (None, 4.0)]
+    for q in (0.0, 0.5, 0.99, 1.0):
+        got = {x.lang: x.limit for x in quality_model.exact_quantile(spark.createDataFrame(rows, "lang string, x double"), ["lang"], q).collect()}
+        assert got == {k: pytest.approx(np.quantile([x for c, x in rows if c == k], q)) for k in ("a", "b", "same", "one", None)}
+
+
 # --- mixing
 
 
