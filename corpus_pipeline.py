@@ -22,9 +22,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return classify(docs, trusted).where("kept").select(*COLUMNS)
 
 
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id): the documents that have a near copy among ``docs``."""
+    groups = save(similar_groups(docs, words=5, similarity=0.8), "groups")
+    many = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
+    return groups.join(many, "component_id").select("doc_id").distinct()
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes cross-site lines out of the texts."""
-    cleaned = drop_spread_lines(docs, least_sites=8).withColumn("n_chars", F.length("text").cast("long"))
+    """Takes cross-site lines out of the texts, but for near copies and texts of nothing else: the next stage judges these."""
+    cleaned = drop_spread_lines(docs, least_sites=8, copies=near_copies).withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*COLUMNS)
 
 

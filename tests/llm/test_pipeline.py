@@ -100,3 +100,16 @@ def test_odd_documents_pass_through(spark):
             assert out.count() >= (len(table) > 0)
             docs = docs if "text" not in out.columns else out
     assert line_dedup.drop_spread_lines(spark.createDataFrame(odd, kind)).count() == 5
+
+
+def test_pages_of_mostly_boilerplate_are_cleaned(spark):
+    own = lambda i: " ".join(f"own{k}x{i}" for k in range(40))
+    menu = [f"a rather long line of a menu that all the sites share, number {i}" for i in range(8)]
+    rows = [(i, "\n".join([own(i), *menu]), "en", f"s{i}", None) for i in range(12)]
+    rows += [(50 + i, "\n".join(menu), "en", "s1", None) for i in range(2)]
+    story = [" ".join(f"w{k}x{i}" for k in range(60)) for i in range(9)]
+    rows += [(100 + i, "\n".join([*story, f"altered {i}"]), "en", f"s{i}", None) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    after = {r.doc_id: r.text for r in pipeline.line_dedup(spark, docs, SMALL).collect()}
+    assert all(after[i] == own(i) for i in range(12))
+    assert all(after[r[0]] == r[1] for r in rows[12:])  # nothing else in them, or altered copies
