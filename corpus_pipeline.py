@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from quotewright.llm.packing import pack_documents
 from quotewright.llm.quality_model import classify
 from quotewright.llm.simhash import keep_first, similar_groups
 
+#: Slots after which the schedule repeats, and how many spans of it are packed apart at most.
+PERIOD, SPANS = 1000, 64
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -46,8 +50,16 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents into sequences of 2048 tokens."""
-    packed = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Packs the documents into sequences of 2048 tokens, numbered by the schedule.
+
+    The schedule is that of the mixing stage, whose order a table doesn't hold. It is cut into at most ``SPANS`` spans of whole
+    periods; each is packed apart, so sequences in the order of their numbers have the sources' target weights.
+    """
+    mixed = mix_sources(docs)
+    last = mixed.agg(F.max("slot")).first()[0] or 0
+    periods = math.ceil((last + 1) / (SPANS * PERIOD))
+    mixed = mixed.withColumn("span", F.floor(F.col("slot") / (periods * PERIOD)).cast("long"))
+    packed = pack_documents(mixed, public_tokenizers.path("byte_bpe_50k.json"), group_col="span")
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -42,9 +42,10 @@ def encoder(path: str) -> tiktoken.Encoding:
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False,
+    group_col: str | None = None,
 ) -> DataFrame:
-    """(``id_col``, piece, start, length, ids_crc32[, ids]): each text's ids and ``end_id``, cut if over ``capacity``.
+    """(``id_col``, piece, start, length, ids_crc32[, ids][, ``group_col``]): each text's ids and ``end_id``, cut if over ``capacity``.
 
     All pieces of a cut text but the first are full. Null and empty texts give the end id alone.
     """
@@ -53,20 +54,25 @@ def pieces(
         encode = encoder(tokenizer).encode_ordinary
         for b in batches:
             rows: tuple[list, ...] = ([], [], [], [], [], [])
-            for i, text in zip(b.column(0).to_pylist(), b.column(1)):
+            texts_of = []
+            for i, (name, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1))):
                 ids = np.array([*encode(text.as_py() or ""), end_id], "<u4")
                 first = len(ids) % capacity or capacity
                 for k, end in enumerate(range(first, len(ids) + 1, capacity)):
                     start = max(0, end - capacity)
                     own = ids[start:end]
-                    for to, x in zip(rows, (i, k, start, end - start, zlib.crc32(own.tobytes()), own.tolist() if keep_ids else None)):
+                    for to, x in zip(rows, (name, k, start, end - start, zlib.crc32(own.tobytes()), own.tolist() if keep_ids else None)):
                         to.append(x)
+                    texts_of.append(i)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
             n = 5 + keep_ids
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows[:n], kinds)], [id_col, "piece", "start", "length", "ids_crc32", "ids"][:n])
+            arrays, names = [pa.array(x, t) for x, t in zip(rows[:n], kinds)], [id_col, "piece", "start", "length", "ids_crc32", "ids"][:n]
+            more = [b.column(2).take(pa.array(texts_of, pa.int64()))] if group_col else []
+            yield pa.RecordBatch.from_arrays([*arrays, *more], [*names, *[group_col] * len(more)])
 
-    schema = f"`{id_col}` long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
+    schema = f"`{id_col}` long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids + (f", `{group_col}` long" if group_col else "")
+    group = [F.col(group_col).cast("long")] if group_col else []
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *group).mapInArrow(run, schema)
 
 
 def _exact_fill(have: np.ndarray, gap: int) -> tuple[int, ...] | None:
@@ -144,36 +150,43 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
     return min(made, alone, key=lambda p: sum(n for _, n in p))
 
 
-def place(found: DataFrame, capacity: int = 2048, id_col: str = "doc_id") -> DataFrame:
-    """``found`` (rows of :func:`pieces`, saved) with sequence_id and offset."""
+def place(found: DataFrame, capacity: int = 2048, id_col: str = "doc_id", group_col: str | None = None) -> DataFrame:
+    """``found`` (rows of :func:`pieces`, saved) with sequence_id and offset; windows hold pieces of one group, and are numbered
+    group by group."""
+    by = [group_col, "length"] if group_col else ["length"]
     n = found.count()
     salts = max(32, n // 500_000)
     salted = found.withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.lit(salts)))
-    sums = save(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
-    counts = {r.length: r.n for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy(id_col, "piece"))
-    ranked = salted.withColumn("nth", nth).join(sums, ["length", "salt"]).withColumn("nth", F.col("nth") - 1 + F.col("before"))
+    sums = save(salted.groupBy(*by, "salt").agg(F.count("*").alias("n")), "lengths")
+    groups: dict[int, dict[int, int]] = defaultdict(dict)
+    for r in sums.groupBy(*by).agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows a group
+        groups[r[group_col] if group_col else 0][r.length] = r.n
+    before = Window.partitionBy(*by).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*by, "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy(*by, "salt").orderBy(id_col, "piece"))
+    ranked = salted.withColumn("nth", nth).join(sums, [*by, "salt"]).withColumn("nth", F.col("nth") - 1 + F.col("before"))
     ranked = ranked.drop("salt", "before")
 
-    slots, upto, first = [], defaultdict(int), 0
-    for held, m in plan(counts, capacity):
-        at = 0
-        for length in sorted(set(held), reverse=True):
-            each = held.count(length)
-            slots.append((length, upto[length], each, first, at))
-            upto[length] += m * each
-            at += each * length
-        first += m
+    slots, first = [], 0
+    for nth_group, group in enumerate(sorted(groups)):
+        upto: dict[int, int] = defaultdict(int)
+        for held, m in plan(groups[group], capacity):
+            at = 0
+            for length in sorted(set(held), reverse=True):
+                each = held.count(length)
+                slots.append((nth_group * (capacity + 1) + length, upto[length], each, first, at))
+                upto[length] += m * each
+                at += each * length
+            first += m
     table = np.array(sorted(slots), np.int64).reshape(-1, 5)
-    keys = (table[:, 0] << 48) + table[:, 1]
+    keys, order = (table[:, 0] << 40) + table[:, 1], np.array(sorted(groups), np.int64)
     names = ranked.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             length, nth = (b.column(names.index(c)).to_numpy() for c in ("length", "nth"))
-            slot = table[np.searchsorted(keys, (length << 48) + nth, "right") - 1]
+            group = np.searchsorted(order, b.column(names.index(group_col)).to_numpy()) if group_col else 0
+            slot = table[np.searchsorted(keys, (group * (capacity + 1) + length << 40) + nth, "right") - 1]
             k = nth - slot[:, 1]
             own = {"sequence_id": slot[:, 3] + k // slot[:, 2], "offset": slot[:, 4] + k % slot[:, 2] * length}
             kept = [(c, b.column(i)) for i, c in enumerate(names) if c != "nth"]
@@ -184,11 +197,14 @@ def place(found: DataFrame, capacity: int = 2048, id_col: str = "doc_id") -> Dat
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False,
+    group_col: str | None = None,
 ) -> DataFrame:
     """Every document's pieces with their window (sequence_id) and place in it (offset), gapless from 0.
 
     ``tokenizer`` is the path of a byte-level BPE file, the same on every executor. Rows that repeat an id are
-    packed one by one. An empty table gives an empty result. Other columns of ``docs`` are not read.
+    packed one by one. An empty table gives an empty result. With ``group_col`` (whole numbers), groups are packed apart and
+    sequences are numbered in the groups' order; the driver has a histogram of each. Other columns of ``docs`` are not read.
     """
-    return place(save(pieces(docs, tokenizer, capacity, end_id, id_col, text_col, keep_ids), "pieces"), capacity, id_col)
+    found = save(pieces(docs, tokenizer, capacity, end_id, id_col, text_col, keep_ids, group_col), "pieces")
+    return place(found, capacity, id_col, group_col)

@@ -113,3 +113,12 @@ def test_pages_of_mostly_boilerplate_are_cleaned(spark):
     after = {r.doc_id: r.text for r in pipeline.line_dedup(spark, docs, SMALL).collect()}
     assert all(after[i] == own(i) for i in range(12))
     assert all(after[r[0]] == r[1] for r in rows[12:])  # nothing else in them, or altered copies
+
+
+def test_sequences_follow_the_schedule(spark):
+    sources = ["hot"] * 12_000 + ["a"] * 3000 + ["b"] * 3000
+    docs = spark.createDataFrame([(i, f"text {i}", "en", s, None) for i, s in enumerate(sources)], "doc_id long, text string, lang string, source string, n_chars long")
+    packed = pipeline.packing(spark, docs, SMALL).orderBy("sequence_id", "offset").collect()
+    assert len(packed) == len(sources)
+    first = Counter(sources[r.doc_id] for r in packed[:4000])  # the schedule's first 1000 slots; weights of 2, 1, 1
+    assert all(abs(first[s] / 4000 - w) < 0.01 for s, w in (("hot", 0.5), ("a", 0.25), ("b", 0.25)))
