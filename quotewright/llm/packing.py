@@ -10,7 +10,7 @@ import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +29,19 @@ def encoder(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` JSON file, run by a faster library; same ids.
 
     The file's token names spell each byte as a printable character: bytes that are printable in Latin-1 stand
-    for themselves, the others follow from code point 256 on. A token's id is its merge rank.
+    for themselves, the others follow from code point 256 on. A token's id is its merge rank. The file's added tokens are
+    special ones: ``encode`` with ``allowed_special="all"`` gives their ids, ``encode_ordinary`` takes them for text.
     """
     with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
+        file = json.load(f)
+    model = file["model"]
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     names = {chr(b): b for b in plain}
     names |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
     ranks = {bytes(names[c] for c in token): i for token, i in model["vocab"].items() if all(c in names for c in token)}
-    special = {b"<|endoftext|>"}  # its string in a text is ordinary text
-    return tiktoken.Encoding("corpus", pat_str=SPLIT, mergeable_ranks={t: i for t, i in ranks.items() if t not in special}, special_tokens={})
+    added = {t["content"]: t["id"] for t in file.get("added_tokens", ())}
+    special = {t.encode() for t in added}
+    return tiktoken.Encoding("corpus", pat_str=SPLIT, mergeable_ranks={t: i for t, i in ranks.items() if t not in special}, special_tokens=added)
 
 
 def pieces(
@@ -51,7 +54,7 @@ def pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
+        encode = partial(encoder(tokenizer).encode, allowed_special="all")
         for b in batches:
             rows: tuple[list, ...] = ([], [], [], [], [], [])
             texts_of = []

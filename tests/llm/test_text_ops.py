@@ -68,6 +68,13 @@ def test_packing_is_whole_and_tight(spark):
     assert used <= math.ceil(sum(x.length for x in rows) / 256) * 1.03 + 1
 
 
+def test_added_tokens_have_their_ids(spark):
+    texts = {1: "a<|endoftext|>b", 2: "<|endoftext|>", 3: " x  <|endoftext|>\n<|endoftext|><|endoftext|> y", 4: "<|endoftext |>"}
+    rows = packing.pack_documents(table(spark, texts.items()), BPE, keep_ids=True).collect()
+    check_packed(rows, texts, 2048)
+    assert {r.doc_id: r.ids.count(50256) for r in rows} == {1: 1, 2: 1, 3: 3, 4: 0}
+
+
 def test_packing_of_odd_tables(spark):
     assert packing.pack_documents(table(spark, []), BPE).count() == 0
     rows = packing.pack_documents(table(spark, [(1, "same"), (1, "same"), (None, "x")]), BPE, keep_ids=True).collect()
