@@ -106,10 +106,10 @@ def simhash_groups(
 ) -> DataFrame:
     """(``id_col``, fp long, component_id long): the smallest id that links of ``distance`` bits reach.
 
-    Rows with a null id are dropped; rows that repeat an id are kept and share a component. Null, empty and
-    blank texts have fingerprint 0 and link like any other. Other columns of ``docs`` are not read.
+    Rows that repeat an id are kept, and so are rows with a null id, which is no component's name: a component without any other
+    id has a null one. Null, empty and blank texts have fingerprint 0 and link like any other. Other columns of ``docs`` are not read.
     """
-    fps = save(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words), "fingerprints")
+    fps = save(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes, n = save(fps.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes"), fps.count()
     roots = connected_components(close_pairs(nodes.select("fp"), distance))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -123,12 +123,23 @@ def simhash_groups(
 WIDE = (0, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95)
 
 
+#: What tells a row from others: a null id or not, the id, a hash of the text. Rows that agree in these are one text.
+ROW = ["no_id", "id", "text_hash"]
+
+
+def _row(id_col: str, text_col: str) -> list[Column]:
+    own = F.col(id_col).cast("long")
+    return [own.isNull().alias("no_id"), own.alias("id"), F.xxhash64(text_col).alias("text_hash")]
+
+
 class Nodes(NamedTuple):
-    """``prints`` (node long, w array<long>, size long): a fingerprint and the number of distinct shingles of each text;
-    ``texts`` (node long, text): where the shingles of candidate pairs come from, ``words`` long."""
+    """``prints`` (node long, w array<long>, size long, row columns): a fingerprint and the number of distinct shingles of each
+    distinct set of shingles, and a row that has it; ``docs``: where the shingles of candidate pairs come from, ``words`` long."""
 
     prints: DataFrame
-    texts: DataFrame
+    docs: DataFrame
+    id_col: str
+    text_col: str
     words: int
 
 
@@ -138,24 +149,24 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(``id_col``, w array<long>, size long, digest binary): a SimHash of 256 bits of the set of shingles, four words from four
+    """(``ROW``, w array<long>, size long, digest binary): a SimHash of 256 bits of the set of shingles, four words from four
     hashes of each; how many shingles there are, and a hash of 128 bits of them all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, sizes, digests = np.zeros((b.num_rows, len(WIDE)), np.uint64), [], []
-            for i, t in enumerate(b.column(1)):
+            for i, t in enumerate(b.column(3)):
                 h = shingle_set(t.as_py(), words)
                 rows[i] = [majority(mix(h ^ np.uint64(c)) if c else h) for c in WIDE]
                 sizes.append(len(h))
                 digests.append(xxhash.xxh3_128_digest(h.tobytes()))
             flat = pa.array(rows.reshape(-1).view(np.int64))
             w = pa.FixedSizeListArray.from_arrays(flat, len(WIDE)).cast(pa.list_(pa.int64()))
-            found = [b.column(0), w, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
-            yield pa.RecordBatch.from_arrays(found, [id_col, "w", "size", "digest"])
+            found = [b.column(0), b.column(1), b.column(2), w, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(found, [*ROW, "w", "size", "digest"])
 
-    schema = f"`{id_col}` long, w array<bigint>, size long, digest binary"
-    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, schema)
+    schema = "no_id boolean, id long, text_hash long, w array<bigint>, size long, digest binary"
+    return docs.select(*_row(id_col, text_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def expected_distance(similarity: float) -> float:
@@ -184,15 +195,20 @@ def _tables(n: int, similarity: float, recall: float) -> list[Column]:
     return keys
 
 
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, shingles binary): the sorted distinct hashes of each text."""
+def _sets(nodes: Nodes, met: DataFrame) -> DataFrame:
+    """(node, shingles binary): the sorted distinct hashes of the texts of ``met`` (node)."""
+    words = nodes.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t.as_py(), words).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+    wanted = nodes.prints.join(met, "node", "left_semi").select("node", *ROW)
+    texts = nodes.docs.select(*_row(nodes.id_col, nodes.text_col), F.col(nodes.text_col).cast("string").alias("text"))
+    same = texts.no_id.eqNullSafe(wanted.no_id) & texts.id.eqNullSafe(wanted.id) & (texts.text_hash == wanted.text_hash)
+    # repeated rows: one of them
+    return texts.join(wanted, same).select("node", "text").groupBy("node").agg(F.min("text").alias("text")).mapInArrow(run, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:
@@ -206,7 +222,7 @@ def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:
     near = pairs.join(whole("u", "a", "n"), "u").join(whole("v", "b", "m"), "v").where(close).select("u", "v")
     near = save(near.distinct(), "candidates")
     met = near.select(F.col("u").alias("node")).union(near.select(F.col("v").alias("node"))).distinct()
-    sets = save(_sets(nodes.texts.join(met, "node", "left_semi"), nodes.words), "sets")
+    sets = save(_sets(nodes, met), "sets")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,77 +266,102 @@ def _grid_pairs(large: DataFrame, near: int, side: int = 2048) -> DataFrame:
     return cells.select((F.col("lo") == F.col("hi")).alias("same"), "lo_m", "hi_m").mapInArrow(run, "u long, v long")
 
 
-def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.95, group: int = 32, first: int = 6) -> DataFrame:
+def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int, near: int) -> tuple[DataFrame | None, DataFrame]:
+    """Links found in blocks of over ``group``, and (node, w, size, crowd): a node's crowd so far, itself where it has none.
+
+    The members of such a block are compared with one of them, drawn anew in each round, until a round links few. A member that is
+    linked joins its crowd; later, a crowd has one member in each block. So a crowd costs a few rows per member.
+    """
+    known, links, turn = nodes.prints.select("node", "w", F.col("node").alias("crowd")), None, 0
+    while True:
+        keyed = known.select("crowd", member(), F.explode(F.array(*keys)).alias("key")).groupBy("key", "crowd").agg(F.min("m").alias("m"))
+        keyed = save(keyed, "keyed")
+        hub = F.min_by(F.struct("crowd", "m"), F.xxhash64("m.node", F.lit(turn))).alias("hub")
+        hubs = save(keyed.groupBy("key").agg(F.count("*").alias("n"), hub).where(F.col("n") > group), "hubs")
+        stars = keyed.join(hubs.select("key", "hub"), "key").where(f"crowd <> hub.crowd AND bit_count(m.w0 ^ hub.m.w0) <= {near}")
+        stars = stars.select(F.col("hub.m.node").alias("u"), F.col("m.node").alias("v"), F.col("hub.crowd").alias("to"), "crowd")
+        stars = save(stars.distinct(), "stars")
+        compared = stars.count()
+        if not compared:
+            return links, known
+        found = save(verified(stars, nodes, similarity).join(stars, ["u", "v"]), "crowds")
+        links, turn = found.select("u", "v") if links is None else links.union(found.select("u", "v")), turn + 1
+        joined = found.groupBy("crowd").agg(F.min("to").alias("to"))
+        known = save(known.join(joined, "crowd", "left").select("node", "w", F.coalesce("to", "crowd").alias("crowd")), "known")
+        if 10 * found.count() < compared:
+            return links, known
+
+
+def member() -> Column:
+    return F.struct("node", F.get("w", F.lit(0)).alias("w0")).alias("m")
+
+
+def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.98, group: int = 32, first: int = 6) -> DataFrame:
     """``nodes`` -> (node, root): components of links between texts whose shingle sets are as similar as ``similarity``.
 
     Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
-    random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first: in the ``first`` tables, the
-    members of blocks over ``group`` are compared with one of them, drawn anew in each round, until a round links
-    few. Then, in all tables, a component found so far has one member in each block, and all members of a block are
-    compared pair by pair, in blocks over ``group`` by cells of a grid. So a crowd costs a few rows per member, and
-    no pair that shares a block is left out for the block's size.
+    random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first (:func:`_crowds`), in the
+    ``first`` tables. Then, in all tables, the members of a block are compared pair by pair, but for those of one crowd; in blocks
+    over ``group``, a crowd has one member, and the pairs are compared in cells of a grid. No pair that shares a block is left
+    out for the block's size.
     """
     keys = _tables(n, similarity, recall)
     # a cheap bound on the first word, three deviations off, leaves few pairs to fetch whole fingerprints for
     near = most_apart(BITS, similarity)
-    member = F.struct("node", F.get("w", F.lit(0)).alias("w0"))
-    links, turn = None, 0
-    known = nodes.prints.withColumn("root", F.col("node"))
-
-    def blocked(keys: list[Column], order: Column) -> tuple[DataFrame, DataFrame]:
-        """(key, m): a member of each component in each block of two at least; (key, n, hub): the blocks."""
-        keyed = known.select("root", member.alias("m"), F.explode(F.array(*keys)).alias("key"))
-        keyed = save(keyed.groupBy("key", "root").agg(F.min("m").alias("m")).select("key", "m"), "keyed")
-        sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("m", order).alias("hub"))
-        return keyed, save(sizes.where("n > 1"), "blocks")
-
-    while True:
-        keyed, sizes = blocked(keys[:first], F.xxhash64("m.node", F.lit(turn)))
-        met = keyed.join(sizes.where(F.col("n") > group).select("key", "hub"), "key")
-        met = met.where(f"m.node <> hub.node AND bit_count(m.w0 ^ hub.w0) <= {near}")
-        stars = save(met.select(F.least("hub.node", "m.node").alias("u"), F.greatest("hub.node", "m.node").alias("v")).distinct(), "pairs")
-        compared = stars.count()
-        if not compared:
-            break
-        crowds = save(verified(stars, nodes, similarity), "crowds")
-        links, turn = crowds if links is None else links.union(crowds), turn + 1
-        found = save(connected_components(links), "roots")
-        known = save(nodes.prints.join(found, "node", "left").select("node", "w", F.coalesce("root", "node").alias("root")), "known")
-        if 10 * crowds.count() < compared:
-            break
-    keyed, sizes = blocked(keys, F.col("m.node"))
+    links, known = _crowds(nodes, keys[:first], similarity, group, near)
+    keyed = save(known.select("crowd", member(), F.explode(F.array(*keys)).alias("key")), "keyed")
+    sizes = save(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("crowd").alias("lo"), F.max("crowd").alias("hi")).where("lo < hi"), "blocks")
     small = keyed.join(sizes.where(F.col("n") <= group).select("key"), "key").repartition("key")
-    members = small.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("f"))
+    members = small.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("m", "crowd"))).alias("f"))
     pairs = members.select(
         F.explode(
             F.expr(
                 f"""flatten(transform(f, (x, i) -> transform(
-                      filter(slice(f, i + 2, {group}), y -> bit_count(x.w0 ^ y.w0) <= {near}),
-                      y -> struct(x.node AS u, y.node AS v))))"""
+                      filter(slice(f, i + 2, {group}), y -> x.crowd <> y.crowd AND bit_count(x.m.w0 ^ y.m.w0) <= {near}),
+                      y -> struct(x.m.node AS u, y.m.node AS v))))"""
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    large = keyed.join(sizes.where(F.col("n") > group).select("key", "n"), "key")
+    large = keyed.join(sizes.where(F.col("n") > group).select("key"), "key").groupBy("key", "crowd").agg(F.min("m").alias("m"))
+    large = save(large.select("key", "m"), "large")
+    large = large.join(large.groupBy("key").agg(F.count("*").alias("n")), "key")
     pairs = save(pairs.union(_grid_pairs(large, near)).distinct(), "pairs")
     last = verified(pairs, nodes, similarity)
     return connected_components(last if links is None else links.union(last))
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(``ROW``, digest): one row per input row; (digest, root, ``ROW``): its component, and one of its rows."""
+    fps = save(wide_fingerprints(docs, id_col, text_col, words), "wide")
+    row = F.min(F.struct(*ROW)).alias("row")
+    named = fps.groupBy("digest").agg(row, F.first("w").alias("w"), F.first("size").alias("size"))
+    # numbers made once, when the table is written
+    named = save(named.select(F.monotonically_increasing_id().alias("node"), "digest", "w", "size", "row.*"), "nodes")
+    roots = similar_roots(Nodes(named.drop("digest"), docs, id_col, text_col, words), named.count(), similarity)
+    return fps, save(named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), *ROW), "rooted")
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(``id_col``, component_id long): the smallest id that links of ``similarity`` over ``words``-word shingles reach.
 
-    Rows with a null id are dropped; rows that repeat an id share a component; blank texts link with each other only.
+    One row per input row. Rows that repeat an id are texts of their own, and so are rows with a null id, which is no component's
+    name: a component without any other id has a null one. Blank texts link with each other only.
     """
-    docs = docs.where(F.col(id_col).isNotNull())
-    fps = save(wide_fingerprints(docs, id_col, text_col, words), "wide")
-    named = save(fps.groupBy("digest").agg(F.min(id_col).alias("node"), F.first("w").alias("w"), F.first("size").alias("size")), "nodes")
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    roots = similar_roots(Nodes(named.select("node", "w", "size"), texts, words), named.count(), similarity)
-    rooted = named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
-    return fps.join(save(rooted, "rooted"), "digest").select(id_col, "component_id")
+    fps, rooted = _grouped(docs, id_col, text_col, words, similarity)
+    least = save(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "least")
+    named = rooted.join(least, "root").select("digest", "component_id")
+    return fps.join(named, "digest").select(F.col("id").alias(id_col), "component_id")
+
 
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of ``docs`` for each component of links of ``similarity`` over ``words``-word shingles, all columns.
 
-def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component in ``groups``; a row per id."""
-    firsts = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(firsts, id_col, "left_semi").dropDuplicates([id_col])
+    The one with the smallest id stays, null ids last; of rows that share that id, the one with the smaller text hash, and of rows
+    that repeat id and text any one. Rows that share an id, or have none, are told apart by their texts.
+    """
+    _, rooted = _grouped(docs, id_col, text_col, words, similarity)
+    firsts = save(rooted.groupBy("root").agg(F.min(F.struct(*ROW)).alias("row")).select("row.*"), "firsts")
+    own = dict(zip((f"__near_{c}" for c in ROW), _row(id_col, text_col)))  # names that no table has
+    rows = docs.withColumns(own)
+    same = [rows[f"__near_{c}"].eqNullSafe(firsts[c]) for c in ROW]
+    return rows.join(firsts, same, "left_semi").dropDuplicates(list(own)).drop(*own)

@@ -140,12 +140,20 @@ def test_close_pairs_make_the_same_components(spark, group):
 
 def test_groups_of_odd_rows(spark):
     rows = [(5, "a b c d"), (3, "A b  c D"), (9, None), (7, ""), (4, "other words here now"), (4, "other words here now"), (None, "a b c d")]
-    got = sorted((x.doc_id, x.component_id) for x in simhash.simhash_groups(docs(spark, rows)).collect())
-    assert got == [(3, 3), (4, 4), (4, 4), (5, 3), (7, 7), (9, 7)]
+    got = sorted(((x.doc_id, x.component_id) for x in simhash.simhash_groups(docs(spark, rows)).collect()), key=lambda x: (x[0] is None, x))
+    assert got == [(3, 3), (4, 4), (4, 4), (5, 3), (7, 7), (9, 7), (None, 3)]
     assert simhash.simhash_groups(docs(spark, [])).count() == 0
+
+
+def test_no_row_but_copies_goes(spark):
+    a, b, c = ("first text of five words and more", "another text with the same number of words", "a third one that nobody has copied")
+    rows = [(1, a), (1, b), (None, c), (1, a), (2, a.upper()), (None, None), (9, " "), (None, b)]
     df = docs(spark, rows)
-    kept = simhash.keep_first(df, simhash.simhash_groups(df))
-    assert sorted(x.doc_id for x in kept.collect()) == [3, 4, 7] and kept.columns == df.columns
+    kept = simhash.drop_near_copies(df)
+    assert sorted(map(repr, ((x.doc_id, x.text) for x in kept.collect()))) == sorted(map(repr, [(1, a), (1, b), (None, c), (9, " ")]))
+    assert kept.columns == df.columns and simhash.drop_near_copies(docs(spark, [])).count() == 0
+    groups = sorted(map(repr, ((x.doc_id, x.component_id) for x in simhash.similar_groups(df).collect())))
+    assert groups == sorted(map(repr, [(1, 1), (1, 1), (None, None), (1, 1), (2, 1), (None, 9), (9, 9), (None, 1)]))
 
 
 def jaccard(a, b, n=5):
