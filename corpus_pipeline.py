@@ -13,7 +13,7 @@ from quotewright.llm.line_dedup import drop_spread_lines
 from quotewright.llm.mixing import mix_sources
 from quotewright.llm.packing import pack_documents
 from quotewright.llm.quality_model import classify
-from quotewright.llm.simhash import keep_first, similar_groups
+from quotewright.llm.simhash import drop_near_copies, similar_groups
 
 #: Slots after which the schedule repeats, and how many spans of it are packed apart at most.
 PERIOD, SPANS = 1000, 64
@@ -41,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves one document, the one with the smallest id, of each group of near copies (0.8 over five-word shingles)."""
-    return keep_first(docs, similar_groups(docs, words=5, similarity=0.8)).select(*COLUMNS)
+    return drop_near_copies(docs, words=5, similarity=0.8).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
