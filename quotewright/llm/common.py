@@ -116,15 +116,19 @@ def chunks(ids: list, texts: list[bytes], size: int) -> Iterator[tuple[list, lis
 
 
 def part_bytes(total: int) -> int:
-    """Size of a part of a corpus of ``total`` bytes: a 64th of it, between 8 and 64 MB."""
-    return min(64 << 20, max(8 << 20, total // 64))
+    """Size of a part of a corpus of ``total`` bytes: a 64th of it, between 8 and 24 MB."""
+    return min(24 << 20, max(8 << 20, total // 64))
+
+
+#: Stands for a null id in packed texts; no other row may have it.
+NO_ID = -(1 << 63)
 
 
 def packed_texts(docs: DataFrame, id_col: str, text_col: str, part: Column) -> DataFrame:
     """``docs`` -> (part int, texts binary): whole texts, those of a part and an Arrow batch in one blob.
 
     A blob holds ids, text lengths and UTF-8 bytes, compressed, so that a shuffle by part moves little.
-    Null texts count as empty. Read it with :func:`unpacked_texts`.
+    Null texts count as empty, null ids become ``NO_ID``. Read it with :func:`unpacked_texts`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +148,7 @@ def packed_texts(docs: DataFrame, id_col: str, text_col: str, part: Column) -> D
                 blobs.append(pack(ids[own].astype(np.int64), sizes, np.frombuffer(b"".join(own_texts), np.uint8)))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["part", "texts"])
 
-    picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), part.cast("int"))
+    picked = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.col(text_col).cast("string"), part.cast("int"))
     return picked.mapInArrow(run, "part int, texts binary")
 
 

@@ -207,8 +207,8 @@ def _sets(nodes: Nodes, met: DataFrame) -> DataFrame:
     wanted = nodes.prints.join(met, "node", "left_semi").select("node", *ROW)
     texts = nodes.docs.select(*_row(nodes.id_col, nodes.text_col), F.col(nodes.text_col).cast("string").alias("text"))
     same = texts.no_id.eqNullSafe(wanted.no_id) & texts.id.eqNullSafe(wanted.id) & (texts.text_hash == wanted.text_hash)
-    # repeated rows: one of them
-    return texts.join(wanted, same).select("node", "text").groupBy("node").agg(F.min("text").alias("text")).mapInArrow(run, "node long, shingles binary")
+    found = texts.join(wanted, same).select("node", "text").mapInArrow(run, "node long, shingles binary")
+    return found.groupBy("node").agg(F.min("shingles").alias("shingles"))  # repeated rows: one of them
 
 
 def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:

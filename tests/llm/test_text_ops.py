@@ -129,37 +129,86 @@ def test_lines_go_first(spark):
 # --- language models
 
 
-def test_interpolated_scores(spark):
-    r = random.Random(12)
-    vocabulary = [text(r, 1) for _ in range(40)]
-    docs = {i: " ".join(r.choice(vocabulary) if r.random() < 0.9 else text(r, 1) for _ in range(r.randint(0, 60))) for i in range(150)}
-    docs |= {500: None, 501: "", 502: "A a\tA\x0ba é É"}
-    held = F.col("doc_id") % 7 == 2
-    rows = {x.doc_id: x for x in lm_interpolation.interpolated_scores(table(spark, list(docs.items())), held).collect()}
+def brute_mixture(docs, held, parts):
+    """Scores by the definition: counts of training texts, weights by EM on the fold with its own counts taken out."""
     tokens = {i: [*(s or "").encode().lower().split(), None] for i, s in docs.items()}
-    c = Counter(w for i, t in tokens.items() if i % 7 != 2 for w in t)
-    n, v = sum(c.values()), len(c)
-    for i, t in tokens.items():
-        x = rows[i]
-        assert (x.n_tokens, x.n_known, x.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
-        assert x.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t))
-    own = [(rows[i].score, rows[i].base_score) for i in docs if i % 7 == 2]
-    assert sum(a for a, _ in own) > sum(b for _, b in own)
+
+    def counts(ids):
+        c = [Counter() for _ in range(5)]  # words, pairs, triples, contexts of one and of two words
+        for i in ids:
+            t = ["<<", "<", *tokens[i]]
+            for k in range(2, len(t)):
+                for order in range(3):
+                    c[order][tuple(t[k - order : k + 1])] += 1
+                c[3][t[k - 1]] += 1
+                c[4][t[k - 2], t[k - 1]] += 1
+        return c
+
+    def estimates(t, k, c, n, v):
+        one, two = c[3][t[k - 1]], c[4][t[k - 2], t[k - 1]]
+        p = [c[2][tuple(t[k - 2 : k + 1])] / two if two else 0, c[1][tuple(t[k - 1 : k + 1])] / one if one else 0, c[0][(t[k],)] / max(n, 1), 1 / (v + 1)]
+        return (32 + int(math.log2(two)) if two else int(math.log2(one + 1))), p
+
+    train = [i for i in docs if not held(i)]
+    fold = [i for i in train if parts[i] % lm_interpolation.FOLDS == 0]
+    rest = counts([i for i in train if i not in set(fold)])
+    n, v = sum(rest[0].values()), len(rest[0])
+    rows = {}
+    for i in fold:
+        t = ["<<", "<", *tokens[i]]
+        for k in range(2, len(t)):
+            b, p = estimates(t, k, rest, n, v)
+            rows.setdefault(b, []).append([2 ** (-round(-4 * math.log2(x)) / 4) if x else 0 for x in p[:3]] + [p[3]])
+    weights = lm_interpolation.all_weights({b: lm_interpolation.mixture(np.array(p), np.ones(len(p))).tolist() for b, p in rows.items()})
+    full = counts(train)
+    n, v = sum(full[0].values()), len(full[0])
+    out = {}
+    for i, own in tokens.items():
+        t, score = ["<<", "<", *own], 0
+        for k in range(2, len(t)):
+            b, p = estimates(t, k, full, n, v)
+            score += math.log10(sum(a * w for a, w in zip(p, weights[b])))
+        out[i] = (len(own), sum(full[0][(w,)] > 0 for w in own), n, sum(math.log10((full[0][(w,)] + 1) / (n + v + 1)) for w in own), score)
+    return out
 
 
-def test_scores_are_probabilities():
-    weights = lm_interpolation.mixture_weights([((3 << 32) + (16 << 16) + 64, 10), ((3 << 32) + (lm_interpolation.NONE << 16) + 32, 5)], 100)
-    assert np.allclose(weights.sum(1), 1) and (weights >= 0).all() and np.allclose(weights[3], weights[40])
-    # EM raises the likelihood of the held-out tokens over equal weights
-    p = np.array([[2.0**-1, 2.0**-4, 1 / 101], [0, 2.0**-2, 1 / 101]])
-    count = np.array([10, 5])
-    assert (count * np.log(p @ weights[3])).sum() >= (count * np.log(p.mean(1))).sum()
+def scored(spark, docs, held):
+    df = table(spark, list(docs.items()), "doc_id long, text string, held string, part int, score int")
+    parts = {x.doc_id: x.p for x in df.select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(4)).alias("p")).collect()}
+    return {x.doc_id: x for x in lm_interpolation.interpolated_scores(df, held).collect()}, parts
+
+
+def test_interpolated_scores(spark):
+    r = random.Random(12)
+    vocabulary = [text(r, 1) for _ in range(12)]
+    docs = {i: " ".join(r.choice(vocabulary) if r.random() < 0.9 else text(r, 1) for _ in range(r.randint(0, 60))) for i in range(150)}
+    docs |= {500: None, 501: "", 502: "A a\tA\x0ba é É", 503: " ".join(vocabulary * 3000)}
+    rows, parts = scored(spark, docs, F.col("doc_id") % 7 == 2)
+    want = brute_mixture(docs, lambda i: i % 7 == 2, parts)
+    assert set(rows) == set(want)
+    for i, x in rows.items():
+        assert (x.n_tokens, x.n_known, x.train_tokens, x.base_score, x.score) == pytest.approx(want[i], rel=1e-6)
+    assert sum(x.score for x in rows.values()) > sum(x.base_score for x in rows.values())
+    # held-out texts teach nothing: other words in them change no training text's score
+    other, _ = scored(spark, {i: "quite other words" if i % 7 == 2 else s for i, s in docs.items()}, F.col("doc_id") % 7 == 2)
+    assert all(other[i].score == pytest.approx(x.score) for i, x in rows.items() if i % 7 != 2)
+
+
+def test_mixture_raises_the_likelihood():
+    cells = np.array([(4 << 16) + (8 << 8) + 32, (lm_interpolation.NONE << 16) + (16 << 8) + 16])
+    p, n = lm_interpolation.cell_estimates(cells, 100), np.array([10, 5])
+    assert np.allclose(p, [[2.0**-1, 2.0**-2, 2.0**-8, 1 / 101], [0, 2.0**-4, 2.0**-4, 1 / 101]])
+    w = lm_interpolation.mixture(p, n)
+    assert w.sum() == pytest.approx(1) and (w >= 0).all() and (n * np.log(p @ w)).sum() > (n * np.log(p.mean(1))).sum()
+    weights = lm_interpolation.all_weights({3: w, 40: w})
+    assert np.allclose(weights.sum(1), 1) and np.allclose(weights[31], w) and not np.allclose(weights[32], w) and np.allclose(weights[63], w)
 
 
 def test_scores_of_odd_tables(spark):
     assert lm_interpolation.interpolated_scores(table(spark, []), F.lit(False)).count() == 0
     rows = lm_interpolation.interpolated_scores(table(spark, [(1, "a b"), (1, "a b"), (None, "c")]), F.lit(True)).collect()
-    assert len(rows) == 2 and all(x.train_tokens == 0 and x.n_known == 0 and math.isfinite(x.score) for x in rows)
+    assert sorted(map(str, (x.doc_id for x in rows))) == ["1", "1", "None"]
+    assert all(x.train_tokens == 0 and x.n_known == 0 and math.isfinite(x.score) for x in rows)
 
 
 def brute_kneser_ney(texts, order):
