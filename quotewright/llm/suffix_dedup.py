@@ -31,12 +31,18 @@ _VALUE = np.random.default_rng(41).integers(1, 1 << 63, 256, dtype=np.int64).ast
 _MULTIPLIERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)]
 
 
-def rolling(buf: np.ndarray, length: int) -> np.ndarray:
+#: Other values of the bytes, for hashes that are independent of the first.
+_OTHER = np.random.default_rng(43).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
+#: Bits of a place in a segment: the hash of a seed gives way to them, in every segment alike.
+PLACE_BITS = np.uint64(20)
+
+
+def rolling(buf: np.ndarray, length: int, values: np.ndarray = _VALUE) -> np.ndarray:
     """A 64-bit hash of the ``length`` bytes from each place on, built by doubling."""
     n = len(buf) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    power, size, k = _VALUE[buf], 1, 0
+    power, size, k = values[buf], 1, 0
     out, at = None, 0
     while True:
         if length & size:
@@ -58,7 +64,9 @@ def runs(buf: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np
     if n <= 0:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
     seeds = rolling(buf, SEED)
-    bits = np.uint64(max(1, len(buf).bit_length()))
+    bits = PLACE_BITS
+    if len(buf) >> int(bits):
+        raise ValueError("a segment is longer than its places have bits for")
     best = (seeds >> bits << bits) | np.arange(len(seeds), dtype=np.uint64)
     size = 1
     while 2 * size <= span:
@@ -129,8 +137,8 @@ class _Part:
         return self.base[self.number] + self.start
 
     def open_windows(self, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the windows of open entries, in order: the distinct ones' hashes (64 and 16 bits) and entry numbers, the
-        place of each, then the places of the others; sorted by hash."""
+        """Of the windows of open entries, in order: the distinct ones' hashes (64 bits, and 32 independent ones) and entry
+        numbers, the place of each, then the places of the others; sorted by hash."""
         open_ = np.sort(open_)
         hashes, checks, places, entries = [], [], [], []
         cuts = np.searchsorted(self.segment[open_], np.arange(len(self.segments) + 1))
@@ -140,13 +148,14 @@ class _Part:
                 continue
             n = self.windows[own]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            hashes.append(rolling(np.frombuffer(bytes_, np.uint8), self.length)[np.repeat(self.place[own], n) + step])
-            checks.append(np.repeat(self.seed[own], n).astype(np.uint16))
+            buf, at = np.frombuffer(bytes_, np.uint8), np.repeat(self.place[own], n) + step
+            hashes.append(rolling(buf, self.length)[at])
+            checks.append((rolling(buf, self.length, _OTHER)[at] >> np.uint64(32)).astype(np.uint32))
             places.append(np.repeat(self.at()[own], n) + step)
             entries.append(np.repeat(own, n))
         if not hashes:
             none = np.zeros(0, np.int64)
-            return none.astype(np.uint64), none.astype(np.uint16), none, none, none
+            return none.astype(np.uint64), none.astype(np.uint32), none, none, none
         h, c, p, e = (np.concatenate(x) for x in (hashes, checks, places, entries))
         order = np.lexsort((c, h))
         h, c, p, e = h[order], c[order], p[order], e[order]
@@ -306,10 +315,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
     Earlier means in a smaller id, or in the same text at a smaller place; strings are judged on the input and may
     overlap. ``spans`` are the maximal removed runs [start, end), ``kept`` the other bytes. Null texts count as
-    empty, texts under ``length`` bytes stay whole; rows with a null id are dropped, rows that repeat an id are
-    texts of their own. An empty table gives an empty result. Other columns are not read.
+    empty, texts under ``length`` bytes stay whole. A text with a null id has no place in the order: it stays whole, and nothing
+    repeats it. Rows that repeat an id are texts of their own. An empty table gives an empty result. Other columns are not read.
 
-    Seeds and contexts are compared by hashes of 128 bits together, windows by 80 bits.
+    Seeds and contexts are compared by hashes of 128 bits together, windows by 96 bits: among 10**12 open windows a
+    wrong match has a chance of one in 100,000.
     """
     if length < 2 * SEED:
         raise ValueError(f"length must be at least {2 * SEED}")
@@ -323,4 +333,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     verdicts = opened.groupBy("shard").applyInArrow(_resolve, _SHARDED)
     answers = states.withColumn("round", F.lit(1)).union(verdicts.withColumn("round", F.lit(2)))
     schema = f"`{id_col}` long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
-    return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_finish(length, id_col), schema)
+    found = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_finish(length, id_col), schema)
+    raw = F.coalesce(F.encode(F.col(text_col).cast("string"), "UTF-8"), F.lit(b""))
+    none = F.array().cast(found.schema["spans"].dataType)
+    nameless = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias(id_col), F.length(raw).cast("long").alias("n_bytes"), none.alias("spans"), raw.alias("kept"))
+    return found.unionByName(nameless)

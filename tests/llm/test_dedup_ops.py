@@ -67,7 +67,7 @@ def test_repeats_in_texts_over_a_segment(spark, monkeypatch):
 def test_repeats_of_odd_tables(spark):
     assert suffix_dedup.remove_repeats(docs(spark, [])).count() == 0
     rows = suffix_dedup.remove_repeats(docs(spark, [(1, "z" * 150), (1, "z" * 150), (None, "z" * 150)])).collect()
-    assert sorted(len(r.kept) for r in rows) == [0, 1]
+    assert sorted((str(r.doc_id), len(r.kept)) for r in rows) == [("1", 0), ("1", 1), ("None", 150)]
     with pytest.raises(ValueError):
         suffix_dedup.remove_repeats(docs(spark, []), length=40)
 
