@@ -78,28 +78,49 @@ def pieces(
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *group).mapInArrow(run, schema)
 
 
-def _exact_fill(have: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that add up to ``gap``; the largest first."""
-    if have[gap] > 0:
-        return (gap,)
-    open_ = have > 0
-
-    def pair(total: int, most: int) -> tuple[int, int] | None:
-        if total < 2:
-            return None
-        half = np.arange((total + 1) // 2, min(total - 1, most) + 1)
-        hit = half[open_[half] & open_[total - half]]
-        hit = [h for h in hit[::-1] if 2 * h != total or have[h] > 1]
-        return (int(hit[0]), total - int(hit[0])) if hit else None
-
-    if found := pair(gap, gap):
-        return found
-    for a in np.flatnonzero(open_[:gap])[::-1].tolist():
-        if 3 * a < gap:
-            break
-        if (found := pair(gap - a, a)) and all(have[x] >= ((a, *found).count(x)) for x in (a, *found)):
-            return (a, *found)
-    return None
+class _Sums:
+    """An index of the sums of one, two and three available lengths, kept under their counts.
+
+    For a sum, the index holds the largest first length with which it can still be made. Counts only fall, so
+    that length does too: an entry that has run out moves down, and never up again.
+    """
+
+    def __init__(self, have: np.ndarray):
+        self.have = have
+        top = np.arange(len(have))
+        self.pairs, self.triples = top - 1, top - 2
+
+    def _left(self, *lengths: int) -> bool:
+        return all(self.have[x] >= lengths.count(x) for x in lengths)
+
+    def _halves(self, total: int, most: int) -> np.ndarray:
+        """The larger lengths, none over ``most``, of the pairs of this sum; the largest first."""
+        low, high = (total + 1) // 2, int(self.pairs[total])
+        if high < low:
+            return np.zeros(0, np.int64)
+        small, large = self.have[total - high : total - low + 1], self.have[low : high + 1][::-1]
+        found = (small > 0) & (large > 0)
+        if 2 * low == total:
+            found[-1] = self.have[low] > 1
+        halves = high - np.flatnonzero(found)
+        self.pairs[total] = halves[0] if len(halves) else 0
+        return halves[halves <= most]
+
+    def fill(self, gap: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths that add up to ``gap``; the largest first."""
+        if self.have[gap] > 0:
+            return (gap,)
+        halves = self._halves(gap, gap)
+        if len(halves):
+            return int(halves[0]), gap - int(halves[0])
+        open_ = np.flatnonzero(self.have[: max(0, int(self.triples[gap])) + 1])[::-1]
+        for at in open_[3 * open_ >= gap].tolist():
+            for half in self._halves(gap - at, at).tolist():
+                if self._left(at, half, gap - at - half):
+                    self.triples[gap] = at
+                    return at, half, gap - at - half
+        self.triples[gap] = 0
+        return None
 
 
 def _best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -127,20 +148,15 @@ def _best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...],
     return [(tuple(held), n) for groups in rooms.values() for held, n in groups]
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Contents and number of windows for a histogram of lengths.
-
-    From the longest length down, singles, pairs and triples that fill its gap exactly are consumed, as many as
-    the counts allow; what is left goes by best fit. Best fit alone is kept where it needs fewer windows.
-    """
-    have = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        have[length] = n
-    alone, made = _best_fit(have, capacity), []
+def _complements(counts: np.ndarray, capacity: int, least: int) -> list[tuple[tuple[int, ...], int]]:
+    """Exact complements of lengths from ``least`` on, then best fit of what is left and of the shorter ones."""
+    have, made = counts.copy(), []
+    have[:least] = 0
+    sums = _Sums(have)
     for length in range(capacity, 0, -1):
         while have[length] > 0:
             have[length] -= 1
-            rest = () if length == capacity else _exact_fill(have, capacity - length)
+            rest = () if length == capacity else sums.fill(capacity - length)
             have[length] += 1
             if rest is None:
                 break
@@ -149,8 +165,26 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
             for x in held:
                 have[x] -= n
             made.append((held, n))
-    made += _best_fit(have, capacity)
-    return min(made, alone, key=lambda p: sum(n for _, n in p))
+    have[:least] = counts[:least]
+    return made + _best_fit(have, capacity)
+
+
+#: Shares of the capacity under which pieces may be held back for the residue.
+HELD_BACK = (0, 1 / 16, 1 / 8, 3 / 16, 1 / 4)
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Contents and number of windows for a histogram of lengths.
+
+    From the longest length down, singles, pairs and triples that fill its gap exactly are consumed, as many as
+    the counts allow; what is left goes by best fit. Exact fills use up the short pieces that the residue needs, so the plan is
+    made with several bounds under which pieces are held back; the one with the fewest windows stays, then the lowest bound.
+    """
+    have = np.zeros(capacity + 1, np.int64)
+    for length, n in counts.items():
+        have[length] = n
+    plans = [_complements(have, capacity, max(1, int(capacity * share))) for share in HELD_BACK]
+    return min(plans, key=lambda p: sum(n for _, n in p))
 
 
 def place(found: DataFrame, capacity: int = 2048, id_col: str = "doc_id", group_col: str | None = None) -> DataFrame:

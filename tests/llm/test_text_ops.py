@@ -1,5 +1,6 @@
 """Packing, quality, language models, mixing, search and revisits against brute force."""
 
+import itertools
 import math
 import random
 import re
@@ -81,6 +82,36 @@ def test_packing_of_odd_tables(spark):
     assert len(rows) == 3 and len({(x.sequence_id, x.offset) for x in rows}) == 3 and all(x.ids[-1] == 0 for x in rows)
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_the_methods_own_plan_is_as_small_as_best_fit(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    counts = {r.length: r.n for r in packing.pieces(docs, BPE).groupBy("length").agg(F.count("*").alias("n")).collect()}
+    have = np.zeros(2049, np.int64)
+    for length, n in counts.items():
+        have[length] = n
+    plan = packing.plan(counts, 2048)
+    made = [packing._complements(have, 2048, max(1, int(2048 * share))) for share in packing.HELD_BACK]
+    size = lambda p: sum(n for _, n in p)
+    assert plan in made and size(plan) <= size(packing._best_fit(have, 2048))
+    assert sum(n for held, n in plan if sum(held) == 2048) >= 0.6 * size(plan)
+
+
+def test_sums_are_found_under_the_counts():
+    for seed in range(30):
+        r = random.Random(seed)
+        have = np.zeros(41, np.int64)
+        for _ in range(r.randint(1, 14)):
+            have[r.randint(1, 40)] += 1
+        sums = packing._Sums(have)
+        while have.any():  # as the plan asks: ever fewer pieces
+            for gap in range(1, 41):
+                own = [x for x in range(1, 41) for _ in range(have[x])]
+                want = any(sum(c) == gap for k in (1, 2, 3) for c in itertools.combinations(own, k))
+                got = sums.fill(gap)
+                assert (got is not None) == want and (got is None or (sum(got) == gap and sums._left(*got)))
+            have[r.choice(np.flatnonzero(have))] -= 1
+
+
 def test_plan_uses_exact_complements():
     plan = packing.plan({60: 3, 40: 3, 50: 1, 30: 1, 20: 1, 35: 2, 25: 2, 15: 2}, 100)
     assert sum(n for _, n in plan) == 6 and all(sum(h) == 100 for h, _ in plan if len(h) > 1 and 60 in h)
