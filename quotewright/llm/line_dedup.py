@@ -37,18 +37,18 @@ def spread_lines(lines: DataFrame, least_sites: int, precision: int = 12) -> Dat
 
 
 def drop_spread_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least_sites: int = 8, most_lost: float = 0.5, salts: int = 16,
-    copies: Callable[[DataFrame], DataFrame] | None = None,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least_sites: int = 8, salts: int = 16,
+    copies: Callable[[DataFrame], DataFrame] | None = None, most_lost: float = 0.5,
 ) -> DataFrame:
     """``docs`` with ``text_col`` cleaned, and n_lines, n_removed.
 
     Lines are what \\n separates; they are compared without white space at their ends, by hashes of 96 bits. Blank
-    lines stay. A text that would lose more than ``most_lost`` of its characters is a copy, not a page with
-    boilerplate: it stays whole, for document-level dedup to judge. With ``copies`` that is not taken on trust: of these texts
-    (``id_col``, ``text_col``) it names those (``id_col``) that are copies, and others lose their spread lines unless nothing but
-    blank lines would be left. Null texts stay null and have no lines, null
-    sites don't count, rows that repeat an id are told apart by their texts, rows with a null id stay whole. Other columns
-    stay, but input columns named n_lines or n_removed are replaced.
+    lines stay; every line on ``least_sites`` sites goes, though nothing be left.
+
+    A pipeline that drops copies of documents later passes ``copies``, which is asked about the texts (``id_col``, ``text_col``)
+    that would lose more than ``most_lost`` of their characters: those whose ids it returns, and texts of nothing but spread lines,
+    stay whole. Null texts stay null and have no lines, null sites don't count, rows that repeat an id, or have none, are told
+    apart by their texts. Other columns stay, but input columns named n_lines or n_removed are replaced.
     """
     id_, digest, hit, kept = (f"__line_{i}" for i in range(4))  # names that no table has
     line = F.regexp_replace(F.col("line"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
@@ -61,16 +61,19 @@ def drop_spread_lines(
     hits = lines.withColumn("salt", F.pmod(F.xxhash64(id_, "pos"), F.lit(salts)).cast("int")).join(salted, [*KEY, "salt"], "left_semi")
     hits = hits.select(id_, digest, "pos").distinct().groupBy(id_, digest).agg(F.collect_list("pos").alias(hit))
     hits = hits if copies is None else save(hits, "hits")  # read twice
-    out = docs.withColumns(named).join(hits, [id_, digest], "left")
+    own, hits = docs.withColumns(named), hits.select(F.col(id_).alias("__line_hit_id"), F.col(digest).alias("__line_hit_text"), hit)
+    same = own[id_].eqNullSafe(hits["__line_hit_id"]) & (own[digest] == hits["__line_hit_text"])
+    out = own.join(hits, same, "left").drop("__line_hit_id", "__line_hit_text")
     split = F.split(text_col, "\n")
     rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(hit, i)), "\n")
     out = out.withColumn(kept, F.when(F.col(hit).isNotNull(), rest))
-    fits = F.length(kept) >= (1 - most_lost) * F.length(text_col)
+    fits = F.col(hit).isNotNull()
     if copies is not None:
-        proven = save(copies(out.where(F.col(kept).isNotNull() & ~fits).select(id_col, text_col)), "copies")
+        much = F.length(kept) < (1 - most_lost) * F.length(text_col)
+        proven = save(copies(out.where(fits & much).select(id_col, text_col)).distinct(), "copies")
         copy = "__line_copy"
         out = out.join(proven.select(F.col(id_col).alias(id_), F.lit(True).alias(copy)), id_, "left")
-        fits = fits | (F.col(copy).isNull() & F.col(kept).rlike(r"[^\x20\x09-\x0D]"))
+        fits = fits & (~much | (F.col(copy).isNull() & F.col(kept).rlike(r"[^\x20\x09-\x0D]")))
     out = out.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0)).cast("long"))
     out = out.withColumn("n_removed", F.when(fits, F.size(hit)).otherwise(0).cast("long"))
     return out.withColumn(text_col, F.when(fits, F.col(kept)).otherwise(F.col(text_col))).drop(id_, digest, hit, kept, "__line_copy")

@@ -94,11 +94,8 @@ WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source, ((doc_id % 2147483648) * 2654435761) % 4294967296 AS m FROM documents),
 b AS (SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY m, doc_id) - 1) // 4 AS block FROM d),
 w AS (SELECT source, sqrt(count(*)) AS weight FROM d GROUP BY source),
-e AS (SELECT source, greatest(1000, 4 * count(*) OVER ()) AS period,
-             weight / sum(weight) OVER () * (greatest(1000, 4 * count(*) OVER ()) - count(*) OVER ()) AS exact FROM w),
-s AS (SELECT source, period, CAST(floor(exact) AS BIGINT) + 1
-             + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, source)
-                         <= period - sum(CAST(floor(exact) AS BIGINT) + 1) OVER () THEN 1 ELSE 0 END AS share FROM e),
+s AS (SELECT source, CAST(sum(share) OVER () AS BIGINT) AS period, share
+      FROM (SELECT source, greatest(1, CAST(floor(weight * greatest(1000, 4 * count(*) OVER ()) / sum(weight) OVER () + 0.5) AS BIGINT)) AS share FROM w)),
 i AS (SELECT source, period, CAST(share AS BIGINT) AS share, row_number() OVER (ORDER BY source) AS idx FROM s),
 a AS (SELECT list(share ORDER BY idx) AS a, CAST(max(period) AS BIGINT) AS period FROM i),
 sim(t, done, pick, k) AS (
@@ -151,13 +148,10 @@ spread AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTIN
 k AS (
   SELECT doc_id, count(*) AS n_lines, count(spread.line) AS hits,
          coalesce(string_agg(CASE WHEN spread.line IS NULL THEN raw END, chr(10) ORDER BY i), '') AS kept
-  FROM l LEFT JOIN spread ON spread.line = l.line GROUP BY doc_id),
-f AS (SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, hits, kept, text,
-             coalesce(hits > 0 AND length(kept) >= 0.5 * length(text), FALSE) AS fits
-      FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id)
-SELECT doc_id, n_lines, CASE WHEN fits THEN hits ELSE 0 END AS n_removed,
-       length(CASE WHEN fits THEN kept ELSE text END) AS kept_chars, md5(CASE WHEN fits THEN kept ELSE text END) AS kept_md5
-FROM f
+  FROM l LEFT JOIN spread ON spread.line = l.line GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(hits, 0) AS n_removed,
+       length(CASE WHEN hits > 0 THEN kept ELSE text END) AS kept_chars, md5(CASE WHEN hits > 0 THEN kept ELSE text END) AS kept_md5
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
 

@@ -204,7 +204,7 @@ def test_spread_lines(spark):
     assert len(got) == len(rows)
     assert got[0, "s0"].text == f"own words of document 0 that nobody else has\n{rare}" and (got[0, "s0"].n_lines, got[0, "s0"].n_removed) == (4, 2)
     assert got[11, "s11"].n_removed == 1 and got[12, "s12"].n_removed == 0 and got[12, "s12"].text == rows[12][1]
-    assert got[90, "s1"].n_removed == 0 and got[90, "s1"].text == f"{common}\n{common}"  # a copy stays whole
+    assert got[90, "s1"].n_removed == 2 and got[90, "s1"].text == "" and got[None, "s9"].text == "null id"
     assert got[91, "s2"].text is None and got[91, "s2"].n_lines == 0 and got[92, None].text == "" and got[93, None].n_removed == 0
     assert line_dedup.drop_spread_lines(docs(spark, [])).count() == 0
 

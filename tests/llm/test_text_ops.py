@@ -336,6 +336,19 @@ def test_schedule_meets_windows_and_weights(spark):
     assert mixing.mix_sources(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("sources", [3, 40, 300])
+def test_weights_are_met_however_long_the_schedule_is(spark, sources):
+    weights = spark.createDataFrame([("big", sources / 2)] + [(f"s{i}", 1.0) for i in range(sources)], "source string, weight double")
+    shares = {x.source: x.share / x.period for x in mixing.shares(weights).collect()}
+    assert shares["big"] == pytest.approx(1 / 3, abs=1e-3) and sum(shares.values()) == pytest.approx(1)
+    assert {x.source: x.share for x in mixing.shares(spark.createDataFrame([("a", 7.0), ("b", 3.0)], "source string, weight double")).collect()} == {"a": 7, "b": 3}
+    df = spark.range(20_000).selectExpr("id AS doc_id", "'big' AS source")
+    slots = mixing.mix_sources(df, weights, block=1).agg(F.max("slot")).first()[0]
+    assert abs((slots + 1) * shares["big"] - 20_000) <= 1
+    few = mixing.mix_sources(df.limit(300), weights, block=1, buckets=2).collect()
+    assert {(x.doc_id, x.slot) for x in few} == {(x.doc_id, x.slot) for x in mixing.mix_sources(df.limit(300), weights, block=1).collect()}
+
+
 # --- search
 
 
