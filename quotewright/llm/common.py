@@ -60,6 +60,17 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores before them until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def text_bytes(df: DataFrame, text: str) -> int:
     return df.select(F.sum(F.octet_length(text))).first()[0] or 0
 
@@ -124,20 +135,19 @@ def part_bytes(total: int) -> int:
 NO_ID = -(1 << 63)
 
 
-def packed_texts(docs: DataFrame, id_col: str, text_col: str, part: Column) -> DataFrame:
+def packed_texts(docs: DataFrame, id_col: str, text_col: str, part: Column, *numbers: Column) -> DataFrame:
     """``docs`` -> (part int, texts binary): whole texts, those of a part and an Arrow batch in one blob.
 
-    A blob holds ids, text lengths and UTF-8 bytes, compressed, so that a shuffle by part moves little.
-    Null texts count as empty, null ids become ``NO_ID``. Read it with :func:`unpacked_texts`.
+    A blob holds ids, ``numbers`` (whole ones), text lengths and UTF-8 bytes, compressed, so that a shuffle by part moves
+    little. Null texts count as empty, null ids become ``NO_ID``. Read it with :func:`unpacked_texts`, or :func:`unpacked_rows`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            parts = b.column(2).to_numpy(zero_copy_only=False)
-            texts = [(t.as_py() or "").encode() for t in b.column(1)]
+            parts, *longs = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, *range(3, b.num_columns)))
+            texts = [(t.as_py() or "").encode() for t in b.column(0)]
             order = np.argsort(parts, kind="stable")
             cuts = np.flatnonzero(np.diff(parts[order])) + 1
             names, blobs = [], []
@@ -145,19 +155,26 @@ def packed_texts(docs: DataFrame, id_col: str, text_col: str, part: Column) -> D
                 own_texts = [texts[i] for i in own]
                 sizes = np.fromiter(map(len, own_texts), np.int64, len(own_texts))
                 names.append(int(parts[own[0]]))
-                blobs.append(pack(ids[own].astype(np.int64), sizes, np.frombuffer(b"".join(own_texts), np.uint8)))
+                blobs.append(pack(*(x[own].astype(np.int64) for x in longs), sizes, np.frombuffer(b"".join(own_texts), np.uint8)))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["part", "texts"])
 
-    picked = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.col(text_col).cast("string"), part.cast("int"))
-    return picked.mapInArrow(run, "part int, texts binary")
+    ids = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    longs = [x.alias(f"n{i}") for i, x in enumerate((ids, *numbers))]
+    return docs.select(F.col(text_col).cast("string").alias("text"), part.cast("int").alias("part"), *longs).mapInArrow(run, "part int, texts binary")
 
 
-def unpacked_texts(blobs: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """The (ids, texts) of each blob."""
+def unpacked_rows(blobs: pa.ChunkedArray) -> Iterator[tuple]:
+    """The (ids, numbers..., texts) of each blob."""
     for blob in blobs:
-        ids, sizes, raw = unpack(blob.as_py())
+        *longs, sizes, raw = unpack(blob.as_py())
         raw, ends = raw.tobytes(), np.cumsum(sizes).tolist()
-        yield ids, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        yield *longs, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+def unpacked_texts(blobs: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """The (ids, texts) of each blob."""
+    for ids, *_, texts in unpacked_rows(blobs):
+        yield ids, texts
 
 
 _SPACE = np.zeros(256, bool)

@@ -243,10 +243,11 @@ def test_scores_of_odd_tables(spark):
 
 
 def brute_kneser_ney(texts, order):
+    symbols = lambda s: ["<"] * (order - 1) + [*s.encode(), ">"]
     counts = [Counter() for _ in range(order + 1)]
     for s in texts:
-        b = b"\x02" * (order - 1) + s.encode() + b"\x03"
-        counts[order].update(b[i : i + order] for i in range(len(b) - order + 1))
+        b = symbols(s)
+        counts[order].update(tuple(b[i : i + order]) for i in range(len(b) - order + 1))
     for k in range(order - 1, 0, -1):
         counts[k].update(g[1:] for g in counts[k + 1])
     discounts = {}
@@ -266,19 +267,27 @@ def brute_kneser_ney(texts, order):
         return ((c - d(c)) if c else 0) / sum(own.values()) + sum(map(d, own.values())) / sum(own.values()) * p(g[1:], k - 1)
 
     def score(s):
-        b = b"\x02" * (order - 1) + s.encode() + b"\x03"
-        return sum(math.log10(p(b[i : i + order], order)) for i in range(len(b) - order + 1))
+        b = symbols(s)
+        return sum(math.log10(p(tuple(b[i : i + order]), order)) for i in range(len(b) - order + 1))
 
     return score
 
 
 def test_kneser_ney_against_brute_force(spark):
     r = random.Random(3)
-    texts = [text(r, 6) for _ in range(12)]
+    texts = [text(r, 6) for _ in range(12)] + ["\x02\x03 of a text", "\x03"]
     model = quality_model.train(spark.createDataFrame([(t,) for t in texts], "text string"), order=3)
     want = brute_kneser_ney(texts, 3)
-    probes = [*texts[:3], "", "zzz ZZZ", "the é", text(r, 5)]
-    assert model.scores([p.encode() for p in probes]) == pytest.approx([want(p) for p in probes])
+    probes = [*texts[:3], "", "zzz ZZZ", "the é", text(r, 5), "\x03\x02", "a\x03", None, text(r, 4000)]
+    docs = table(spark, [*enumerate(probes), (None, "no id"), (3, texts[0])])
+    got = quality_model.scores(model, docs, "doc_id", "text").collect()
+    texts_of = {**dict(enumerate(probes)), None: "no id"}
+    assert len(got) == len(probes) + 2 and sum(x.id == 3 for x in got) == 2
+    for x in got:
+        s = texts_of[x.id] or ""
+        if x.id == 3 and x.n_tokens != 1:
+            s = texts[0]
+        assert x.n_tokens == len(s.encode()) + 1 and x.log10_prob == pytest.approx(want(s), rel=1e-6)
 
 
 def test_classifier(spark):
@@ -287,7 +296,8 @@ def test_classifier(spark):
     junk = [(1000 + i, "".join(r.choice("#$%&*QWXYZ") for _ in range(200)), "xx", "s") for i in range(20)]
     odd = [(2000, None, "xx", "s"), (2001, "", None, None), (2002, text(r, 30), "new", "s"), (2002, text(r, 30), None, "s")]
     trusted = table(spark, good[:160]).select("doc_id")
-    rows = quality_model.classify(table(spark, good + junk + odd), trusted, sample=80).collect()
+    named = table(spark, good + junk + odd).withColumns({c: F.lit("x") for c in ("__lang", "__limit", "lang_", "row", "id", "limit", "text_hash", "pick", "perplexity")})
+    rows = quality_model.classify(named, trusted, sample=80).collect()
     assert len(rows) == 224 and not any(x.kept for x in rows if 1000 <= (x.doc_id or 0) < 2000)
     assert sum(x.kept for x in rows if x.doc_id < 1000) >= 190 and all(x.threshold is not None for x in rows)
     assert quality_model.classify(table(spark, []), trusted).count() == 0
