@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import math
 import tempfile
 import uuid
@@ -19,17 +20,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Tables that :func:`save` has written and nothing has removed, in order.
+SAVED: list[str] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; one of our own only where that is unset."""
+    """The folder that ``spark.checkpoint.dir`` names; one of our own only where that is unset and the session is local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             return known.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="quotewright-")
         spark.sparkContext.setCheckpointDir(folder)
         return spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -48,9 +55,19 @@ def save(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     path = f"{shared_dir(spark)}/quotewright-{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
+    SAVED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, since: int) -> None:
+    """Removes the tables saved from number ``since`` on, but for the last one, and what Spark holds for them."""
+    for path in SAVED[since:-1]:
+        _remove(spark, path)
+    del SAVED[since:-1]
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark clears the shuffles of plans that are gone
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

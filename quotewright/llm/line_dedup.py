@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import save
+from quotewright.llm.common import SPACE, save
 
 KEY = ["k1", "k2"]
 
@@ -36,6 +36,30 @@ def spread_lines(lines: DataFrame, least_sites: int, precision: int = 12) -> Dat
     return found.where(F.col("sites") > least_sites + near).select(*KEY).union(exact.select(*KEY))
 
 
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bands: int = 10, rows: int = 4) -> DataFrame:
+    """(``id_col``, text_hash) of the rows of ``docs`` that have a near copy there, another row as similar over ``words``-word shingles.
+
+    Rows that agree in one of ``bands`` groups of ``rows`` minimum hashes are compared with one of them, shingle by shingle; so a row
+    of this similarity is found with a chance of 0.99, and a family costs a few rows per member. Repeated rows are one.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.lower(text_col).alias("t"))
+    own = own.withColumn("w", F.filter(F.split("t", SPACE), lambda w: w != "")).drop("t")
+    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - words + 1)), lambda i: F.xxhash64(F.slice("w", i, words)))
+    own = own.select("id", "text_hash", F.array_distinct(shingles).alias("s"))
+    own = save(own.withColumn("row", F.xxhash64("id", "text_hash")).dropDuplicates(["row"]), "shingles")
+    least = F.array(*(F.array_min(F.transform("s", lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(bands * rows)))
+    signed = own.select("row", least.alias("m"))
+    keys = F.array(*(F.xxhash64(F.lit(b), F.slice("m", b * rows + 1, rows)) for b in range(bands)))
+    keyed = save(signed.select("row", F.explode(keys).alias("key")), "bands")
+    hubs = keyed.groupBy("key").agg(F.min("row").alias("hub"), F.max("row").alias("last")).where("hub < last").select("key", "hub")
+    pairs = keyed.join(hubs, "key").where("row <> hub").select("row", "hub").distinct()
+    both = pairs.join(own.select("row", F.col("s").alias("a")), "row").join(own.select(F.col("row").alias("hub"), F.col("s").alias("b")), "hub")
+    shared = F.size(F.array_intersect("a", "b"))
+    met = save(both.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("row", "hub"), "met")
+    met = met.select("row").union(met.select("hub")).distinct()
+    return own.join(met, "row").select(F.col("id").alias(id_col), "text_hash")
+
+
 def drop_spread_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least_sites: int = 8, salts: int = 16,
     copies: Callable[[DataFrame], DataFrame] | None = None, most_lost: float = 0.5,
@@ -46,8 +70,8 @@ def drop_spread_lines(
     lines stay; every line on ``least_sites`` sites goes, though nothing be left.
 
     A pipeline that drops copies of documents later passes ``copies``, which is asked about the texts (``id_col``, ``text_col``)
-    that would lose more than ``most_lost`` of their characters: those whose ids it returns, and texts of nothing but spread lines,
-    stay whole. Null texts stay null and have no lines, null sites don't count, rows that repeat an id, or have none, are told
+    that would lose more than ``most_lost`` of their characters: those it returns (``id_col``, text_hash), as :func:`near_copies`
+    does, and texts of nothing but spread lines stay whole. Null texts stay null and have no lines, null sites don't count, rows that repeat an id, or have none, are told
     apart by their texts. Other columns stay, but input columns named n_lines or n_removed are replaced.
     """
     id_, digest, hit, kept = (f"__line_{i}" for i in range(4))  # names that no table has
@@ -71,9 +95,10 @@ def drop_spread_lines(
     if copies is not None:
         much = F.length(kept) < (1 - most_lost) * F.length(text_col)
         proven = save(copies(out.where(fits & much).select(id_col, text_col)).distinct(), "copies")
-        copy = "__line_copy"
-        out = out.join(proven.select(F.col(id_col).alias(id_), F.lit(True).alias(copy)), id_, "left")
-        fits = fits & (~much | (F.col(copy).isNull() & F.col(kept).rlike(r"[^\x20\x09-\x0D]")))
+        proven = proven.select(F.col(id_col).alias("__line_copy_id"), F.col("text_hash").alias("__line_copy_text"), F.lit(True).alias("__line_copy"))
+        same = out[id_].eqNullSafe(proven["__line_copy_id"]) & (out[digest] == proven["__line_copy_text"])
+        out = out.join(proven, same, "left").drop("__line_copy_id", "__line_copy_text")
+        fits = fits & (~much | (F.col("__line_copy").isNull() & F.col(kept).rlike(r"[^\x20\x09-\x0D]")))
     out = out.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0)).cast("long"))
     out = out.withColumn("n_removed", F.when(fits, F.size(hit)).otherwise(0).cast("long"))
     return out.withColumn(text_col, F.when(fits, F.col(kept)).otherwise(F.col(text_col))).drop(id_, digest, hit, kept, "__line_copy")

@@ -267,64 +267,66 @@ def _grid_pairs(large: DataFrame, near: int, side: int = 2048) -> DataFrame:
 
 
 def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int, near: int) -> tuple[DataFrame | None, DataFrame]:
-    """Links found in blocks of over ``group``, and (node, w, size, crowd): a node's crowd so far, itself where it has none.
+    """Links found in blocks of over ``group``, and (node, w, crowd): a node's crowd so far, null where it has none.
 
     The members of such a block are compared with one of them, drawn anew in each round, until a round links few. A member that is
     linked joins its crowd; later, a crowd has one member in each block. So a crowd costs a few rows per member.
     """
-    known, links, turn = nodes.prints.select("node", "w", F.col("node").alias("crowd")), None, 0
+    known, links, turn = nodes.prints.select("node", "w", F.lit(None).cast("long").alias("crowd")), None, 0
+    own = F.coalesce("crowd", "node").alias("own")
     while True:
-        keyed = known.select("crowd", member(), F.explode(F.array(*keys)).alias("key")).groupBy("key", "crowd").agg(F.min("m").alias("m"))
-        keyed = save(keyed, "keyed")
-        hub = F.min_by(F.struct("crowd", "m"), F.xxhash64("m.node", F.lit(turn))).alias("hub")
-        hubs = save(keyed.groupBy("key").agg(F.count("*").alias("n"), hub).where(F.col("n") > group), "hubs")
-        stars = keyed.join(hubs.select("key", "hub"), "key").where(f"crowd <> hub.crowd AND bit_count(m.w0 ^ hub.m.w0) <= {near}")
-        stars = stars.select(F.col("hub.m.node").alias("u"), F.col("m.node").alias("v"), F.col("hub.crowd").alias("to"), "crowd")
-        stars = save(stars.distinct(), "stars")
+        sizes = _blocks(known, keys).groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "w0")).alias("hub"))
+        hubs = save(sizes.where(F.col("n") > group).select("key", "hub.node", "hub.w0").toDF("key", "hub", "hub_w0"), "hubs")
+        stars = _blocks(known, keys).join(hubs, "key").where(f"node <> hub AND bit_count(w0 ^ hub_w0) <= {near}")
+        stars = save(stars.select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), "stars")
         compared = stars.count()
         if not compared:
             return links, known
-        found = save(verified(stars, nodes, similarity).join(stars, ["u", "v"]), "crowds")
-        links, turn = found.select("u", "v") if links is None else links.union(found.select("u", "v")), turn + 1
-        joined = found.groupBy("crowd").agg(F.min("to").alias("to"))
-        known = save(known.join(joined, "crowd", "left").select("node", "w", F.coalesce("to", "crowd").alias("crowd")), "known")
+        found = save(verified(stars, nodes, similarity), "crowds")
+        links, turn = found if links is None else links.union(found), turn + 1
+        names = known.select("node", own)
+        joined = found.join(names.toDF("u", "to"), "u").join(names.toDF("v", "own"), "v").where("`to` <> own")
+        joined = joined.groupBy("own").agg(F.min("to").alias("to"))
+        joined = joined.union(joined.select(F.col("to").alias("own"), "to")).groupBy("own").agg(F.min("to").alias("to"))
+        known = save(known.withColumn("own", own).join(joined, "own", "left").select("node", "w", F.coalesce("to", "crowd").alias("crowd")), "known")
         if 10 * found.count() < compared:
             return links, known
 
 
-def member() -> Column:
-    return F.struct("node", F.get("w", F.lit(0)).alias("w0")).alias("m")
+def _blocks(known: DataFrame, keys: list[Column]) -> DataFrame:
+    """(key, node, w0): each node's blocks; of a crowd, one member in each block, drawn by the block."""
+    keyed = lambda rows: rows.select("crowd", "node", F.get("w", F.lit(0)).alias("w0"), F.explode(F.array(*keys)).alias("key"))
+    alone = keyed(known.where("crowd IS NULL")).select("key", "node", "w0")
+    drawn = F.min(F.struct(F.xxhash64("node", "key").alias("draw"), "node", "w0")).alias("m")
+    crowded = keyed(known.where("crowd IS NOT NULL")).groupBy("key", "crowd").agg(drawn)
+    return alone.union(crowded.select("key", "m.node", "m.w0"))
 
 
-def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.98, group: int = 32, first: int = 6) -> DataFrame:
+def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.97, group: int = 32, first: int = 6) -> DataFrame:
     """``nodes`` -> (node, root): components of links between texts whose shingle sets are as similar as ``similarity``.
 
     Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
     random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first (:func:`_crowds`), in the
-    ``first`` tables. Then, in all tables, the members of a block are compared pair by pair, but for those of one crowd; in blocks
-    over ``group``, a crowd has one member, and the pairs are compared in cells of a grid. No pair that shares a block is left
-    out for the block's size.
+    ``first`` tables. Then, in all tables, the members of a block are compared pair by pair, one for each crowd; in blocks
+    over ``group`` by cells of a grid. No pair that shares a block is left out for the block's size.
     """
     keys = _tables(n, similarity, recall)
     # a cheap bound on the first word, three deviations off, leaves few pairs to fetch whole fingerprints for
     near = most_apart(BITS, similarity)
     links, known = _crowds(nodes, keys[:first], similarity, group, near)
-    keyed = save(known.select("crowd", member(), F.explode(F.array(*keys)).alias("key")), "keyed")
-    sizes = save(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("crowd").alias("lo"), F.max("crowd").alias("hi")).where("lo < hi"), "blocks")
-    small = keyed.join(sizes.where(F.col("n") <= group).select("key"), "key").repartition("key")
-    members = small.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("m", "crowd"))).alias("f"))
+    blocks = _blocks(known, keys)
+    sizes = save(blocks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
+    members = blocks.join(sizes.where(F.col("n") <= group).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "w0"))).alias("f"))
     pairs = members.select(
         F.explode(
             F.expr(
                 f"""flatten(transform(f, (x, i) -> transform(
-                      filter(slice(f, i + 2, {group}), y -> x.crowd <> y.crowd AND bit_count(x.m.w0 ^ y.m.w0) <= {near}),
-                      y -> struct(x.m.node AS u, y.m.node AS v))))"""
+                      filter(slice(f, i + 2, {group}), y -> bit_count(x.w0 ^ y.w0) <= {near}),
+                      y -> struct(x.node AS u, y.node AS v))))"""
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    large = keyed.join(sizes.where(F.col("n") > group).select("key"), "key").groupBy("key", "crowd").agg(F.min("m").alias("m"))
-    large = save(large.select("key", "m"), "large")
-    large = large.join(large.groupBy("key").agg(F.count("*").alias("n")), "key")
+    large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", "w0").alias("m"))
     pairs = save(pairs.union(_grid_pairs(large, near)).distinct(), "pairs")
     last = verified(pairs, nodes, similarity)
     return connected_components(last if links is None else links.union(last))
