@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import save, table
-from quotewright.llm.line_dedup import drop_spread_lines
+from quotewright.llm.common import SAVED, release, save, table
+from quotewright.llm.line_dedup import drop_spread_lines, near_copies
 from quotewright.llm.mixing import mix_sources
 from quotewright.llm.packing import pack_documents
 from quotewright.llm.quality_model import classify
-from quotewright.llm.simhash import drop_near_copies, similar_groups
+from quotewright.llm.simhash import drop_near_copies
 
 #: Slots after which the schedule repeats, and how many spans of it are packed apart at most.
 PERIOD, SPANS = 1000, 64
@@ -26,13 +26,6 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return classify(docs, trusted).where("kept").select(*COLUMNS)
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id): the documents that have a near copy among ``docs``."""
-    groups = save(similar_groups(docs, words=5, similarity=0.8), "groups")
-    many = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
-    return groups.join(many, "component_id").select("doc_id").distinct()
-
-
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes cross-site lines out of the texts, but for near copies and texts of nothing else: the next stage judges these."""
     cleaned = drop_spread_lines(docs, least_sites=8, copies=near_copies).withColumn("n_chars", F.length("text").cast("long"))
@@ -76,9 +69,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other; a stage's tables are removed once its result is written."""
+    docs, first = table(spark, sf_dir, "documents"), len(SAVED)
     for at, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
             docs = save(docs, "stage")
+            release(spark, first)
     return docs
