@@ -133,8 +133,8 @@ def _row(id_col: str, text_col: str) -> list[Column]:
 
 
 class Nodes(NamedTuple):
-    """``prints`` (node long, w array<long>, size long, row columns): a fingerprint and the number of distinct shingles of each
-    distinct set of shingles, and a row that has it; ``docs``: where the shingles of candidate pairs come from, ``words`` long."""
+    """``prints`` (node long, w array<long>, size long, sketch array<long>, row columns): a fingerprint, the number of distinct
+    shingles and their sketch for each distinct set of shingles, and a row that has it; ``docs``: where the shingles of candidate pairs come from, ``words`` long."""
 
     prints: DataFrame
     docs: DataFrame
@@ -148,24 +148,48 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(shingle_hashes(text, words))
 
 
+#: Ranges of hashes in a sketch; a byte of it stands for the least hash in a range, 0 for none.
+RANGES = 512
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The sketch of a sorted set of shingle hashes, eight bytes to a number."""
+    out = np.zeros(RANGES, np.uint8)
+    at = (hashes >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    out[at[first]] = 1 + (mix(hashes[first]) % np.uint64(255)).astype(np.uint8)
+    return out.view(np.int64)
+
+
+def sketch_similarity(a: str, b: str) -> Column:
+    """The share of ranges in which two sketches agree, of those in which one has a shingle: an estimate of the similarity."""
+    full = lambda x: f"({x} | (shiftrightunsigned({x}, 4) & {0x0F0F0F0F0F0F0F0F}))"
+    pair = lambda x: f"({x} | (shiftrightunsigned({x}, 2) & {0x3333333333333333}))"
+    last = lambda x: f"bit_count(({x} | shiftrightunsigned({x}, 1)) & {0x0101010101010101})"
+    bytes_in = lambda e: f"aggregate(transform(transform(zip_with({a}, {b}, (x, y) -> {e}), z -> {full('z')}), z -> {pair('z')}), 0, (s, z) -> s + {last('z')})"
+    either = F.expr(bytes_in("x | y"))
+    return F.when(either == 0, 1.0).otherwise((either - F.expr(bytes_in("x ^ y"))) / either)
+
+
 def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(``ROW``, w array<long>, size long, digest binary): a SimHash of 256 bits of the set of shingles, four words from four
-    hashes of each; how many shingles there are, and a hash of 128 bits of them all."""
+    """(``ROW``, w array<long>, size long, sketch array<long>, digest binary): a SimHash of 256 bits of the set of shingles, four
+    words from four hashes of each; how many shingles there are, their sketch, and a hash of 128 bits of them all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, sizes, digests = np.zeros((b.num_rows, len(WIDE)), np.uint64), [], []
+            sketches = np.zeros((b.num_rows, RANGES // 8), np.int64)
             for i, t in enumerate(b.column(3)):
                 h = shingle_set(t.as_py(), words)
                 rows[i] = [majority(mix(h ^ np.uint64(c)) if c else h) for c in WIDE]
+                sketches[i] = sketch(h)
                 sizes.append(len(h))
                 digests.append(xxhash.xxh3_128_digest(h.tobytes()))
-            flat = pa.array(rows.reshape(-1).view(np.int64))
-            w = pa.FixedSizeListArray.from_arrays(flat, len(WIDE)).cast(pa.list_(pa.int64()))
-            found = [b.column(0), b.column(1), b.column(2), w, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
-            yield pa.RecordBatch.from_arrays(found, [*ROW, "w", "size", "digest"])
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.int64())) for x in (rows.view(np.int64), sketches)]
+            found = [b.column(0), b.column(1), b.column(2), lists[0], pa.array(sizes, pa.int64()), lists[1], pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(found, [*ROW, "w", "size", "sketch", "digest"])
 
-    schema = "no_id boolean, id long, text_hash long, w array<bigint>, size long, digest binary"
+    schema = "no_id boolean, id long, text_hash long, w array<bigint>, size long, sketch array<bigint>, digest binary"
     return docs.select(*_row(id_col, text_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
@@ -214,12 +238,16 @@ def _sets(nodes: Nodes, met: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:
     """Those of the ``pairs`` (u, v) whose shingle sets have a Jaccard similarity of ``similarity`` at least.
 
-    Distance and sizes only pick the candidates; each of these is then decided by its shingles.
+    Distance, sizes and sketches only pick the candidates, each with a margin of three deviations or more; each candidate is
+    then decided by its shingles.
     """
-    whole = lambda c, w, n: nodes.prints.select(F.col("node").alias(c), F.col("w").alias(w), F.col("size").alias(n))
+    whole = lambda *names: nodes.prints.select("node", "w", "size", "sketch").toDF(*names)
     apart = F.expr("aggregate(zip_with(a, b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
     close = (apart <= most_apart(BITS * len(WIDE), similarity)) & F.expr(f"least(n, m) >= {similarity} * greatest(n, m)")
-    near = pairs.join(whole("u", "a", "n"), "u").join(whole("v", "b", "m"), "v").where(close).select("u", "v")
+    margin = 3 * math.sqrt(similarity * (1 - similarity) / RANGES) + 0.02
+    # of sets of more shingles than ranges all ranges tell; a small set's few ranges are nearly the whole set
+    close &= sketch_similarity("c", "d") >= similarity - margin
+    near = pairs.join(whole("u", "a", "n", "c"), "u").join(whole("v", "b", "m", "d"), "v").where(close).select("u", "v")
     near = save(near.distinct(), "candidates")
     met = near.select(F.col("u").alias("node")).union(near.select(F.col("v").alias("node"))).distinct()
     sets = save(_sets(nodes, met), "sets")
@@ -336,9 +364,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, similarity
     """(``ROW``, digest): one row per input row; (digest, root, ``ROW``): its component, and one of its rows."""
     fps = save(wide_fingerprints(docs, id_col, text_col, words), "wide")
     row = F.min(F.struct(*ROW)).alias("row")
-    named = fps.groupBy("digest").agg(row, F.first("w").alias("w"), F.first("size").alias("size"))
+    named = fps.groupBy("digest").agg(row, F.first("w").alias("w"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     # numbers made once, when the table is written
-    named = save(named.select(F.monotonically_increasing_id().alias("node"), "digest", "w", "size", "row.*"), "nodes")
+    named = save(named.select(F.monotonically_increasing_id().alias("node"), "digest", "w", "size", "sketch", "row.*"), "nodes")
     roots = similar_roots(Nodes(named.drop("digest"), docs, id_col, text_col, words), named.count(), similarity)
     return fps, save(named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), *ROW), "rooted")
 

@@ -209,6 +209,20 @@ def test_spread_lines(spark):
     assert line_dedup.drop_spread_lines(docs(spark, [])).count() == 0
 
 
+def test_sketches_estimate_the_similarity(spark):
+    r, rows = np.random.default_rng(5), []
+    for n in (1, 5, 40, 150, 400, 3000, 40_000):
+        for share in (0.0, 0.3, 0.7, 0.8, 0.9, 1.0):
+            for _ in range(6):
+                both = r.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64) * np.uint64(2)
+                cut = round(n * share)
+                a, b = np.unique(both), np.unique(np.concatenate((both[:cut], r.integers(0, 2**63, n - cut, dtype=np.int64).astype(np.uint64))))
+                rows.append((simhash.sketch(a).tolist(), simhash.sketch(b).tolist(), len(np.intersect1d(a, b)) / len(np.union1d(a, b))))
+    rows.append(([0] * 64, [0] * 64, 1.0))
+    got = spark.createDataFrame(rows, "a array<long>, b array<long>, j double").select("j", simhash.sketch_similarity("a", "b").alias("s")).collect()
+    assert all(abs(x.j - x.s) < 0.073 or x.j < 0.6 for x in got) and all(x.s == 1 for x in got if x.j == 1) and max(abs(x.j - x.s) for x in got) < 0.2
+
+
 def test_pairs_at_the_threshold_are_linked_and_others_are_not(spark):
     r = random.Random(23)
     vocabulary = [words(r, 1) + str(i) for i in range(4000)]
