@@ -27,36 +27,44 @@ def parse_number(raw: Column, mode: str = "reference") -> Column:
     if mode not in ("reference", "metric"):
         raise ValueError(f"unknown mode {mode!r}")
 
-    def parts(match: Column) -> Column:
-        digits = F.regexp_replace(match, "^-", "")
-        return F.struct(
-            match.alias("match"),
-            digits.alias("digits"),
-            F.regexp_count(digits, F.lit("[.,]")).alias("separators"),
-            F.regexp_extract(digits, r"[.,](\d+)$", 1).alias("tail"),
-            F.regexp_replace(digits, r"[.,]\d+$", "").alias("head"),
-        )
-
-    def signed(p: Column) -> Column:
-        groups = (p["separators"] == 1) & (F.length(p["tail"]) == 3)
-        if mode == "metric":
-            groups &= ~p["head"].rlike("^0+$")
-        plain = (
-            F.when(p["separators"] == 0, p["digits"])
-            .when(groups, F.concat(p["head"], p["tail"]))
-            .otherwise(F.concat(F.regexp_replace(p["head"], "[.,]", ""), F.lit("."), p["tail"]))
-        )
-        sign = F.when(p["match"].startswith("-"), -1.0).otherwise(1.0)
-        return F.struct((plain.try_cast("double") * sign).alias("value"), p["match"].alias("match"))
-
-    def scaled(n: Column) -> Column:
-        percent = F.contains(raw, F.lit("%"))
-        hinted = (n["value"] > 1) & F.lower(raw).rlike("|".join(PROPORTION_HINTS))
-        value = F.when(percent | hinted, n["value"] / 100).otherwise(n["value"])
-        found = F.struct(value.alias("value"), percent.alias("is_percent"), n["match"].alias("raw_match"))
-        return F.when(n["value"].isNotNull(), found)
-
-    return let(let(let(F.regexp_substr(raw, F.lit(NUMBER)), parts), signed), scaled)
+    def found(match: Column) -> Column:
+        def scaled(value: Column) -> Column:
+            size = scaled_value(raw, value)
+            return F.when(value.isNotNull(), F.struct(size.alias("value"), is_percent(raw).alias("is_percent"), match.alias("raw_match")))
+
+        return let(unscaled_value(match, mode), scaled)
+
+    return let(number_in(raw), found)
+
+
+def number_in(raw: Column) -> Column:
+    """The first number in a text as it stands there; null without one."""
+    return F.regexp_substr(raw, F.lit(NUMBER))
+
+
+def unscaled_value(match: Column, mode: str = "reference") -> Column:
+    """The value of a number's text, percent signs aside."""
+    digits = F.translate(match, "-", "")
+    plain = F.translate(digits, ".,", "")
+    separators = F.length(digits) - F.length(plain)
+    dotted = F.translate(digits, ",", ".")
+    tail = F.substring_index(dotted, ".", -1)
+    groups = (separators == 1) & (F.length(tail) == 3)
+    if mode == "metric":
+        groups &= F.translate(F.substring_index(dotted, ".", 1), "0", "") != ""
+    head = F.substr(plain, F.lit(1), F.length(plain) - F.length(tail))
+    text = F.when((separators == 0) | groups, plain).otherwise(F.concat(head, F.lit("."), tail))
+    return text.try_cast("double") * F.when(match.startswith("-"), -1.0).otherwise(1.0)
+
+
+def is_percent(raw: Column) -> Column:
+    return F.contains(raw, F.lit("%"))
+
+
+def scaled_value(raw: Column, value: Column) -> Column:
+    """A number's value as its text means it: percentages and hinted proportions over 1 are divided by 100."""
+    hinted = (value > 1) & F.lower(raw).rlike("|".join(PROPORTION_HINTS))
+    return F.when(is_percent(raw) | hinted, value / 100).otherwise(value)
 
 
 def parse_float(raw: Column, mode: str = "reference") -> Column:

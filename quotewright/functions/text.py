@@ -21,12 +21,22 @@ ANCHOR_PATTERN = (
     r"(performance|desempenho|validation|valida\w+|discrimination|discrimina\w+|"
     r"comparison|compara\w+|evaluation|avalia\w+|baseline)"
 )
-#: Unicode case and word characters, as the patterns were written for.
-FLAGS = "(?iU)"
+#: Letters that count as ASCII ones where case does not, and do not become these in lower case.
+FOLDED = ("\u017f\u0131\u0130\u212a", "siik")
+
+
+def by_first_letter(pattern: str) -> str:
+    """The same alternatives, grouped by the letter they begin with, so that most places in a text fail at one look."""
+    groups: dict[str, list[str]] = {}
+    for word in pattern[1:-1].split("|"):
+        groups.setdefault(word.removeprefix(r"\b")[0], []).append(word)
+    return f"(?=[{''.join(groups)}])(?:" + "|".join(f"(?={c})(?:{'|'.join(words)})" for c, words in groups.items()) + ")"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(FLAGS + pattern))
+    """How often one of a pattern's alternatives, in lower case, occurs in any case, with Unicode word characters. The text is
+    folded once, which is cheaper than to match each letter in both cases."""
+    return F.regexp_count(F.lower(F.translate(text, *FOLDED)), F.lit("(?U)" + by_first_letter(pattern)))
 
 
 def collapse(text: Column) -> Column:

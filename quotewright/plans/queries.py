@@ -28,7 +28,7 @@ from quotewright.functions.text import (
     word_count,
 )
 from quotewright.operators import blocks, dedup, pairing, registry, repair, runs, screening, sheet, verify
-from quotewright.operators.sanity import sanity_flags
+from quotewright.operators.sanity import sanity_flags, with_sanity_flags
 from quotewright.sources import tei
 from quotewright.sources.tables import column_widths, unfinished
 from quotewright.streaming.incremental import new_documents, run_available
@@ -301,8 +301,9 @@ f AS (
 
 
 def _line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", sanity_flags(_line_record()).alias("flags"))
-    return rows.select("l_orderkey", "l_linenumber", F.explode("flags").alias("f")).select("l_orderkey", "l_linenumber", "f.field_name", "f.ok", "f.message")
+    rows = with_sanity_flags(table(spark, sf_dir, "lineitem").withColumn("r", _line_record()), F.col("r"))
+    # an outer explode: before a plain one Spark would filter by the size of the flags, computed a second time below all parsing
+    return rows.select("l_orderkey", "l_linenumber", F.explode_outer("flags").alias("f")).where("f IS NOT NULL").select("l_orderkey", "l_linenumber", "f.field_name", "f.ok", "f.message")
 
 
 @query(f"WITH {SANITY_SQL} SELECT l_orderkey, l_linenumber, field_name, ok, message FROM f")
