@@ -28,6 +28,7 @@ from quotewright.functions.text import (
     word_count,
 )
 from quotewright.operators import blocks, dedup, pairing, registry, repair, runs, screening, sheet, verify
+from quotewright.functions.text import collapse
 from quotewright.operators.sanity import sanity_flags, with_sanity_flags
 from quotewright.sources import tei
 from quotewright.sources.tables import column_widths, unfinished
@@ -397,9 +398,32 @@ def quote_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("paper_id", (F.col("similarity") == 100).alias("exact"), F.when(F.col("paper_id") % 5 == 2, "fuzzy").otherwise(F.col("reason")).alias("reason"))
 
 
-@query()
+def _altered(docs: DataFrame) -> DataFrame:
+    """A quote of each document's own text with one to three foreign characters in its middle."""
+    quote = collapse(F.expr("substring(text, 1 + length(text) div 3, 60)"))
+    half, extra = F.floor(F.length(quote) / 2).cast("int"), F.repeat(F.lit("\u00a4"), (1 + F.col("doc_id") % 3).cast("int"))
+    altered = F.concat(F.substr(quote, F.lit(1), half), extra, F.substr(quote, half + 1))
+    return docs.select(F.col("doc_id").alias("paper_id"), altered.alias("quote"))
+
+
+# the best window holds the whole quote: its n characters of n + c, or of fewer at an end of the text
+@query(
+    r"""
+WITH q AS (SELECT doc_id, 1 + doc_id % 3 AS c, regexp_replace(regexp_replace(substring(coalesce(text, ''), 1 + length(text) // 3, 60), '\s+', ' ', 'g'), '^ | $', '', 'g') AS q,
+                  regexp_replace(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'), '^ | $', '', 'g') AS s FROM documents),
+r AS (SELECT doc_id, c, length(q) AS n,
+             CASE WHEN ends_with(s, q) OR starts_with(s, q) THEN 0
+                  WHEN substring(s, length(s) - length(q), length(q)) = q OR substring(s, 2, length(q)) = q THEN 1
+                  WHEN substring(s, length(s) - length(q) - 1, length(q)) = q OR substring(s, 3, length(q)) = q THEN 2 ELSE 3 END AS r FROM q),
+x AS (SELECT doc_id AS paper_id, n + c < 3 AS short, CASE WHEN n + c < 3 THEN 0.0 ELSE 200.0 * n / (2 * n + c + least(r, c)) END AS x FROM r)
+SELECT paper_id, x >= 90 AS verified, round(x, 6) AS similarity,
+       CASE WHEN short THEN 'quote muito curto para verificar com confianca' WHEN x >= 90 THEN 'ok' ELSE 'similaridade ' || printf('%.1f', round_even(x, 1)) || ' < limiar 90.0' END AS reason
+FROM x"""
+)
 def quote_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(spark, sf_dir).where("paper_id % 5 = 2").select("paper_id", "verified", F.round("similarity", 6).alias("similarity"), "reason")
+    docs = table(spark, sf_dir, "documents")
+    checked = verify.check_quotes(_altered(docs), docs.select(F.col("doc_id").alias("paper_id"), F.col("text").alias("source_text")))
+    return checked.select("paper_id", "verified", F.round("similarity", 6).alias("similarity"), "reason")
 
 
 # --- dedup
