@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,32 @@ ATTEMPTS, SHORTEST_WAIT, LONGEST_WAIT = 3, 2.0, 30.0
 SCHEMA_HINTS = ("response_format", "json_schema", "guided", "unsupported")
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What a client is made with."""
+
+    model: str
+    api_base: str
+    temperature: float
+    max_tokens: int
+    request_timeout_s: int
+    min_num_ctx: int
+
+
+def wait_until_ready(alive: Callable[[], bool], most: float, every: float = 2.0) -> None:
+    """Asks a service until it answers; a failure to ask counts as no. TimeoutError after ``most`` seconds."""
+    end = time.monotonic() + most
+    while True:
+        try:
+            if alive():
+                return
+        except Exception:  # noqa: BLE001
+            pass
+        if time.monotonic() >= end:
+            raise TimeoutError(f"the service was not ready within {most:g} s")
+        time.sleep(min(every, max(0.0, end - time.monotonic())))
+
+
 def schema_unsupported(message: str) -> bool:
     return any(h in message.lower() for h in SCHEMA_HINTS)
 
@@ -44,24 +71,28 @@ def call(client: Client, prompt: str, attempts: int = ATTEMPTS, wait: float = SH
 
 
 def ask(rows: DataFrame, prompt: Column, client: Client, wait: float = SHORTEST_WAIT, any_error: bool = False) -> DataFrame:
-    """``rows`` with ``raw``, the client's answer to each prompt, or ``error``. One row's failure stops no other."""
+    """``rows`` with ``raw``, the client's answer to each prompt, or ``error``, and the ``seconds`` it took. One row's failure
+    stops no other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             answers: list[str | None] = []
             errors: list[str | None] = []
+            took: list[float] = []
             for p in b.column(b.num_columns - 1).to_pylist():
+                begin = time.monotonic()
                 try:
                     answers.append(call(client, p or "", wait=wait, any_error=any_error))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001
                     answers.append(None)
                     errors.append(str(e))
-            arrays = [*b.columns[:-1], pa.array(answers, pa.string()), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names[:-1], "raw", "error"])
+                took.append(time.monotonic() - begin)
+            arrays = [*b.columns[:-1], pa.array(answers, pa.string()), pa.array(errors, pa.string()), pa.array(took, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names[:-1], "raw", "error", "seconds"])
 
     text = T.StringType()
-    schema = T.StructType([*rows.schema.fields, T.StructField("raw", text), T.StructField("error", text)])
+    schema = T.StructType([*rows.schema.fields, T.StructField("raw", text), T.StructField("error", text), T.StructField("seconds", T.DoubleType())])
     return rows.select("*", prompt.cast("string").alias("__prompt")).mapInArrow(run, schema)
 
 

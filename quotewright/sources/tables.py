@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, fields, replace
 from pathlib import Path
 
@@ -19,11 +20,52 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read_json(spark: SparkSession, path: str, schema: T.StructType, partial: bool) -> DataFrame:
-    """One document per file. Files that are not JSON give no row; a missing folder gives none at all."""
+    """Files of one document each, or the JSON Lines that :func:`write_documents` writes; a folder of these is of one kind.
+
+    What is not JSON gives no row; a missing folder gives none at all.
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").where(F.col("_metadata.file_name").endswith(".partial.json") == F.lit(partial))
-    return files.select(F.from_json("value", schema).alias("d")).where("d.paper_id IS NOT NULL").select("d.*")
+    name, written = F.col("_metadata.file_name"), r"^part-\d{5}-"
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").where(~name.rlike(written) & (name.endswith(".partial.json") == F.lit(partial)))
+    lines = spark.read.text(path, pathGlobFilter="part-*.json").where(name.rlike(written))
+    rows = files.unionByName(lines).select(F.from_json("value", schema).alias("d"))
+    return rows.where("d.paper_id IS NOT NULL").select("d.*")
+
+
+def append_batch(df: DataFrame, path: str) -> None:
+    """Adds a numbered folder to a table of batches."""
+    spark = df.sparkSession
+    known = [name for name in _folders(spark, path) if name.startswith("batch=")]
+    df.write.parquet(f"{path}/batch={1 + max((int(n[6:]) for n in known), default=0):06d}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, key: str = "paper_id") -> DataFrame:
+    """A table of batches: of a key's rows those of its last batch. A missing table is empty."""
+    empty = spark.createDataFrame([], schema)
+    if not _folders(spark, path):
+        return empty
+    rows = spark.read.schema(T.StructType([*empty.schema, T.StructField("batch", T.IntegerType())])).parquet(path)
+    last = rows.groupBy(key).agg(F.max("batch").alias("batch"))
+    return rows.join(last, [key, "batch"], "left_semi").drop("batch")
+
+
+def keep_batches(rows: DataFrame, path: str) -> None:
+    """Leaves ``rows`` alone in a table of batches: they become its last batch, then the others go."""
+    spark = rows.sparkSession
+    old = _folders(spark, path)
+    append_batch(rows, path)
+    for name in old:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    if not _exists(spark, path):
+        return []
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
@@ -47,6 +89,12 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines; blank and malformed lines and rows without an id are passed over; of an id's lines the last counts."""
     if not _exists(spark, path):
         return spark.createDataFrame([], REGISTRY)
+    if _exists(spark, f"{path}/{CURRENT}"):
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(f"{path}/{CURRENT}")
+        named = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+        path = f"{path}/{jvm.org.apache.commons.io.IOUtils.toString(named, 'UTF-8')}"
+        named.close()
     lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
     rows = lines.where(F.try_parse_json("value").isNotNull()).select("line", F.from_json("value", REGISTRY).alias("d"))
     rows = rows.where("d.record_id IS NOT NULL AND d.record_id <> ''")
@@ -58,18 +106,28 @@ def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where((F.trim("value") != "") & F.try_parse_json("value").isNull())
 
 
+#: The file that names a registry's version, so that a version is swapped for the next in one step.
+CURRENT = "_current"
+
+
 def write_registry(registry: DataFrame, path: str) -> None:
-    """A new folder beside the old one, sorted by id, then swapped for it; a reader sees the one or the other."""
+    """A new version in a folder of its own, sorted by id; then a file that names it takes the place of the one before, in one
+    rename. A reader, or a run that dies between, finds the one version or the other. Older versions go at last."""
     spark = registry.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    place, fresh, old = (jvm.org.apache.hadoop.fs.Path(path + end) for end in ("", ".new", ".old"))
-    fs = place.getFileSystem(conf)
-    registry.sort("record_id").write.mode("overwrite").json(path + ".new")
-    fs.delete(old, True)
-    if fs.exists(place):
-        fs.rename(place, old)
-    fs.rename(fresh, place)
-    fs.delete(old, True)
+    at = jvm.org.apache.hadoop.fs.Path
+    old, name = _folders(spark, path), f"v-{uuid.uuid4().hex}"
+    registry.sort("record_id").write.json(f"{path}/{name}")
+    fs = at(path).getFileSystem(conf)
+    fresh = at(f"{path}/{CURRENT}-{name}")
+    out = fs.create(fresh)
+    out.write(bytearray(name, "ascii"))
+    out.close()
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fresh, at(f"{path}/{CURRENT}"), over)
+    for folder in old:
+        fs.delete(at(f"{path}/{folder}"), True)
 
 
 def write_documents(df: DataFrame, path: str) -> None:

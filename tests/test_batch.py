@@ -7,9 +7,9 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from quotewright.functions.records import REGISTRY
+from quotewright.functions.records import REGISTRY, SCREENING
 from quotewright.plans import batch
-from quotewright.sources import boundary
+from quotewright.sources import boundary, tables
 from quotewright.sources.tables import Profile
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't have the tests
@@ -65,7 +65,10 @@ def test_run_from_papers_to_sheet(spark, tmp_path):
     assert one.fallback_level == 1 and one.extraction_a.records[0].auc.value == "0.91" and one.extraction_b.records[0].auc.value == "0.71"
     assert [(r.field_name, r.choice) for r in one.arbiter_resolutions] == [("auc", "a")] and not one.record_count_mismatch
     assert one.verifications[0].all_verified and one.extraction_reconciled.records[0].extraction_notes == "[arbitro: auc<-a]"
-    sheet = batch.consolidate_run(done, spark.read.parquet(f"{tmp_path}/screening"), str(tmp_path)).collect()
+    assert one.timing.total_s >= one.timing.extraction_a_s >= 0
+    sheet = batch.consolidate_run(done, tables.read_batches(spark, f"{tmp_path}/screening", SCREENING), str(tmp_path)).collect()
+    summary = batch.run_summary(papers(spark, "one", "out", "broken", "fails"), done, tables.read_batches(spark, f"{tmp_path}/screening", SCREENING)).first()
+    assert (summary.papers, summary.processed, summary.excluded, summary.screened_not_processed, summary.failed, summary.records) == (4, 2, 1, 1, 1, 2)
     assert [(r.AUC, r.needs_review, r.arbiter_resolved_fields) for r in sheet] == [("0.91", False, "auc")] * 2
     assert all((tmp_path / f"{n}.csv").exists() for n in ("metadados_extraidos", "auditoria_amostra", "triagem_prisma"))
     report = batch.compare_folders(spark, str(tmp_path), str(tmp_path)).collect()
@@ -99,3 +102,73 @@ def test_calls_are_tried_again():
 def test_prompts(spark):
     text = boundary.prompt_of("{a} {b} {c}", a=F.lit("x"), b=F.lit(None))
     assert spark.range(1).select(text).first()[0] == "x  {c}" and boundary.criteria_block({"I1": "y", "I2": "z"}) == "I1: y\nI2: z"
+
+
+def counting(log, answer):
+    def ask(prompt, strict):
+        with open(log, "a") as f:
+            f.write(prompt.split("\n")[0] + "\n")
+        return answer(prompt, strict)
+
+    return ask
+
+
+def asked(log):
+    return sorted(log.read_text().split()) if log.exists() else []
+
+
+def test_a_run_is_taken_up_again(spark, tmp_path):
+    logs = {n: tmp_path / n for n in "abs"}
+    down = tmp_path / "down"
+    down.write_text("")
+
+    def b(prompt, strict):
+        if down.exists() and prompt.startswith("late"):
+            raise OSError("down")
+        return extract_b(prompt, strict)
+
+    clients = batch.Clients(counting(logs["a"], extract_a), counting(logs["b"], b), counting(logs["s"], lambda p, s: screen(p, False)), None, wait=0.0)
+    out = str(tmp_path / "run")
+    rows = papers(spark, "one", "late")
+    assert [r.paper_id for r in batch.process_papers(rows, clients, Profile("t", "m", "u", fallback_budgets=(None,)), out).collect()] == ["one"]
+    assert asked(logs["a"]) == ["late", "one"] and asked(logs["s"]) == ["late", "one"]
+    assert [r.paper_id for r in tables.read_batches(spark, f"{out}/partial", batch.PARTIAL).collect()] == ["late"]
+    down.unlink()
+    for log in logs.values():
+        log.unlink()
+    profile = Profile("t", "m", "u", fallback_budgets=(None,))
+    assert sorted(r.paper_id for r in batch.process_papers(rows, clients, profile, out).collect()) == ["late", "one"]
+    assert asked(logs["a"]) == [] and asked(logs["s"]) == [] and asked(logs["b"]) == ["late"]  # A is reused, what is done is passed over
+    assert tables.read_batches(spark, f"{out}/partial", batch.PARTIAL).count() == 0
+    logs["b"].unlink()
+    assert len(batch.process_papers(rows, clients, profile, out, force=True).collect()) == 2
+    assert asked(logs["a"]) == asked(logs["b"]) == asked(logs["s"]) == ["late", "one"]
+
+
+def test_directory_to_sheet(spark, tmp_path):
+    (tmp_path / "pdf").mkdir()
+    for name in ("one", "bad"):
+        (tmp_path / "pdf" / f"{name}.pdf").write_bytes(name.encode())
+    log = tmp_path / "parsed"
+
+    def parser(content):
+        with open(log, "a") as f:
+            f.write(content.decode() + "\n")
+        if content == b"bad":
+            raise ValueError("no text")
+        return '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><titleStmt><title>T</title></titleStmt></teiHeader><text><body><div><head>Results</head><p>deep result with an AUC of 0.91 for the Random Forest</p></div></body></text></TEI>'
+
+    out = str(tmp_path / "run")
+    for turn in (1, 2):
+        sheet = batch.run_directory(spark, str(tmp_path / "pdf"), parser, CLIENTS, PROFILE, out, alive=lambda: True).collect()
+        assert [(r.paper_id, r.AUC) for r in sheet] == [("one", "0.91")]
+        assert asked(log) == ["bad"] * turn + ["one"]
+    with pytest.raises(TimeoutError):
+        boundary.wait_until_ready(lambda: False, 0.0)
+
+
+def test_profiles_reach_the_clients():
+    made = []
+    clients = batch.clients_of(lambda s: made.append(s) or extract_a, Profile("t", "m", "u", temperature_a=0.2, request_timeout_s=7, max_tokens=9))
+    assert clients.arbiter and clients.screen and [s.temperature for s in made] == [0.2, 0.4, 0.0, 0.0]
+    assert [s.max_tokens for s in made] == [9, 9, 1500, 9] and {s.request_timeout_s for s in made} == {7}

@@ -58,6 +58,16 @@ def test_checkpoints(spark, tmp_path):
     assert tables.unfinished(work, done, force=True).count() == 2
 
 
+def test_checkpoints_that_were_written_are_read(spark, tmp_path):
+    rows = tables.read_checkpoints(spark, str(tmp_path / "none")).schema
+    df = spark.createDataFrame([(f"p{i}", i) for i in range(5)], "paper_id string, source_text_len int")
+    made = df.select(*(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in rows))
+    tables.write_documents(made.repartition(2), str(tmp_path / "c"))
+    (tmp_path / "c" / "alone.json").write_text(json.dumps({"paper_id": "alone"}, indent=1))
+    got = {r.paper_id: r.source_text_len for r in tables.read_checkpoints(spark, str(tmp_path / "c")).collect()}
+    assert got == {f"p{i}": i for i in range(5)} | {"alone": None}
+
+
 def test_registry_file(spark, tmp_path):
     place = tmp_path / "registry.jsonl"
     place.write_text('{"record_id":"a","doi":"1"}\n\nbroken\n{"doi":"x"}\n{"record_id":"a","doi":"2"}\n{"record_id":"b"}\n')
