@@ -204,6 +204,10 @@ def most_apart(bits: int, similarity: float) -> int:
     return math.ceil(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
 
+#: The words of a fingerprint, as columns of their own.
+PRINT = [f"w{i}" for i in range(len(WIDE))]
+
+
 def _tables(n: int, similarity: float, recall: float) -> list[Column]:
     """Block keys: each of log2(n) random bits, as many as let a pair at ``similarity`` share a block with probability
     ``recall``. So neither a block's chance members nor the recall depend on the input's size; the number of keys does."""
@@ -266,8 +270,14 @@ def verified(pairs: DataFrame, nodes: Nodes, similarity: float) -> DataFrame:
     return two.select("u", "v", "a", "b").mapInArrow(decide, "u long, v long").distinct()
 
 
-def _grid_pairs(large: DataFrame, near: int, side: int = 2048) -> DataFrame:
-    """``large`` (key, n, m struct<node, w0>) -> all pairs (u, v) of a key's members within ``near`` bits of ``w0``.
+def _close(x: str, y: str, similarity: float) -> str:
+    """SQL: whether two rows with ``PRINT`` are near enough for this similarity, on the first word and then on all."""
+    apart = [f"bit_count({x}{w} ^ {y}{w})" for w in PRINT]
+    return f"{apart[0]} <= {most_apart(BITS, similarity)} AND {' + '.join(apart)} <= {most_apart(BITS * len(WIDE), similarity)}"
+
+
+def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFrame:
+    """``large`` (key, n, m struct<node, ``PRINT``>) -> all pairs (u, v) of a key's members that :func:`_close` lets pass.
 
     A block's members are dealt to n / ``side`` parts, and every two parts meet in one cell: so each pair is compared
     once, in arrays, and no task holds more than a cell of a block.
@@ -276,25 +286,27 @@ def _grid_pairs(large: DataFrame, near: int, side: int = 2048) -> DataFrame:
     dealt = large.withColumn("own", F.pmod(F.xxhash64("m.node", F.lit(1)), parts).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     cell = [F.col("key"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")]
-    dealt = dealt.select(*cell, "own", F.col("m.node").alias("node"), F.col("m.w0").alias("w0"))
-    cells = dealt.groupBy("key", "lo", "hi").agg(*(F.collect_list(F.when(F.col("own") == F.col(s), F.struct("node", "w0"))).alias(s + "_m") for s in ("lo", "hi")))
+    dealt = dealt.select(*cell, "own", "m.*")
+    cells = dealt.groupBy("key", "lo", "hi").agg(*(F.collect_list(F.when(F.col("own") == F.col(s), F.struct("node", *PRINT))).alias(s + "_m") for s in ("lo", "hi")))
+    near, near_all = most_apart(BITS, similarity), most_apart(BITS * len(WIDE), similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                (xn, xw), (yn, yw) = ([c.field(k).to_numpy() for k in range(2)] for c in (b.column(j)[i].values for j in (1, 2)))
+                (xn, *xw), (yn, *yw) = ([c.field(k).to_numpy() for k in range(1 + len(PRINT))] for c in (b.column(j)[i].values for j in (1, 2)))
                 for at in range(0, len(xn), 256):
-                    hit = np.bitwise_count(xw[at : at + 256, None].view(np.uint64) ^ yw[None, :].view(np.uint64)) <= near
+                    hit = np.bitwise_count(xw[0][at : at + 256, None].view(np.uint64) ^ yw[0][None, :].view(np.uint64)) <= near
                     if b.column(0)[i].as_py():
                         hit &= xn[at : at + 256, None] < yn[None, :]
                     p, q = np.nonzero(hit)
-                    u, v = xn[at + p], yn[q]
+                    apart = sum(np.bitwise_count(x[at + p].view(np.uint64) ^ y[q].view(np.uint64)).astype(np.int64) for x, y in zip(xw, yw))
+                    u, v = xn[at + p[apart <= near_all]], yn[q[apart <= near_all]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
     return cells.select((F.col("lo") == F.col("hi")).alias("same"), "lo_m", "hi_m").mapInArrow(run, "u long, v long")
 
 
-def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int, near: int) -> tuple[DataFrame | None, DataFrame]:
+def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int) -> tuple[DataFrame | None, DataFrame]:
     """Links found in blocks of over ``group``, and (node, w, crowd): a node's crowd so far, null where it has none.
 
     The members of such a block are compared with one of them, drawn anew in each round, until a round links few. A member that is
@@ -303,9 +315,9 @@ def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int, nea
     known, links, turn = nodes.prints.select("node", "w", F.lit(None).cast("long").alias("crowd")), None, 0
     own = F.coalesce("crowd", "node").alias("own")
     while True:
-        sizes = _blocks(known, keys).groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "w0")).alias("hub"))
-        hubs = save(sizes.where(F.col("n") > group).select("key", "hub.node", "hub.w0").toDF("key", "hub", "hub_w0"), "hubs")
-        stars = _blocks(known, keys).join(hubs, "key").where(f"node <> hub AND bit_count(w0 ^ hub_w0) <= {near}")
+        sizes = _blocks(known, keys).groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", *PRINT)).alias("hub"))
+        hubs = save(sizes.where(F.col("n") > group).select("key", F.col("hub.node").alias("hub"), *(F.col(f"hub.{w}").alias(f"hub_{w}") for w in PRINT)), "hubs")
+        stars = _blocks(known, keys).join(hubs, "key").where(f"node <> hub AND {_close('', 'hub_', similarity)}")
         stars = save(stars.select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), "stars")
         compared = stars.count()
         if not compared:
@@ -322,12 +334,12 @@ def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int, nea
 
 
 def _blocks(known: DataFrame, keys: list[Column]) -> DataFrame:
-    """(key, node, w0): each node's blocks; of a crowd, one member in each block, drawn by the block."""
-    keyed = lambda rows: rows.select("crowd", "node", F.get("w", F.lit(0)).alias("w0"), F.explode(F.array(*keys)).alias("key"))
-    alone = keyed(known.where("crowd IS NULL")).select("key", "node", "w0")
-    drawn = F.min(F.struct(F.xxhash64("node", "key").alias("draw"), "node", "w0")).alias("m")
+    """(key, node, ``PRINT``): each node's blocks; of a crowd, one member in each block, drawn by the block."""
+    keyed = lambda rows: rows.select("crowd", "node", *(F.get("w", F.lit(i)).alias(w) for i, w in enumerate(PRINT)), F.explode(F.array(*keys)).alias("key"))
+    alone = keyed(known.where("crowd IS NULL")).select("key", "node", *PRINT)
+    drawn = F.min(F.struct(F.xxhash64("node", "key").alias("draw"), "node", *PRINT)).alias("m")
     crowded = keyed(known.where("crowd IS NOT NULL")).groupBy("key", "crowd").agg(drawn)
-    return alone.union(crowded.select("key", "m.node", "m.w0"))
+    return alone.union(crowded.select("key", "m.node", *(f"m.{w}" for w in PRINT)))
 
 
 def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float = 0.97, group: int = 32, first: int = 6) -> DataFrame:
@@ -339,23 +351,22 @@ def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float =
     over ``group`` by cells of a grid. No pair that shares a block is left out for the block's size.
     """
     keys = _tables(n, similarity, recall)
-    # a cheap bound on the first word, three deviations off, leaves few pairs to fetch whole fingerprints for
-    near = most_apart(BITS, similarity)
-    links, known = _crowds(nodes, keys[:first], similarity, group, near)
+    # bounds three deviations off, on the first word and then on the whole fingerprint, leave few pairs to fetch sketches for
+    links, known = _crowds(nodes, keys[:first], similarity, group)
     blocks = _blocks(known, keys)
     sizes = save(blocks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
-    members = blocks.join(sizes.where(F.col("n") <= group).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "w0"))).alias("f"))
+    members = blocks.join(sizes.where(F.col("n") <= group).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", *PRINT))).alias("f"))
     pairs = members.select(
         F.explode(
             F.expr(
                 f"""flatten(transform(f, (x, i) -> transform(
-                      filter(slice(f, i + 2, {group}), y -> bit_count(x.w0 ^ y.w0) <= {near}),
+                      filter(slice(f, i + 2, {group}), y -> {_close('x.', 'y.', similarity)}),
                       y -> struct(x.node AS u, y.node AS v))))"""
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", "w0").alias("m"))
-    pairs = save(pairs.union(_grid_pairs(large, near)).distinct(), "pairs")
+    large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", *PRINT).alias("m"))
+    pairs = save(pairs.union(_grid_pairs(large, similarity)).distinct(), "pairs")
     last = verified(pairs, nodes, similarity)
     return connected_components(last if links is None else links.union(last))
 
