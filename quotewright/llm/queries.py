@@ -15,10 +15,12 @@ from quotewright.llm.mixing import mix_sources
 from quotewright.llm.packing import pack_documents
 from quotewright.llm.quality_model import classify
 from quotewright.llm.quality_rules import BOILERPLATE, clean_lines
+from quotewright.llm.resampling import importance_resample
 from quotewright.llm.revisit import TRACKING, resolve_revisits
 from quotewright.llm.simhash import simhash_groups
 from quotewright.llm.suffix_dedup import remove_repeats
 from quotewright.llm.topk import exact_top_k
+from quotewright.llm.word_bpe import decode_ids, encode_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -237,3 +239,50 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
     judged = classify(table(spark, sf_dir, "documents"), trusted)
     return judged.select("doc_id", "lang", "n_tokens", "log10_prob", "perplexity", "threshold", "kept")
+
+
+@query
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    encoded = encode_texts(table(spark, sf_dir, "documents"), tokenizer)
+    kept = encoded.select(F.struct("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256")).alias("row"), "ids")
+    decoded = decode_ids(kept, tokenizer, id_col="row")
+    return decoded.select("row.*", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: crc32 of a word: the remainders of all bytes, by their rule, then the word's bytes folded.
+_CRC_STEP = "xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END)"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLE_SQL["op11_importance_resampling"] = rf"""
+WITH RECURSIVE c(i, k, r) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL SELECT i, k + 1, {_CRC_STEP} FROM c WHERE k < 8),
+crc AS (SELECT list(r ORDER BY i) AS tab FROM c WHERE k = 8),
+d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+h AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM d UNION SELECT w FROM b)),
+k AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(x), 2), lambda p: CAST('0x' || x[p : p + 1] AS BIGINT))),
+                lambda a, y: xor(a >> 8, tab[(xor(a, y) % 256) + 1])), 4294967295) % 10000 AS bucket
+  FROM h, crc),
+s AS (SELECT bucket, count(*) AS s FROM d JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN k USING (w) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM d) AS s_all, (SELECT count(*) FROM b) AS t_all),
+g AS (
+  SELECT s.bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) AS DOUBLE) * (s_all + 10000) / (CAST((s + 1) AS DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t ON t.bucket = s.bucket, n),
+f AS (
+  SELECT doc_id, count(*) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM d JOIN k USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+r AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM documents LEFT JOIN f USING (doc_id)),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, sum((n_features >= 20)::INT) OVER () AS n FROM r)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN n_features >= 20 AND place <= (10 * n) // 100 THEN place END AS BIGINT) AS rank FROM o
+"""
