@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm.common import table
+from quotewright.llm.divergence import source_divergence
 from quotewright.llm.line_dedup import drop_spread_lines
 from quotewright.llm.lm_interpolation import interpolated_scores
 from quotewright.llm.mixing import mix_sources
@@ -286,3 +287,39 @@ r AS (
 o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, sum((n_features >= 20)::INT) OVER () AS n FROM r)
 SELECT doc_id, n_features, weight, score, CAST(CASE WHEN n_features >= 20 AND place <= (10 * n) // 100 THEN place END AS BIGINT) AS rank FROM o
 """
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_source_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+w AS (SELECT id, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+ls AS (SELECT d.lang, CAST(count(k.term) AS HUGEINT) AS v, CAST(coalesce(sum(k.n), 0) AS HUGEINT) AS total
+       FROM (SELECT DISTINCT lang FROM d) d LEFT JOIN kept k ON k.lang = d.lang GROUP BY d.lang),
+c AS (SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n FROM w JOIN kept ON kept.lang = w.lang AND kept.term = w.term GROUP BY ALL),
+g AS (SELECT x.lang, x.source, CAST(coalesce(sum(c.n), 0) AS HUGEINT) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN c ON c.lang = x.lang AND c.source = x.source GROUP BY x.lang, x.source),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + ls.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 1)) // (ls.total + ls.v) AS q
+  FROM g JOIN ls ON ls.lang = g.lang JOIN kept ON kept.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+             FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
