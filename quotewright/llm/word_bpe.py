@@ -17,13 +17,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from quotewright.llm.common import SPACE, chunks
+from quotewright.llm.common import SPACE
 
 #: Chunks of text, and words, that a worker remembers; a fuller memory is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Failing words up to so many symbols are merged side by side, longer ones each with a heap.
 SHORT = 64
 NEVER = np.int64(1) << 40
@@ -49,7 +50,7 @@ class WordBPE:
         model, self.added = file["model"], {t["content"]: t["id"] for t in file["added_tokens"]}
         self.suffix = model.get("end_of_word_suffix") or ""
         library = Tokenizer.from_file(path)
-        self.normalizer, self.splitter, self.decoder = library.normalizer, library.pre_tokenizer, library.decoder
+        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         if model["type"] != "BPE" or not self.suffix or model.get("dropout") or any(t["single_word"] or t["normalized"] for t in file["added_tokens"]):
             raise ValueError("wanted: BPE with a suffix at word ends, no dropout, added tokens taken as they stand")
         if [w for w, _ in self.splitter.pre_tokenize_str("a b")] != ["a", "b"]:
@@ -306,6 +307,16 @@ class WordBPE:
         self._learn(list({c for cs in cut for c in cs if c not in self.chunks}))
         return [b"".join(map(self.chunks.__getitem__, cs)) for cs in cut]
 
+
+class Names:
+    """Token ids -> text."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.decoder = Tokenizer.from_file(path).decoder if file.get("decoder") else None
+        self.names = {i: t for t, i in (file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}).items()}
+
     def decode(self, ids: bytes) -> str:
         """The tokens' names, joined as the file's decoder does, or by spaces if it has none; unknown ids are left out."""
         names = [x for x in map(self.names.get, np.frombuffer(ids, "<u4").tolist()) if x is not None]
@@ -317,19 +328,26 @@ def word_bpe(path: str) -> WordBPE:
     return WordBPE(path)
 
 
-def _mapped(df: DataFrame, id_col: str, in_col: str, cast: str, out: str, kind: pa.DataType, sql: str, work) -> DataFrame:
-    """``id_col`` and ``out``, made from ``in_col`` by ``work``, which gets about 4 MB of values at a time."""
+@lru_cache(maxsize=2)
+def token_names(path: str) -> Names:
+    return Names(path)
+
+
+def _mapped(df: DataFrame, id_col: str, in_col: str, kind: str, out: str, out_kind: str, work) -> DataFrame:
+    """``id_col`` and ``out``, made from ``in_col`` by ``work``, which gets about a megabyte of values at a time."""
+    nothing = "" if kind == "string" else b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to = pa.string() if out_kind == "string" else pa.binary()
         for b in batches:
-            at = 0
-            values = [x if x is not None else "" if cast == "string" else b"" for x in b.column(1).to_pylist()]
-            for _, own in chunks(range(len(values)), values, 4 << 20):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(own)), pa.array(work(own), kind)], [id_col, out])
-                at += len(own)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy().astype(np.int64))
+            cuts = np.flatnonzero(np.diff(sizes >> 20)) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                own = [nothing if x is None else x for x in b.column(1).slice(start, end - start).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, end - start), pa.array(work(own), to)], [id_col, out])
 
-    rows = df.select(df[id_col], df[in_col].cast(cast).alias(f"{out}_"))
-    return rows.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, `{out}` {sql}")
+    rows = df.select(df[id_col], df[in_col].cast(kind).alias(f"{out}_"))
+    return rows.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, `{out}` {out_kind}")
 
 
 def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,9 +358,9 @@ def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     stay, other columns are left out. Null and empty texts, and texts of white space, give no ids. A worker remembers up to
     ``REMEMBERED`` chunks and words; words of any length take n log n steps.
     """
-    return _mapped(docs, id_col, text_col, "string", "ids", pa.binary(), "binary", lambda own: word_bpe(tokenizer).encode(own))
+    return _mapped(docs, id_col, text_col, "string", "ids", "binary", lambda own: word_bpe(tokenizer).encode(own))
 
 
 def decode_ids(rows: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(``id_col``, text string): each row's ids as text, special tokens included; null gives the empty text."""
-    return _mapped(rows, id_col, ids_col, "binary", "text", pa.string(), "string", lambda own: list(map(word_bpe(tokenizer).decode, own)))
+    return _mapped(rows, id_col, ids_col, "binary", "text", "string", lambda own: list(map(token_names(tokenizer).decode, own)))
