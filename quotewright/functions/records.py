@@ -143,3 +143,28 @@ PARSED = T.StructType(
         T.StructField("empty_table_labels", T.ArrayType(T.StringType())),
     ]
 )
+#: What an arbiter answers.
+ARBITRATION = T.StructType([T.StructField("decisions", T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("field_name", "choice")])))])
+
+
+#: The words that fields of answers may hold.
+WORDS = {
+    "model_class": MODEL_CLASSES, "type_data_used": DATA_TYPES, "agricultural_context": CONTEXTS, "decision": DECISIONS, "choice": ("a", "b", "neither"),
+} | {f: YES_NO for f in ("baseline", "financial", "productive", "climatic", "hybrid")}
+
+
+def json_schema(kind: T.DataType, words: dict[str, tuple[str, ...]] | None = WORDS) -> dict:
+    """``kind`` as JSON Schema: structs are objects without other properties, all of their fields required, anything but a struct or an
+    array may be null; the strings of a field named in ``words`` are of that vocabulary."""
+
+    def of(kind: T.DataType, name: str = "") -> dict:
+        if isinstance(kind, T.StructType):
+            fields = {f.name: of(f.dataType, f.name) for f in kind}
+            return {"type": "object", "properties": fields, "required": list(fields), "additionalProperties": False}
+        if isinstance(kind, T.ArrayType):
+            return {"type": "array", "items": of(kind.elementType, name)}
+        plain = "boolean" if isinstance(kind, T.BooleanType) else "integer" if isinstance(kind, T.IntegralType) else "number" if isinstance(kind, T.NumericType) else "string"
+        known = (words or {}).get(name)
+        return {"type": [plain, "null"]} | ({"enum": [*known, None]} if known else {})
+
+    return of(kind)

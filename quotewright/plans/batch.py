@@ -32,12 +32,12 @@ class Clients:
 def clients_of(make: Callable[[boundary.Settings], boundary.Client], profile: Profile, screening: bool = True, arbiter: bool = True, **given: object) -> Clients:
     """Clients made with a profile's settings: two extractions at their temperatures, the arbiter cold and with short answers."""
 
-    def settings(temperature: float, max_tokens: int, context: int) -> boundary.Settings:
-        return boundary.Settings(profile.model, profile.api_base, temperature, max_tokens, profile.request_timeout_s, context)
+    def settings(temperature: float, max_tokens: int, context: int, purpose: str = "extraction") -> boundary.Settings:
+        return boundary.Settings(profile.model, profile.api_base, temperature, max_tokens, profile.request_timeout_s, context, purpose)
 
     a, b = (make(settings(t, profile.max_tokens, profile.min_num_ctx)) for t in profile.temperatures())
-    judge = make(settings(0.0, profile.arbiter_max_tokens, profile.arbiter_min_num_ctx)) if arbiter else None
-    screen = make(settings(0.0, profile.max_tokens, profile.min_num_ctx)) if screening else None
+    judge = make(settings(0.0, profile.arbiter_max_tokens, profile.arbiter_min_num_ctx, "arbiter")) if arbiter else None
+    screen = make(settings(0.0, profile.max_tokens, profile.min_num_ctx, "screening")) if screening else None
     return Clients(a, b, screen, judge, **given)
 
 
@@ -54,18 +54,18 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def screen_papers(papers: DataFrame, clients: Clients, out: str) -> DataFrame:
+def screen_papers(papers: DataFrame, clients: Clients, out: str, limit: int = 1) -> DataFrame:
     """Screening results of ``papers``, added to those in ``out``/screening; a failed one has no decision, lets its paper pass
     and is asked again in the next run."""
     full = blocks.render(blocks.blocks_of(*(F.col(c) for c in ("title", "abstract", "sections", "tables", "empty_table_labels"))))
     rows = papers.select("paper_id", blocks.screening_text(F.col("abstract"), full).alias("source_text"))
     prompt = boundary.prompt_of(clients.screen_template, paper_id=F.col("paper_id"), source_text=F.col("source_text"))
-    answers = _stored(boundary.ask(rows, prompt, clients.screen, clients.wait, any_error=True).select("paper_id", "raw"), f"{out}/answers/screening")
+    answers = _stored(boundary.ask(rows, prompt, clients.screen, clients.wait, any_error=True, limit=limit).select("paper_id", "raw"), f"{out}/answers/screening")
     tables.append_batch(repair.read_screenings(answers).where("status <> 'error'").select(*SCREENING.names), f"{out}/screening")
     return tables.read_batches(papers.sparkSession, f"{out}/screening", SCREENING)
 
 
-def extract_ladder(papers: DataFrame, clients: Clients, budgets: tuple[int | None, ...], out: str) -> DataFrame:
+def extract_ladder(papers: DataFrame, clients: Clients, budgets: tuple[int | None, ...], out: str, limit: int = 1) -> DataFrame:
     """Extraction A at rising budgets: each level asks only for papers without a record so far.
 
     (paper_id, source_text, fallback_level, records, extraction_warnings); papers whose answers fail are absent.
@@ -75,7 +75,7 @@ def extract_ladder(papers: DataFrame, clients: Clients, budgets: tuple[int | Non
         windows = blocks.select_window(cut.join(left, "paper_id", "left_semi"), budget).where(F.trim("window") != "")
         rows = windows.select("paper_id", F.col("window").alias("source_text"))
         prompt = boundary.prompt_of(clients.extract_template, paper_id=F.col("paper_id"), source_text=F.col("source_text"))
-        answers = _stored(boundary.ask(rows, prompt, clients.extract_a, clients.wait), f"{out}/answers/a{level}")
+        answers = _stored(boundary.ask(rows, prompt, clients.extract_a, clients.wait, limit=limit), f"{out}/answers/a{level}")
         read = dedup.deduplicate(repair.read_extractions(answers).where("status <> 'error'").drop("status"))
         got = _stored(answers.select("paper_id", "source_text", "seconds").join(read, "paper_id").withColumn("fallback_level", F.lit(level)), f"{out}/answers/read{level}")
         last = level == len(budgets) - 1
@@ -87,14 +87,14 @@ def extract_ladder(papers: DataFrame, clients: Clients, budgets: tuple[int | Non
     return found
 
 
-def arbitrate(compared: DataFrame, sources: DataFrame, clients: Clients, out: str) -> DataFrame:
+def arbitrate(compared: DataFrame, sources: DataFrame, clients: Clients, out: str, limit: int = 1) -> DataFrame:
     """(paper_id, index_a, decisions) for divergent pairs; an answer that is not one gives none."""
     open_ = F.filter("divergences", lambda d: d["diverges"])
     rows = compared.where("index_a IS NOT NULL AND index_b IS NOT NULL").where(F.size(open_) > 0)
     line = lambda d: F.concat(F.lit('- campo "'), d["field_name"], F.lit('": A="'), F.coalesce(d["value_a"], F.lit("None")), F.lit('" | B="'), F.coalesce(d["value_b"], F.lit("None")), F.lit('"'))
     rows = rows.select("paper_id", "index_a", F.array_join(F.transform(open_, line), "\n").alias("fields")).join(sources, "paper_id")
     prompt = boundary.prompt_of(clients.arbiter_template, paper_id=F.col("paper_id"), fields=F.col("fields"), source_text=F.col("source_text"))
-    answers = _stored(boundary.ask(rows, prompt, clients.arbiter, clients.wait).select("paper_id", "index_a", "raw", "seconds"), f"{out}/answers/arbiter")
+    answers = _stored(boundary.ask(rows, prompt, clients.arbiter, clients.wait, limit=limit).select("paper_id", "index_a", "raw", "seconds"), f"{out}/answers/arbiter")
     kind = T.StructType([T.StructField("decisions", T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("field_name", "choice")])))])
     given = F.from_json(repair.recovered_json(F.col("raw")), kind)["decisions"]
     rows = answers.select("paper_id", "index_a", given.alias("decisions")).where("decisions IS NOT NULL")
@@ -105,19 +105,21 @@ def process_papers(papers: DataFrame, clients: Clients, profile: Profile, out: s
     """Parsed papers -> their checkpoints, stored in ``out``/checkpoints: screening, extraction A by the ladder, B on A's window,
     comparison, arbitration, verification against the window.
 
-    Papers with a checkpoint are passed over, screenings are not asked again, and extraction A of a paper that was not finished
+    At most ``profile.max_concurrency`` calls are open at once. Papers with a checkpoint are passed over, screenings are not asked again, and extraction A of a paper that was not finished
     is taken from ``out``/partial, which is cleared of finished papers; ``force`` does everything again.
     """
-    spark = papers.sparkSession
+    spark, limit = papers.sparkSession, profile.max_concurrency
+    if "parse_s" not in papers.columns:
+        papers = papers.withColumn("parse_s", F.lit(None).cast("double"))
     known = lambda name, schema: tables.read_batches(spark, f"{out}/{name}", schema)
     # what is to be done is fixed before anything is added
     todo = _stored(tables.unfinished(papers.select("paper_id"), known("checkpoints", CHECKPOINT), force), f"{out}/answers/todo")
     asked, papers = papers, papers.join(todo, "paper_id", "left_semi")
     if clients.screen:
-        screened = screen_papers(tables.unfinished(papers, known("screening", SCREENING), force), clients, out)
+        screened = screen_papers(tables.unfinished(papers, known("screening", SCREENING), force), clients, out, limit)
         papers = screening.gate(papers, screened)
     resumed = known("partial", PARTIAL).join(papers, "paper_id", "left_semi")
-    fresh = extract_ladder(tables.unfinished(papers, resumed, force), clients, profile.fallback_budgets, out)
+    fresh = extract_ladder(tables.unfinished(papers, resumed, force), clients, profile.fallback_budgets, out, limit)
     tables.append_batch(fresh.select(*(F.col(f.name).cast(f.dataType) for f in PARTIAL)), f"{out}/partial")
     a = known("partial", PARTIAL).join(papers, "paper_id", "left_semi")
     if force:  # an older extraction of a paper that failed this time doesn't count
@@ -125,12 +127,12 @@ def process_papers(papers: DataFrame, clients: Clients, profile: Profile, out: s
     a = _stored(a, f"{out}/answers/a")
     sources = a.select("paper_id", "source_text")
     prompt = boundary.prompt_of(clients.extract_template, paper_id=F.col("paper_id"), source_text=F.col("source_text"))
-    answers = _stored(boundary.ask(sources, prompt, clients.extract_b, clients.wait).select("paper_id", "raw", "seconds"), f"{out}/answers/b")
+    answers = _stored(boundary.ask(sources, prompt, clients.extract_b, clients.wait, limit=limit).select("paper_id", "raw", "seconds"), f"{out}/answers/b")
     b = dedup.deduplicate(repair.read_extractions(answers).where("status <> 'error'").drop("status"))
     b = b.select("paper_id", F.col("records").alias("records_b"), F.col("extraction_warnings").alias("warnings_b"))
     both = a.join(b, "paper_id").withColumnRenamed("records", "records_a")
     compared = _stored(pairing.compare_extractions(both), f"{out}/answers/compared")
-    decisions = arbitrate(compared, sources, clients, out) if clients.arbiter else compared.select("paper_id", "index_a", F.lit(None).cast("array<struct<field_name:string,choice:string>>").alias("decisions")).limit(0)
+    decisions = arbitrate(compared, sources, clients, out, limit) if clients.arbiter else compared.select("paper_id", "index_a", F.lit(None).cast("array<struct<field_name:string,choice:string>>").alias("decisions")).limit(0)
     decided = _stored(pairing.apply_decisions(compared, decisions), f"{out}/answers/decided")
 
     kinds = {f.name: f.dataType for f in CHECKPOINT}
@@ -142,16 +144,16 @@ def process_papers(papers: DataFrame, clients: Clients, profile: Profile, out: s
     verification = F.struct("record_index", "model_used", "all_verified", "unverified_fields", "field_results")
     verified = checked.groupBy("paper_id").agg(F.array_sort(F.collect_list(verification)).alias("verifications"))
     rows = both.join(reconciled, "paper_id", "left").join(comparisons, "paper_id", "left").join(verified, "paper_id", "left")
-    rows = rows.join(papers.select("paper_id", "empty_table_labels"), "paper_id", "left")
+    rows = rows.join(papers.select("paper_id", "empty_table_labels", "parse_s"), "paper_id", "left")
     rows = rows.join(answers.select("paper_id", F.col("seconds").alias("b_s")), "paper_id", "left")
     if clients.arbiter:
         judged = spark.read.parquet(f"{out}/answers/arbiter").groupBy("paper_id").agg(F.sum("seconds").alias("arbiter_s"))
         rows = rows.join(judged, "paper_id", "left")
     else:
         rows = rows.withColumn("arbiter_s", F.lit(None).cast("double"))
-    spent = [F.col(c) for c in ("seconds", "b_s", "arbiter_s")]
+    spent = [F.col(c) for c in ("parse_s", "seconds", "b_s", "arbiter_s")]
     total = sum((F.coalesce(c, F.lit(0.0)) for c in spent), F.lit(0.0))
-    timing = F.struct(F.lit(None).cast("double").alias("grobid_s"), *(c.alias(n) for c, n in zip(spent, ("extraction_a_s", "extraction_b_s", "arbiter_s"))), total.alias("total_s"))
+    timing = F.struct(*(c.alias(n) for c, n in zip(spent, ("grobid_s", "extraction_a_s", "extraction_b_s", "arbiter_s"))), total.alias("total_s"))
 
     def extraction(records: str, warnings: str):
         return F.struct(F.col("paper_id"), F.col(records).alias("records"), F.col(warnings).alias("extraction_warnings"))
@@ -189,12 +191,13 @@ def run_directory(
     """
     if alive is not None:
         boundary.wait_until_ready(alive, most_wait)
-    kind = "paper_id string, xml string"
+    kind = "paper_id string, xml string, seconds double"
     files = tei.read_pdfs(spark, pdfs)
     cached = tables.read_batches(spark, f"{out}/tei_cache", kind)
-    parsed = boundary.parse_pdfs(files.join(cached, "paper_id", "left_anti"), parser).where("xml IS NOT NULL")
+    parsed = boundary.parse_pdfs(files.join(cached, "paper_id", "left_anti"), parser, profile.max_concurrency).where("xml IS NOT NULL")
     tables.append_batch(parsed, f"{out}/tei_cache")
-    papers = tei.parse_papers(tables.read_batches(spark, f"{out}/tei_cache", kind).join(files.select("paper_id"), "paper_id", "left_semi"))
+    known = tables.read_batches(spark, f"{out}/tei_cache", kind).join(files.select("paper_id"), "paper_id", "left_semi")
+    papers = known.select("paper_id", tei.parsed(F.col("xml")).alias("p"), F.col("seconds").alias("parse_s")).select("paper_id", "p.*", "parse_s")
     process_papers(papers, clients, profile, out, force)
     screenings = tables.read_batches(spark, f"{out}/screening", SCREENING) if clients.screen else None
     return consolidate_run(tables.read_batches(spark, f"{out}/checkpoints", CHECKPOINT), screenings, out)
