@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +17,21 @@ from quotewright.llm.ranking import lookup, top_of_groups
 #: Shares are counted in parts of this number.
 UNIT = 1_000_000_000
 #: A map task hands its counts on when it holds so many (source, term) pairs.
-HELD = 1_000_000
+HELD = 2_000_000
 #: Sources of a tile and rows of a block of terms, about: what one task compares.
 TILE, BLOCK = 48, 200_000
 #: Bytes of terms (ASCII letters in lower case, and all of other characters) stay, other bytes separate terms.
 _TERMS = bytes(b if 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
+class _Numbers(dict):
+    """key -> its number, in the order in which keys are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        found = self[key] = len(self)
+        return found
+
+
 def term_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
     """(lang, term, docs, sources array<struct<source, n>>): counted in each map task, one row for a term and language.
 
@@ -31,7 +40,7 @@ def term_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        ids: dict[bytes, int] = {}
+        ids = _Numbers()
         groups: dict[tuple[str, str], int] = {}
 
         def counted() -> pa.RecordBatch:
@@ -61,10 +70,7 @@ def term_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str)
                     end += 1
                 words = [t.encode().translate(_TERMS).split() for t in texts[at:end]]
                 sizes = np.fromiter(map(len, words), np.int64, len(words))
-                for w in words:
-                    for x in set(w) - ids.keys():
-                        ids[x] = len(ids)
-                term = np.fromiter((ids[x] for w in words for x in w), np.int64, int(sizes.sum()))
+                term = np.fromiter(map(ids.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
                 pair, n = np.unique(np.repeat(np.arange(len(words)), sizes) << 40 | term, return_counts=True)
                 group = np.array([groups.setdefault(k, len(groups)) for k in zip(langs[at:end], sources[at:end])], np.int64)[pair >> 40]
                 key = group << 40 | (pair & ((1 << 40) - 1))
@@ -76,7 +82,7 @@ def term_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str)
                 at = end
                 if sum(len(h[0]) for h in held) >= HELD:
                     yield counted()
-                    held, ids, groups = [], {}, {}
+                    held, ids, groups = [], _Numbers(), {}
         if held:
             yield counted()
 
