@@ -21,17 +21,44 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from quotewright.llm.common import SPACE
-
-#: Chunks of text, and words, that a worker remembers; a fuller memory is emptied.
-REMEMBERED = 150_000
+#: Chunks of text, and words, of a worker's newer memory; a full one replaces the older one, from which what is used again is taken.
+REMEMBERED = 200_000
+#: New chunks that are worked off together.
+TOGETHER = 8000
 #: Failing words up to so many symbols are merged side by side, longer ones each with a heap.
 SHORT = 64
 NEVER = np.int64(1) << 40
-_CHUNK = re.compile(SPACE)
 _ODD_SPACE = re.compile(r"[^\S\x20\x09-\x0D]")
 
 
+# A common way of making words, and what it comes to for printable ASCII in lower case.
+USUAL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+USUAL_NORMAL = ["NFC", "Replace", "Lowercase"]
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n")
+
+
+class Memory:
+    """A mapping that holds between ``REMEMBERED`` and twice as many of the keys asked for last."""
+
+    def __init__(self) -> None:
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def unknown(self, keys: set) -> list:
+        """The keys that are not remembered; the others are in ``new`` afterwards."""
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        new, old, out = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                found = old.get(k)
+                if found is None:
+                    out.append(k)
+                else:
+                    new[k] = found
+        return out
+
+
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The value of each wanted key, and whether there is one; ``keys`` are sorted."""
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
@@ -64,8 +91,9 @@ class WordBPE:
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self._edges()
         self._trie()
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.words, self.chunks = Memory(), Memory()
+        split = file["pre_tokenizer"].get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        self.usual = split == USUAL_SPLIT and [n["type"] for n in (file["normalizer"] or {}).get("normalizers", ())] == USUAL_NORMAL
 
     # Exact merging ---------------------------------------------------------------------------------------------------
 
@@ -266,10 +294,21 @@ class WordBPE:
 
     def split(self, parts: list[str]) -> list[list[str]]:
         """The words of each part, a run of text without ASCII white space, in the file's spelling of bytes."""
+        plain = [self.usual and p.isascii() and p.isprintable() for p in parts]
+        quick: list[list[str]] = [[]]
+        for word in _ASCII_WORDS.findall("\n".join(p for p, easy in zip(parts, plain) if easy).lower()):
+            if word == "\n":
+                quick.append([])
+            else:
+                quick[-1].append(word)
+        ready, other = iter(quick), iter(self._split_by_file([p for p, easy in zip(parts, plain) if not easy]))
+        return [next(ready) if easy else next(other) for easy in plain]
+
+    def _split_by_file(self, parts: list[str]) -> list[list[str]]:
         normal = self.normalizer.normalize_str if self.normalizer else str
         joined = " ".join(parts)
         if _ODD_SPACE.search(joined):  # it would be taken for the space between parts
-            return [self.split([p])[0] if not _ODD_SPACE.search(p) else [w for w, _ in self.splitter.pre_tokenize_str(normal(p))] for p in parts]
+            return [self._split_by_file([p])[0] if not _ODD_SPACE.search(p) else [w for w, _ in self.splitter.pre_tokenize_str(normal(p))] for p in parts]
         text = normal(joined)
         pieces = self.splitter.pre_tokenize_str(text)
         ends = np.cumsum([len(p) + 1 for p in text.split(" ")])
@@ -277,35 +316,31 @@ class WordBPE:
         words, cuts = [w for w, _ in pieces], np.searchsorted(owners, np.arange(len(parts) + 1)).tolist()
         return [words[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _learn(self, new: list[str]) -> None:
-        """Encodes chunks that are not remembered."""
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        for at in range(0, len(new), 2000):
-            own = new[at : at + 2000]
-            if self.special and self.special.search(" ".join(own)):
-                plain = [c for c in own if not self.special.search(c)]
-                self._learn_words(list({x for c in own for x in self.special.split(c) if x and x not in self.added}))
-                for c in set(own) - set(plain):
-                    ids = (self.chunks[x] if x not in self.added else self.added[x].to_bytes(4, "little") for x in self.special.split(c) if x)
-                    self.chunks[c] = b"".join(ids)
-            else:
-                self._learn_words(own)
-
-    def _learn_words(self, parts: list[str]) -> None:
-        spelled, words = self.split(parts), self.words
-        unknown = list({w for p in spelled for w in p if w not in words})
-        if unknown:
-            words.update(zip(unknown, self.encode_words(unknown)))
-        for c, p in zip(parts, spelled):
-            self.chunks[c] = words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[c for c in _CHUNK.split(t) if c] for t in texts]
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        self._learn(list({c for cs in cut for c in cs if c not in self.chunks}))
-        return [b"".join(map(self.chunks.__getitem__, cs)) for cs in cut]
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks, runs of text without ASCII white space."""
+        if self.special and self.special.search(" ".join(chunks)):
+            cut = [[x for x in self.special.split(c) if x] for c in chunks]
+            found = dict(zip(parts := list({x for c in cut for x in c if x not in self.added}), self._learn_words(parts)))
+            found |= {x: i.to_bytes(4, "little") for x, i in self.added.items()}
+            return [b"".join([found[x] for x in c]) for c in cut]
+        return self._learn_words(chunks)
+
+    def _learn_words(self, parts: list[str]) -> list[bytes]:
+        spelled = self.split(parts)
+        if unknown := self.words.unknown({w for p in spelled for w in p}):
+            self.words.new.update(zip(unknown, self.encode_words(unknown)))
+        words = self.words.new
+        return [words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p]) for p in spelled]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of UTF-8 texts, each as little-endian unsigned 32-bit integers."""
+        cut = [t.split() for t in texts]
+        unknown = self.chunks.unknown({c for cs in cut for c in cs})
+        chunks = self.chunks.new
+        for at in range(0, len(unknown), TOGETHER):
+            own = unknown[at : at + TOGETHER]
+            chunks.update(zip(own, self._learn([c.decode() for c in own])))
+        return [b"".join(map(chunks.__getitem__, cs)) for cs in cut]
 
 
 class Names:
@@ -333,21 +368,20 @@ def token_names(path: str) -> Names:
     return Names(path)
 
 
-def _mapped(df: DataFrame, id_col: str, in_col: str, kind: str, out: str, out_kind: str, work) -> DataFrame:
-    """``id_col`` and ``out``, made from ``in_col`` by ``work``, which gets about a megabyte of values at a time."""
-    nothing = "" if kind == "string" else b""
+def _mapped(values: DataFrame, out: str, kind: str, work) -> DataFrame:
+    """(an id, ``out``), made from the second, binary column of ``values`` by ``work``, which gets about a megabyte at a time."""
+    id_col = values.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = pa.string() if out_kind == "string" else pa.binary()
+        to = pa.string() if kind == "string" else pa.binary()
         for b in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy().astype(np.int64))
             cuts = np.flatnonzero(np.diff(sizes >> 20)) + 1
             for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
-                own = [nothing if x is None else x for x in b.column(1).slice(start, end - start).to_pylist()]
+                own = [x or b"" for x in b.column(1).slice(start, end - start).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(start, end - start), pa.array(work(own), to)], [id_col, out])
 
-    rows = df.select(df[id_col], df[in_col].cast(kind).alias(f"{out}_"))
-    return rows.mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, `{out}` {out_kind}")
+    return values.mapInArrow(run, f"`{id_col}` {values.schema[0].dataType.simpleString()}, `{out}` {kind}")
 
 
 def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -355,12 +389,14 @@ def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
     The ids are those of the ``tokenizers`` library for the file at ``tokenizer``, a path that executors can read; strings of its
     added tokens in a text give their ids. Each row is encoded by itself: nothing is shuffled, null ids and repeated rows
-    stay, other columns are left out. Null and empty texts, and texts of white space, give no ids. A worker remembers up to
+    stay, other columns are left out. Null and empty texts, and texts of white space, give no ids. A worker remembers up to twice
     ``REMEMBERED`` chunks and words; words of any length take n log n steps.
     """
-    return _mapped(docs, id_col, text_col, "string", "ids", "binary", lambda own: word_bpe(tokenizer).encode(own))
+    values = docs.select(docs[id_col], docs[text_col].cast("string").cast("binary").alias("_text"))
+    return _mapped(values, "ids", "binary", lambda own: word_bpe(tokenizer).encode(own))
 
 
 def decode_ids(rows: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(``id_col``, text string): each row's ids as text, special tokens included; null gives the empty text."""
-    return _mapped(rows, id_col, ids_col, "binary", "text", "string", lambda own: list(map(token_names(tokenizer).decode, own)))
+    values = rows.select(rows[id_col], rows[ids_col].alias("_ids"))
+    return _mapped(values, "text", "string", lambda own: list(map(token_names(tokenizer).decode, own)))
