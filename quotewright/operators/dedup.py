@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewright.functions.fuzzy import token_sort_ratio
+from quotewright.functions.fuzzy import similar_pairs
 from quotewright.functions.numbers import parse_float
 from quotewright.functions.records import DEDUP_METRICS, EVIDENCE_FIELDS, RECORD
 
@@ -37,17 +37,19 @@ def _labels(items: pa.Array, threshold: float, tolerance: float) -> pa.Array:
     """For each paper, the smallest position that a chain of duplicates reaches from each record."""
     out = []
     for records in items.to_pylist():
-        n = len(records or [])
-        label = list(range(n))
-        for j in range(n):
-            near = {j}
-            for i in range(j):
-                a, b = records[i], records[j]
-                if a["name"] and b["name"] and _agree(a["metrics"], b["metrics"], tolerance) and token_sort_ratio(a["name"], b["name"]) >= threshold:
-                    near.add(label[i])
-            least = min(near)
-            label = [least if x in near else x for x in label]
-        out.append(label)
+        records = records or []
+        root = list(range(len(records)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        for _, i, j in similar_pairs([r["name"] for r in records], None, threshold):
+            a, b = find(i), find(j)
+            if a != b and _agree(records[i]["metrics"], records[j]["metrics"], tolerance):
+                root[max(a, b)] = min(a, b)
+        out.append([find(i) for i in range(len(records))])
     return pa.array(out, pa.list_(pa.int32()))
 
 

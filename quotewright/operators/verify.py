@@ -2,43 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.functions.fuzzy import partial_ratio_column
+from quotewright.functions.fuzzy import partial_ratios_column
 from quotewright.functions.records import EVIDENCE_FIELDS
 from quotewright.functions.text import collapse, collapse_ends
 
 THRESHOLD = 90.0
 SHORTEST = 3
+#: Quotes that meet a text in one row.
+BUNDLE = 256
 
 
 def check_quotes(quotes: DataFrame, sources: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``quotes`` (paper_id, quote, ...) with verified, similarity and reason, against ``sources`` (paper_id, source_text).
 
-    Blank and very short quotes fail. A quote found word for word, white space aside, scores 100; only the
-    others go to the fuzzy matcher, by a filter, so that it never sees a guarded row. The source text joins
-    last and is not carried on. A paper without a source counts as having an empty one.
+    Blank and very short quotes fail. A quote found word for word, white space aside, scores 100 inside the JVM; the fuzzy matcher
+    gets the others. A paper's quotes, ``BUNDLE`` at most, meet its text in one row, so a text is joined once and sent to
+    the matcher once, if at all, and is dropped before the quotes part again. A paper without a source counts as having an empty one.
     """
     blank = F.coalesce(collapse_ends(F.col("quote")) == "", F.lit(True))
-    rows = quotes.withColumn("_q", collapse(F.col("quote")))
-    short = F.length("_q") < SHORTEST
-    guarded = rows.where(blank | short).withColumns(
-        {
-            "verified": F.lit(False),
-            "similarity": F.lit(0.0),
-            "reason": F.when(blank, "quote vazio").otherwise("quote muito curto para verificar com confianca"),
-        }
-    )
-    texts = sources.select("paper_id", collapse(F.col("source_text")).alias("_s"))
-    open_ = rows.where(~(blank | short)).join(texts, "paper_id", "left").withColumn("_s", F.coalesce("_s", F.lit("")))
-    exact = F.contains("_s", "_q")
-    found = open_.where(exact).withColumn("similarity", F.lit(100.0))
-    fuzzy = open_.where(~exact).withColumn("similarity", partial_ratio_column(F.col("_q"), F.col("_s")))
-    scored = found.unionByName(fuzzy).drop("_s").withColumn("verified", F.col("similarity") >= threshold)
-    low = F.concat(F.lit("similaridade "), F.format_string("%.1f", F.bround("similarity", 1)), F.lit(f" < limiar {threshold}"))
-    scored = scored.withColumn("reason", F.when(F.col("verified"), "ok").otherwise(low))
-    return guarded.unionByName(scored).drop("_q")
+    rows = quotes.select("paper_id", F.struct(*(F.col(f"`{c}`") for c in quotes.columns)).alias("row"), collapse(F.col("quote")).alias("q"), blank.alias("blank"))
+    rows = rows.withColumn("open", ~F.col("blank") & (F.length("q") >= SHORTEST))
+    nth = F.row_number().over(Window.partitionBy("paper_id").orderBy(F.desc("open"), "q"))
+    bundled = rows.withColumn("bundle", F.floor(nth / BUNDLE)).groupBy("paper_id", "bundle").agg(F.collect_list(F.struct("row", "q", "blank", "open")).alias("items"))
+    texts = sources.select("paper_id", collapse(F.col("source_text")).alias("s"))
+    met = bundled.join(texts, "paper_id", "left").withColumn("s", F.coalesce("s", F.lit("")))
+    met = met.withColumn("exact", F.transform("items", lambda i: i["open"] & F.contains(F.col("s"), i["q"])))
+    left = F.zip_with("items", "exact", lambda i, x: F.when(i["open"] & ~x, i["q"]))
+    met = met.withColumn("left", left).withColumn("s", F.when(F.exists("left", lambda q: q.isNotNull()), F.col("s")))
+    scored = met.withColumn("scores", partial_ratios_column(F.col("left"), F.col("s"))).select(F.explode(F.arrays_zip("items", "exact", "scores")).alias("z"))
+    scored = scored.withColumn("score", F.when(F.col("z.exact"), 100.0).otherwise(F.coalesce("z.scores", F.lit(0.0))))
+    low = F.concat(F.lit("similaridade "), F.format_string("%.1f", F.bround("score", 1)), F.lit(f" < limiar {threshold}"))
+    passed = F.col("z.items.open") & (F.col("score") >= threshold)
+    reason = F.when(F.col("z.items.blank"), "quote vazio").when(~F.col("z.items.open"), "quote muito curto para verificar com confianca").when(passed, "ok").otherwise(low)
+    return scored.select("z.items.row.*", passed.alias("verified"), F.col("score").alias("similarity"), reason.alias("reason"))
 
 
 def evidence_rows(papers: DataFrame, records: Column) -> DataFrame:

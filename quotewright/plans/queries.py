@@ -474,6 +474,46 @@ def dedup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- two extractions
 
 
+def _letters(place: Column, n: Column) -> Column:
+    """A name of one letter, ``n`` times: the ratio of two such names is 0, or by their lengths alone."""
+    return F.repeat(F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), place + 1, 1), n.cast("int"))
+
+
+@query(
+    """
+WITH RECURSIVE r AS (SELECT p_partkey // 12 AS paper_id, p_partkey, p_partkey % 12 // 4 AS letter, 20 + p_partkey * 7 % 9 AS n, row_number() OVER (PARTITION BY p_partkey // 12 ORDER BY p_partkey) - 1 AS pos FROM part),
+edge AS (SELECT a.paper_id, a.pos AS i, b.pos AS j FROM r a JOIN r b ON a.paper_id = b.paper_id AND a.letter = b.letter AND a.pos <> b.pos WHERE 200.0 * least(a.n, b.n) / (a.n + b.n) >= 90),
+reach(paper_id, i, j) AS (SELECT paper_id, pos, pos FROM r UNION SELECT reach.paper_id, reach.i, edge.j FROM reach JOIN edge ON edge.paper_id = reach.paper_id AND edge.i = reach.j)
+SELECT r.p_partkey, CAST(min(reach.j) AS INTEGER) AS label FROM r JOIN reach ON reach.paper_id = r.paper_id AND reach.i = r.pos GROUP BY r.p_partkey"""
+)
+def dedup_similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(F.expr("p_partkey div 12").alias("paper_id"), "p_partkey", record_of(model_used=_letters(F.expr("p_partkey % 12 div 4").cast("int"), 20 + key * 7 % 9), auc=F.lit("0.5")).alias("r"))
+    items = rows.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "r"))).alias("i"))
+    papers = items.select("paper_id", F.transform("i", lambda x: x["p_partkey"]).alias("keys"), F.transform("i", lambda x: x["r"]).alias("records"))
+    return dedup.label_duplicates(papers).select(F.explode(F.arrays_zip("keys", "label")).alias("z")).select(F.col("z.keys").alias("p_partkey"), F.col("z.label").alias("label"))
+
+
+# two records of a letter on each side: the best pair comes first, what is left of both may be the second
+@query(
+    """
+WITH r AS (SELECT c_custkey // 16 AS paper_id, c_custkey % 16 // 2 AS letter, 10 + c_custkey * 7 % 23 AS m, 10 + c_custkey * 11 % 19 AS n,
+                  row_number() OVER (PARTITION BY c_custkey // 16 ORDER BY c_custkey) - 1 AS pos FROM customer),
+x AS (SELECT a.paper_id, a.letter, a.pos AS i, b.pos AS j, 200.0 * least(a.m, b.n) / (a.m + b.n) AS score FROM r a JOIN r b ON a.paper_id = b.paper_id AND a.letter = b.letter),
+first AS (SELECT * FROM x WHERE score >= 60 QUALIFY row_number() OVER (PARTITION BY paper_id, letter ORDER BY score DESC, i, j) = 1),
+pair AS (SELECT * FROM first UNION ALL SELECT x.* FROM x JOIN first f ON f.paper_id = x.paper_id AND f.letter = x.letter WHERE x.i <> f.i AND x.j <> f.j AND x.score >= 60)
+SELECT r.paper_id, CAST(r.pos AS INTEGER) AS index_a, CAST(pair.j AS INTEGER) AS index_b, round(CAST(pair.score AS DOUBLE), 9) AS match_score FROM r LEFT JOIN pair ON pair.paper_id = r.paper_id AND pair.i = r.pos
+UNION ALL
+SELECT r.paper_id, NULL, CAST(r.pos AS INTEGER), NULL FROM r LEFT JOIN pair ON pair.paper_id = r.paper_id AND pair.j = r.pos WHERE pair.j IS NULL"""
+)
+def pair_similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, letter = F.col("c_custkey"), F.expr("c_custkey % 16 div 2").cast("int")
+    rows = table(spark, sf_dir, "customer").select(F.expr("c_custkey div 16").alias("paper_id"), key.alias("k"), _letters(letter, 10 + key * 7 % 23).alias("a"), _letters(letter, 10 + key * 11 % 19).alias("b"))
+    names = rows.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("k", "a", "b"))).alias("i"))
+    pairs = pairing.pair_names(F.transform("i", lambda x: x["a"]), F.transform("i", lambda x: x["b"]))
+    return names.select("paper_id", F.explode(pairs).alias("p")).select("paper_id", "p.index_a", "p.index_b", F.round("p.match_score", 9).alias("match_score"))
+
+
 def _two_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers of about five customers each. B lacks every fourth customer, has one of its own where the paper's number is
     divisible by 7, lists them in reverse, and differs in balance and segment for some. Names are one letter each, repeated."""

@@ -83,6 +83,70 @@ def test_ratios_against_brute_force():
         assert fuzzy.partial_ratio(a, b) == pytest.approx(want)
 
 
+def test_seeded_windows_are_the_best_ones(monkeypatch):
+    """Quotes altered in few or many places, in texts of few letters: the bound holds, whichever way is taken."""
+    import random
+
+    r, full = random.Random(8), []
+    whole = fuzzy._best_full_window
+    monkeypatch.setattr(fuzzy, "_best_full_window", lambda a, b: full.append(1) or whole(a, b))
+    for letters, size in (("ab", 60), ("abc ", 150), ("abcdefghijk ", 400)):
+        for _ in range(300):
+            text = "".join(r.choice(letters) for _ in range(r.randint(40, size)))
+            at = r.randrange(len(text))
+            quote = list(text[at : at + r.randint(9, 70)])
+            for _ in range(r.randint(0, 6)):
+                i = r.randrange(len(quote) + 1)
+                quote[i : i + r.randint(0, 1)] = r.choice(["", r.choice(letters), "\u00a4"])
+            quote = "".join(quote)
+            if 8 < len(quote) < len(text):
+                assert fuzzy._best_window(quote, text) == whole(quote, text)
+    assert 0 < len(full) < 700
+
+
+def test_similar_names_against_all_pairs():
+    import random
+
+    from quotewright.operators.pairing import greedy_pairs
+
+    r, kinds = random.Random(4), ["Random Forest", "Logistic Regression", "Gradient Boosting", "Support Vector Machine", "XGBoost", "LightGBM"]
+
+    def name():
+        s = list(r.choice(kinds) + r.choice(["", " (tuned)", " v2", " with SMOTE", " + PCA"]))
+        for _ in range(r.randint(0, 2)):
+            s[r.randrange(len(s))] = r.choice("abcxyz ")
+        return "".join(s) if r.random() > 0.05 else ""
+
+    for least in (60, 75, 90, 100):
+        for _ in range(15):
+            a, b = ([name() for _ in range(r.randint(0, 20))] for _ in "ab")
+            score = lambda x, y: fuzzy.token_sort_ratio(x, y) if x and y else -1
+            want = sorted((score(x, y), i, j) for i, x in enumerate(a) for j, y in enumerate(b) if score(x, y) >= least)
+            assert sorted(fuzzy.similar_pairs(a, b, least)) == want
+            assert sorted(fuzzy.similar_pairs(a, None, least)) == sorted((score(x, y), i, j) for i, x in enumerate(a) for j, y in enumerate(a) if i < j and score(x, y) >= least)
+            pairs, taken = {}, set()
+            for s, i, j in sorted(want, key=lambda s: (-s[0], s[1], s[2])):
+                if i not in pairs and j not in taken:
+                    pairs[i] = (j, s)
+                    taken.add(j)
+            assert greedy_pairs(a, b, least) == pairs
+
+
+def test_large_papers_compare_few_names():
+    import random
+
+    from quotewright.operators.pairing import greedy_pairs
+
+    r = random.Random(5)
+    a = [f"{r.choice(['Random Forest', 'Logistic Regression', 'Deep Neural Network'])} setting {i} {r.randrange(10**6)}" for i in range(400)]
+    b = [x if r.random() < 0.7 else f"{x} b" if r.random() < 0.8 else f"lost {i}" for i, x in enumerate(a)]
+    r.shuffle(b)
+    seen = []
+    assert len(greedy_pairs(a, b, 60, seen)) > 370 and len(seen) < 400 * 400 / 10
+    seen.clear()
+    assert not list(fuzzy.similar_pairs(a, None, 97, seen)) and len(seen) < 400 * 399 / 2 / 10
+
+
 def test_ratio_edges():
     assert fuzzy.token_sort_ratio("XGBoost", "XG Boost") == pytest.approx(66.667, abs=0.01)
     assert fuzzy.token_sort_ratio("Forest Random", "Random  Forest") == 100

@@ -110,6 +110,16 @@ def test_quotes(spark):
     assert not got[6].verified and got[6].similarity == 0
 
 
+def test_bundles_of_quotes(spark, monkeypatch):
+    monkeypatch.setattr(verify, "BUNDLE", 3)
+    text = " ".join(f"finding number {i} of the paper" for i in range(20))
+    source = spark.createDataFrame([("p", text)], "paper_id string, source_text string")
+    rows = [("p", i, f"finding number {i}" if i % 3 == 0 else f"finding  number\n{i}" if i % 3 == 1 else f"finding nunber {i} of the") for i in range(20)] + [(None, 20, "finding number"), (None, 21, None)]
+    got = {r.score: r for r in verify.check_quotes(spark.createDataFrame(rows, "paper_id string, score int, quote string"), source).collect()}
+    assert len(got) == 22 and all(got[i].verified and (got[i].similarity == 100) == (i % 3 < 2) for i in range(20))
+    assert got[20].similarity == 0 and got[21].reason == "quote vazio"
+
+
 def test_record_without_values_is_verified(spark):
     source = spark.createDataFrame([("p0", "text")], "paper_id string, source_text string")
     bad = record(auc={"value": "0.9", "quote": "nowhere at all", "source_section": None})
