@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewright.functions.records import WARNING
 from quotewright.functions.text import (
     ANCHOR_PATTERN,
     METRIC_PATTERN,
@@ -17,14 +18,6 @@ from quotewright.functions.text import (
 
 PINNED = ("fixed", "warning")
 BUDGETS = (4000, 12000, None)
-# The notice about tables whose content was lost, around their labels.
-WARNING = (
-    "\n=== AVISO DE PARSING ===\nAs seguintes tabelas foram identificadas no PDF mas o parser NAO conseguiu "
-    "extrair o conteudo numerico delas (vieram vazias): ",
-    ". Os valores dessas tabelas podem ainda aparecer em texto corrido nas secoes "
-    "de resultados/discussao/comparacao acima -- procure ativamente por eles la "
-    "antes de considerar um dado como nao reportado.",
-)
 
 
 def _block(kind: str, label: Column, rendered: Column) -> Column:
@@ -61,7 +54,10 @@ def block_score(kind: Column, rendered: Column) -> Column:
     return F.when(kind.isin(*PINNED), F.lit(float("inf"))).when(kind == "table", score * dense).otherwise(score)
 
 
-def render(blocks: Column) -> Column:
+def render(blocks: Column, notice: bool = True) -> Column:
+    """The blocks as one text, without the notice about lost tables if that is not wanted."""
+    if not notice:
+        blocks = F.filter(blocks, lambda b: b["kind"] != "warning")
     return F.array_join(F.transform(blocks, lambda b: b["rendered"]), "\n")
 
 

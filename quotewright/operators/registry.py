@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotewright.functions.records import EXTRACTION_STATUSES
@@ -22,6 +27,53 @@ def staging_map(todo: DataFrame) -> DataFrame:
     return rows.groupBy("paper_id").agg(F.max_by("record_id", "record_id").alias("record_id"), F.max_by("pdf_path", "record_id").alias("pdf_path"))
 
 
+# Why a record's file is not staged.
+NO_PATH = "! registry: {} tem fulltext_status=done mas sem pdf_path -- pulando."
+NO_FILE = "! registry: PDF nao encontrado para {}: {} -- pulando."
+
+
+def stage_pdfs(todo: DataFrame, root: str, target: str) -> DataFrame:
+    """Copies the files of pending records to ``target``/<paper_id>.pdf: (record_id, paper_id, pdf_path, staged, copied, message).
+
+    Paths that are not absolute start at ``root``; folders may be local or named by a URI. A file that is there already stays and counts as staged.
+    Records without a path or whose file is missing are rows with a message. Of ids that clash once made safe the last is
+    staged, as in :func:`staging_map`. Copies are made by tasks, each under a name of its own that is moved at last, so a repeated task does no harm.
+    Call an action once: each one looks at the files again.
+    """
+    text = F.coalesce(F.col("fulltext.pdf_path"), F.lit(""))
+    rows = todo.select("record_id", paper_id_of(F.col("record_id")).alias("paper_id"), text.alias("pdf_path"))
+    last = F.row_number().over(Window.partitionBy("paper_id").orderBy(F.desc(F.col("pdf_path") != ""), F.desc("record_id"))) == 1
+    rows = rows.withColumn("mine", last & (F.col("pdf_path") != ""))
+
+    def open_fs(path: str) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for record, paper, path, mine in zip(*(c.to_pylist() for c in b.columns)):
+                source = path if path.startswith("/") or "://" in path else f"{root.rstrip('/')}/{path}"
+                message, copied = None, False
+                if not path:
+                    message = NO_PATH.format(record)
+                elif mine:
+                    (from_, a), (to, z) = open_fs(source), open_fs(f"{target.rstrip('/')}/{paper}.pdf")
+                    if from_.get_file_info(a).type != fs.FileType.File:
+                        message = NO_FILE.format(record, source)
+                    elif to.get_file_info(z).type != fs.FileType.File:
+                        to.create_dir(z.rsplit("/", 1)[0], recursive=True)
+                        fresh = f"{z}.{uuid.uuid4().hex}"
+                        fs.copy_files(a, fresh, source_filesystem=from_, destination_filesystem=to)
+                        to.move(fresh, z)
+                        copied = True
+                out.append((record, paper, path or None, bool(mine) and message is None, copied, message))
+            kinds = [pa.string()] * 3 + [pa.bool_()] * 2 + [pa.string()]
+            names = ["record_id", "paper_id", "pdf_path", "staged", "copied", "message"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names)
+
+    return rows.mapInArrow(run, "record_id string, paper_id string, pdf_path string, staged boolean, copied boolean, message string")
+
+
 def paper_rollup(sheet: DataFrame) -> DataFrame:
     return sheet.groupBy("paper_id").agg(F.count("*").cast("int").alias("n_models_extracted"), F.bool_or("needs_review").alias("needs_review"))
 

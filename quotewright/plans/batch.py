@@ -219,20 +219,37 @@ def run_summary(asked: DataFrame, checkpoints: DataFrame, screenings: DataFrame
     )
 
 
+def screened_not_processed(checkpoints: DataFrame, screenings: DataFrame) -> DataFrame:
+    """(paper_id, decision) of papers that screening lets pass and that have no checkpoint."""
+    open_ = screenings.where(F.col("decision").isNotNull() & screening.proceeds(F.col("decision")))
+    return open_.join(checkpoints.select("paper_id"), "paper_id", "left_anti").select("paper_id", "decision")
+
+
 def consolidate_run(checkpoints: DataFrame, screenings: DataFrame | None, out: str, seed: int | None = None) -> DataFrame:
-    """The sheet of a run and its audit sample, written to ``out``, and the screening sheet if there is one."""
+    """The sheet of a run and its audit sample, written to ``out`` as CSV and as workbooks, and the screening sheet if there is one."""
     rows = _stored(sheet.consolidate_checkpoints(checkpoints), f"{out}/sheet")
     key = F.crc32(F.concat_ws("/", "paper_id", "record_index"))
-    tables.write_sheet(rows.drop("record_index"), f"{out}/metadados_extraidos.csv")
-    tables.write_sheet(sheet.audit_sample(rows, key, seed=seed).drop("record_index"), f"{out}/auditoria_amostra.csv")
+    audit = _stored(sheet.audit_sample(rows, key, seed=seed), f"{out}/audit")
+    made = {"metadados_extraidos": rows.drop("record_index"), "auditoria_amostra": audit.drop("record_index")}
     if screenings is not None:
-        tables.write_sheet(screening.screening_sheet(screenings), f"{out}/triagem_prisma.csv")
+        made["triagem_prisma"] = screening.screening_sheet(screenings)
+    for name, frame in made.items():
+        tables.write_sheet(frame, f"{out}/{name}.csv")
+        tables.write_workbook(frame, f"{out}/{name}.xlsx", "triagem" if name == "triagem_prisma" else "metadados")
     return rows
 
 
-def compare_folders(spark: SparkSession, a: str, b: str) -> DataFrame:
-    """Two runs' checkpoint folders side by side."""
-    return runs.compare_runs(*(runs.summarize(tables.read_batches(spark, f"{p}/checkpoints", CHECKPOINT)) for p in (a, b)))
+def compare_folders(spark: SparkSession, a: str, b: str, out: str | None = None) -> DataFrame:
+    """Two runs' checkpoint folders side by side, by paper; as CSV in ``out`` if that is given."""
+    report = runs.compare_runs(*(runs.summarize(tables.read_batches(spark, f"{p}/checkpoints", CHECKPOINT)) for p in (a, b))).orderBy("paper_id")
+    if out is not None:
+        tables.write_sheet(report, out)
+    return report
+
+
+def registry_update_at(spark: SparkSession, path: str, updates: DataFrame, attempts: int = 10) -> int:
+    """Status updates applied to the registry stored at ``path``, beside what other runs write to it meanwhile."""
+    return tables.update_registry(spark, path, lambda reg: registry.mark_status(reg, updates), attempts)
 
 
 def registry_run(reg: DataFrame, papers: DataFrame, clients: Clients, profile: Profile, out: str) -> tuple[DataFrame, DataFrame]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, fields, replace
 from pathlib import Path
 
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewright.functions.records import CHECKPOINT, PARTIAL_CHECKPOINT, REGISTRY, SCREENING
+from quotewright.sources import xlsx
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -19,6 +22,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    place, fs = _place(spark, path)
+    fs.mkdirs(place)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has been written to its end."""
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
 def _read_json(spark: SparkSession, path: str, schema: T.StructType, partial: bool) -> DataFrame:
     """Files of one document each, or the JSON Lines that :func:`write_documents` writes; a folder of these is of one kind.
 
@@ -89,13 +102,9 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines; blank and malformed lines and rows without an id are passed over; of an id's lines the last counts."""
     if not _exists(spark, path):
         return spark.createDataFrame([], REGISTRY)
-    if _exists(spark, f"{path}/{CURRENT}"):
-        jvm = spark.sparkContext._jvm
-        place = jvm.org.apache.hadoop.fs.Path(f"{path}/{CURRENT}")
-        named = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
-        path = f"{path}/{jvm.org.apache.commons.io.IOUtils.toString(named, 'UTF-8')}"
-        named.close()
-    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    number, name = _version(spark, path)
+    line = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(f"{path}/{name}" if name else path).withColumn("line", line)
     rows = lines.where(F.try_parse_json("value").isNotNull()).select("line", F.from_json("value", REGISTRY).alias("d"))
     rows = rows.where("d.record_id IS NOT NULL AND d.record_id <> ''")
     return rows.groupBy(F.col("d.record_id").alias("id")).agg(F.max_by("d", "line").alias("d")).select("d.*")
@@ -106,28 +115,94 @@ def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where((F.trim("value") != "") & F.try_parse_json("value").isNull())
 
 
-#: The file that names a registry's version, so that a version is swapped for the next in one step.
-CURRENT = "_current"
+#: The folder whose files, numbered from 1, name a registry's versions. A number is given once, to the writer that makes the file.
+COMMITS = "_commits"
+
+
+class Conflict(Exception):
+    """Another writer has made the version that was to be made."""
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_registry(registry: DataFrame, path: str) -> None:
-    """A new version in a folder of its own, sorted by id; then a file that names it takes the place of the one before, in one
-    rename. A reader, or a run that dies between, finds the one version or the other. Older versions go at last."""
-    spark = registry.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path
-    old, name = _folders(spark, path), f"v-{uuid.uuid4().hex}"
-    registry.sort("record_id").write.json(f"{path}/{name}")
-    fs = at(path).getFileSystem(conf)
-    fresh = at(f"{path}/{CURRENT}-{name}")
+def _version(spark: SparkSession, path: str) -> tuple[int, str]:
+    """The number and the folder of a registry's newest version; 0 if it has none, with the folder that an older layout's file names."""
+    if not _exists(spark, f"{path}/{COMMITS}"):
+        return 0, _content(spark, f"{path}/_current") if _exists(spark, f"{path}/_current") else ""
+    folder, fs = _place(spark, f"{path}/{COMMITS}")
+    number = max((int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()), default=0)
+    return number, _named(spark, path, number) if number else ""
+
+
+def _named(spark: SparkSession, path: str, number: int) -> str:
+    return _content(spark, f"{path}/{COMMITS}/{number:012d}")
+
+
+def _content(spark: SparkSession, path: str) -> str:
+    place, fs = _place(spark, path)
+    file = fs.open(place)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+    file.close()
+    return text
+
+
+def _commit(spark: SparkSession, path: str, number: int, name: str) -> None:
+    """Makes ``name`` version ``number``, in one step that succeeds for one writer: a rename that does not overwrite, or
+    on a local disk, where a rename would look and then move, a link."""
+    folder, fs = _place(spark, f"{path}/{COMMITS}")
+    fs.mkdirs(folder)
+    fresh, _ = _place(spark, f"{path}/{COMMITS}/_{name}")
     out = fs.create(fresh)
     out.write(bytearray(name, "ascii"))
     out.close()
-    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fresh, at(f"{path}/{CURRENT}"), over)
-    for folder in old:
-        fs.delete(at(f"{path}/{folder}"), True)
+    target, _ = _place(spark, f"{path}/{COMMITS}/{number:012d}")
+    jvm = spark.sparkContext._jvm
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(fresh.toUri().getPath(), target.toUri().getPath())
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fresh, target, none)
+    except Exception as e:
+        if isinstance(e, FileExistsError) or fs.exists(target):
+            raise Conflict(f"version {number} of {path} is there already") from e
+        raise
+    finally:
+        fs.delete(fresh, False)
+
+
+def write_registry(registry: DataFrame, path: str) -> int:
+    """``registry`` as the newest version, whatever others wrote meanwhile; see :func:`update_registry`."""
+    return update_registry(registry.sparkSession, path, lambda _: registry)
+
+
+def update_registry(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame], attempts: int = 10) -> int:
+    """Writes what ``change`` makes of a registry as its next version, and gives its number.
+
+    A version is a folder of its own, sorted by id, that a small numbered file names. Of two writers that started from one version, one gets
+    the next number; the other drops its folder and changes the version that won, so both changes are kept. Readers find a whole version at any
+    time; the folder of the one before stays for those that still read it, older ones go. :class:`Conflict` after ``attempts`` lost races.
+    """
+    for _ in range(attempts):
+        number, before = _version(spark, path)
+        name = f"v-{uuid.uuid4().hex}"
+        try:
+            change(read_registry(spark, path)).sort("record_id").write.json(f"{path}/{name}")
+            _commit(spark, path, number + 1, name)
+        except Exception as e:
+            folder, fs = _place(spark, f"{path}/{name}")
+            fs.delete(folder, True)
+            if isinstance(e, Conflict) or _version(spark, path)[0] > number:  # what was read may have gone
+                continue
+            raise
+        if number > 1:
+            folder, fs = _place(spark, f"{path}/{_named(spark, path, number - 1)}")
+            fs.delete(folder, True)
+        return number + 1
+    raise Conflict(f"{path}: {attempts} attempts met other writers")
 
 
 def write_documents(df: DataFrame, path: str) -> None:
@@ -141,6 +216,12 @@ def write_sheet(df: DataFrame, path: str) -> None:
     df.withColumnRenamed(first, "﻿" + first).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def write_workbook(df: DataFrame, path: str, sheet: str = "metadados") -> None:
+    """A spreadsheet file at ``path``; see :mod:`quotewright.sources.xlsx`."""
+    xlsx.register(df.sparkSession)
+    df.write.format("xlsx").option("sheetName", sheet).mode("overwrite").save(path)
+
+
 def column_widths(df: DataFrame, rows: int = 500, most: int = 60) -> DataFrame:
     """(column, width) for a spreadsheet: the longest of the name and the first rows' values, plus 2, at most ``most``."""
     head = df.limit(rows)

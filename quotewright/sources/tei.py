@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.functions.records import PARSED
+from quotewright.functions.records import PARSED, WARNING
 
 NS = "{http://www.tei-c.org/ns/1.0}"
 SHORTEST_FLAT_TABLE = 25
@@ -94,3 +95,25 @@ def parse_papers(files: DataFrame) -> DataFrame:
 def title_of(xml: Column) -> Column:
     """The title by XPath, native."""
     return F.regexp_replace(F.trim(F.xpath_string(xml, F.lit("//titleStmt/title"))), r"(?U)\s+", " ")
+
+
+class TeiBlocks:
+    """The blocks of one TEI document, in order: what ``operators.blocks.segment`` makes of its parsed paper."""
+
+    def eval(self, xml: str) -> Iterator[tuple[int, str, str, str]]:
+        found = _paper(xml)
+        if found is None:
+            return
+        rows = [("fixed", "title_abstract", f"TITLE: {found['title']}\nABSTRACT: {found['abstract']}")]
+        rows += [("section", x["header"], f"\n=== SECTION: {x['header']} ===\n{x['text']}") for x in found["sections"]]
+        named = ((f"{t['label']} - {t['caption']}", t["text"]) for t in found["tables"])
+        rows += [("table", label, f"\n=== TABLE: {label} ===\n{text}") for label, text in named]
+        if found["empty_table_labels"]:
+            rows.append(("warning", "aviso_parsing", WARNING[0] + "; ".join(found["empty_table_labels"]) + WARNING[1]))
+        for pos, row in enumerate(rows):
+            yield pos, *row
+
+
+def register(spark: SparkSession) -> None:
+    """``tei_blocks`` for SQL: ``SELECT f.paper_id, b.* FROM files f, LATERAL tei_blocks(f.xml) b``. What is not XML has no rows."""
+    spark.udtf.register("tei_blocks", F.udtf(TeiBlocks, returnType="block_pos int, kind string, label string, rendered string"))

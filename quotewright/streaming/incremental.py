@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -30,7 +31,8 @@ def append_new(target: str, key: str) -> Callable[[DataFrame, int], None]:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates([key])
         try:
-            fresh = fresh.join(spark.read.parquet(target).select(key), key, "left_anti")
+            known = spark.read.parquet(target).select(F.col(key).alias("_known"))
+            fresh = fresh.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
