@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewright.functions.numbers import let
 from quotewright.functions.records import WARNING
 from quotewright.functions.text import (
     ANCHOR_PATTERN,
@@ -61,6 +62,13 @@ def render(blocks: Column, notice: bool = True) -> Column:
     return F.array_join(F.transform(blocks, lambda b: b["rendered"]), "\n")
 
 
+def window_of_papers(papers: DataFrame, budget: int | None) -> DataFrame:
+    """:func:`select_window` of the blocks of parsed papers, which stay in their papers' rows: nothing is shuffled."""
+    parts = blocks_of(*(F.col(c) for c in ("title", "abstract", "sections", "tables", "empty_table_labels")))
+    items = F.transform(parts, lambda b, i: F.struct(i.alias("pos"), b["kind"].alias("kind"), b["rendered"].alias("rendered")))
+    return _filled(papers.select("paper_id", items.alias("items")), budget)
+
+
 def select_window(blocks: DataFrame, budget: int | None) -> DataFrame:
     """(paper_id, block_pos, kind, rendered, ...) -> (paper_id, blocks, used_tokens, window) under a token budget.
 
@@ -68,29 +76,38 @@ def select_window(blocks: DataFrame, budget: int | None) -> DataFrame:
     document order; one that does not fit is passed over and the next is tried. The window keeps document order.
     No budget takes all.
     """
-    rows = blocks.withColumn("score", block_score(F.col("kind"), F.col("rendered"))).withColumn("cost", estimated_tokens(F.col("rendered")))
-    item = F.struct((-F.col("score")).alias("rank"), F.col("block_pos").alias("pos"), "cost", "kind", "rendered")
-    papers = rows.groupBy("paper_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    pinned = F.array_sort(F.transform(F.filter("items", lambda b: b["kind"].isin(*PINNED)), lambda b: F.struct(b["pos"], b["rendered"])))
-    papers = papers.withColumn("pinned_cost", estimated_tokens(render(pinned)))
+    item = F.struct(F.col("block_pos").alias("pos"), "kind", "rendered")
+    return _filled(blocks.groupBy("paper_id").agg(F.array_sort(F.collect_list(item)).alias("items")), budget)
+
+
+def _filled(papers: DataFrame, budget: int | None) -> DataFrame:
+    """``papers`` (paper_id, items array<struct<pos, kind, rendered>> by pos) with their windows.
+
+    Blocks are chosen by numbers alone, their places, ranks and costs; texts are fetched by the places chosen, at last.
+    """
     if budget is None:
-        chosen, used = F.transform("items", lambda b: b["pos"]), estimated_tokens(F.lit(""))
-        papers = papers.withColumn("fill", F.struct(F.lit(None).cast("int").alias("used"), chosen.alias("chosen")))
-    else:
-        start = F.struct(F.col("pinned_cost").alias("used"), F.array().cast("array<int>").alias("chosen"))
+        chosen = papers.withColumn("blocks", F.col("items")).withColumn("window", render(F.col("blocks")))
+        return chosen.select("paper_id", "blocks", estimated_tokens(F.col("window")).alias("used_tokens"), "window")
+
+    def numbers(b: Column, i: Column) -> Column:
+        pinned = b["kind"].isin(*PINNED)
+        rank = F.when(pinned, F.lit(0.0)).otherwise(-block_score(b["kind"], b["rendered"]))
+        return F.struct(rank.alias("rank"), i.alias("at"), estimated_tokens(b["rendered"]).alias("cost"), pinned.alias("pinned"), F.length(b["rendered"]).alias("size"))
+
+    def fill(all_: Column) -> Column:
+        pinned, open_ = F.filter(all_, lambda b: b["pinned"]), F.array_sort(F.filter(all_, lambda b: ~b["pinned"]))
+        joined = F.aggregate(pinned, F.lit(0), lambda n, b: n + b["size"]) + F.greatest(F.size(pinned) - 1, F.lit(0))
+        start = F.struct(F.floor(joined / 3).cast("int").alias("used"), F.transform(pinned, lambda b: b["at"]).alias("chosen"))
 
         def take(state: Column, b: Column) -> Column:
-            grown = F.struct((state["used"] + b["cost"]).alias("used"), F.array_append(state["chosen"], b["pos"]).alias("chosen"))
-            kept = F.struct(state["used"].alias("used"), F.array_append(state["chosen"], b["pos"]).alias("chosen"))
-            return F.when(b["kind"].isin(*PINNED), kept).when(state["used"] + b["cost"] <= budget, grown).otherwise(state)
-
-        papers = papers.withColumn("fill", F.aggregate("items", start, take))
-    window = F.array_sort(
-        F.transform(F.filter("items", lambda b: F.array_contains(F.col("fill.chosen"), b["pos"])), lambda b: F.struct(b["pos"].alias("pos"), b["kind"].alias("kind"), b["rendered"].alias("rendered")))
-    )
-    papers = papers.withColumn("blocks", window).withColumn("window", render(F.col("blocks")))
-    used = F.coalesce(F.col("fill.used"), estimated_tokens(F.col("window")))
-    return papers.select("paper_id", "blocks", used.alias("used_tokens"), "window")
+            grown = F.struct((state["used"] + b["cost"]).alias("used"), F.array_append(state["chosen"], b["at"]).alias("chosen"))
+            return F.when(state["used"] + b["cost"] <= budget, grown).otherwise(state)
+
+        return F.aggregate(open_, start, take)
+
+    filled = papers.withColumn("fill", let(F.transform("items", numbers), fill))
+    filled = filled.withColumn("blocks", F.transform(F.array_sort("fill.chosen"), lambda i: F.get(F.col("items"), i)))
+    return filled.select("paper_id", "blocks", F.col("fill.used").alias("used_tokens"), render(F.col("blocks")).alias("window"))
 
 
 def screening_text(abstract: Column, full: Column) -> Column:

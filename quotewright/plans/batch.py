@@ -70,9 +70,9 @@ def extract_ladder(papers: DataFrame, clients: Clients, budgets: tuple[int | Non
 
     (paper_id, source_text, fallback_level, records, extraction_warnings); papers whose answers fail are absent.
     """
-    cut, left, found = blocks.segment(papers), papers.select("paper_id"), None
+    left, found = papers.select("paper_id"), None
     for level, budget in enumerate(budgets):
-        windows = blocks.select_window(cut.join(left, "paper_id", "left_semi"), budget).where(F.trim("window") != "")
+        windows = blocks.window_of_papers(papers.join(left, "paper_id", "left_semi"), budget).where(F.trim("window") != "")
         rows = windows.select("paper_id", F.col("window").alias("source_text"))
         prompt = boundary.prompt_of(clients.extract_template, paper_id=F.col("paper_id"), source_text=F.col("source_text"))
         answers = _stored(boundary.ask(rows, prompt, clients.extract_a, clients.wait, limit=limit), f"{out}/answers/a{level}")

@@ -134,7 +134,7 @@ SELECT w.paper_id, CAST(count(*) AS INTEGER) AS n_blocks, CAST(any_value(used_to
 FROM w JOIN used ON used.paper_id = w.paper_id GROUP BY w.paper_id"""
 )
 def budget_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = blocks.select_window(blocks.segment(papers(table(spark, sf_dir, "documents"))), budget=400)
+    chosen = blocks.window_of_papers(papers(table(spark, sf_dir, "documents")), budget=400)
     return chosen.select("paper_id", F.size("blocks").alias("n_blocks"), "used_tokens", F.md5("window").alias("digest"))
 
 
