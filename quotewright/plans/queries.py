@@ -6,6 +6,7 @@ records, customer for two extractions of the same papers, orders for the registr
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.functions.numbers import numbers_close, parse_int, parse_number
-from quotewright.functions.records import CHECKPOINT, EVIDENCE_FIELDS, RECORD, REGISTRY
+from quotewright.functions.records import CHECKPOINT, EVIDENCE_FIELDS, RECORD, REGISTRY, WARNING
 from quotewright.functions.text import (
     ANCHOR_PATTERN,
     METRIC_PATTERN,
@@ -871,6 +872,13 @@ SELECT CAST(doc_id AS VARCHAR) AS paper_id, l[1] AS title, CAST(len(list_filter(
 FROM n"""
 )
 def tei_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tei.parse_papers(_tei_files(spark, sf_dir))
+    chars = F.aggregate("sections", F.lit(0).cast("long"), lambda a, s: a + F.length(s["text"]))
+    return rows.select("paper_id", "title", F.size("sections").alias("n_sections"), chars.alias("chars"), F.size("tables").alias("n_tables"), F.size("empty_table_labels").alias("n_lost"))
+
+
+def _tei_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as TEI: the first line is the title, each other one a division; a table and a lost one at the end."""
     lines = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "[&<>]", ""), "\n")
     divs = F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.concat(F.lit("<div><head>h</head><p>"), x, F.lit("</p></div>"))), "")
     tables = """<figure type="table"><head>t</head><table><row><cell>a</cell><cell>b</cell></row><row><cell>1</cell></row></table></figure><figure type="table"><label>2</label></figure>"""
@@ -878,18 +886,37 @@ def tei_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title>'), F.get(lines, F.lit(0)),
         F.lit("</title></titleStmt></fileDesc></teiHeader><text><body>"), divs, F.lit(tables), F.lit("</body></text></TEI>"),
     )
-    rows = tei.parse_papers(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), xml.alias("xml")))
-    chars = F.aggregate("sections", F.lit(0).cast("long"), lambda a, s: a + F.length(s["text"]))
-    return rows.select("paper_id", "title", F.size("sections").alias("n_sections"), chars.alias("chars"), F.size("tables").alias("n_tables"), F.size("empty_table_labels").alias("n_lost"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), xml.alias("xml"))
+
+
+@query(
+    rf"""
+WITH d AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '[&<>]', '', 'g'), chr(10)) AS l FROM documents),
+n AS (SELECT doc_id, list_transform(l, lambda x: regexp_replace(regexp_replace(x, '\s+', ' ', 'g'), '^ | $', '', 'g')) AS l FROM d),
+b AS (
+  SELECT doc_id, list_concat(list_concat(
+      [{{'kind': 'fixed', 'label': 'title_abstract', 'rendered': 'TITLE: ' || l[1] || chr(10) || 'ABSTRACT: '}}],
+      list_transform(list_filter(l[2:], lambda x: x <> ''), lambda x: {{'kind': 'section', 'label': 'h', 'rendered': chr(10) || '=== SECTION: h ===' || chr(10) || x}})),
+      [{{'kind': 'table', 'label': 'table - t', 'rendered': chr(10) || '=== TABLE: table - t ===' || chr(10) || '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 |  |'}},
+       {{'kind': 'warning', 'label': 'aviso_parsing', 'rendered': '{WARNING[0]}' || 'table label=''2'' (#2 de 2 tabelas no PDF)' || '{WARNING[1]}'}}]) AS bs
+  FROM n)
+SELECT CAST(doc_id AS VARCHAR) AS paper_id, CAST(pos AS INTEGER) AS block_pos, b.kind AS kind, b.label AS label, md5(b.rendered) AS digest
+FROM (SELECT doc_id, unnest(range(0, len(bs))) AS pos, unnest(bs) AS b FROM b)"""
+)
+def tei_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of TEI files by the table function, in SQL."""
+    tei.register(spark)
+    return spark.sql("SELECT f.paper_id, b.block_pos, b.kind, b.label, md5(b.rendered) AS digest FROM {files} f, LATERAL tei_blocks(f.xml) b", files=_tei_files(spark, sf_dir))
 
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
 def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An available-now stream into a table, then read; the stream's checkpoint and the table lie in the shared folder."""
-    import tempfile
-
-    events = table(spark, sf_dir, "events")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quotewright-")
+    events, base = table(spark, sf_dir, "events"), spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="quotewright-")
     place = f"{base}/quotewright-events-{uuid.uuid4().hex}"
     events.write.parquet(f"{place}/arrived")  # a folder that files arrive in
     stream = new_documents(spark, f"{place}/arrived", events.schema, fmt="parquet")
