@@ -658,6 +658,25 @@ def consolidated_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sheet(spark, sf_dir).select(*_SHOWN)
 
 
+_BLANK = ("doi", "Year", "Author", "Journal", "Country", "Latitude", "Longitude", "Type_data_used", "Agricultural_context")
+_UNSAID = ("Sample_size", "Variables_used", "Accuracy", "F1-score", "Recall", "Specificity", "Standard_deviation", "Standard_error")
+_UNREPORTED = ("Baseline", "Productive", "Climatic", "Hybrid")
+
+
+@query(
+    f"""
+WITH {SHEET_SQL}
+SELECT sheet.*, 'svm' AS Model_class, 'yes' AS Financial, {", ".join(f"'' AS {c}" for c in _BLANK)}, {", ".join(f'CAST(NULL AS VARCHAR) AS "{c}"' for c in _UNSAID)},
+       {", ".join(f"'not_reported' AS {c}" for c in _UNREPORTED)}, CASE WHEN rate_cents IS NOT NULL THEN {_MONEY_SQL.format("rate_cents")} END AS Default_rate,
+       CASE WHEN sanity_failed THEN 'default_rate: default_rate parseado=' || CAST(CAST(rate_cents / 100.0 AS DOUBLE) AS VARCHAR) || ' fora do intervalo esperado [0, 1]' ELSE '' END AS sanity_messages,
+       coalesce(model_used_b, '') AS dual_model_used_b, CAST(match_score AS DOUBLE) AS dual_match_score, coalesce('[arbitro: ' || applied || ']', '') AS extraction_notes
+FROM sheet JOIN z ON z.paper_id = sheet.paper_id AND z.index_a = sheet.record_index"""
+)
+def whole_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the sheet."""
+    return _sheet(spark, sf_dir)
+
+
 @query(f"WITH {SHEET_SQL} SELECT paper_id, CAST(count(*) AS INTEGER) AS n_models_extracted, bool_or(needs_review) AS needs_review FROM sheet GROUP BY paper_id")
 def needs_review_by_paper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.paper_rollup(_sheet(spark, sf_dir))
