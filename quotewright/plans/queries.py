@@ -6,6 +6,7 @@ records, customer for two extractions of the same papers, orders for the registr
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -56,11 +57,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- papers: documents cut into title, abstract, sections and tables
 
 
-def papers(docs: DataFrame) -> DataFrame:
+def papers(docs: DataFrame, ascii_only: bool = True) -> DataFrame:
     """First line title, second abstract, lines with bars tables, empty lines lost tables, the others sections.
 
-    Characters beyond ASCII become x, because the oracle's patterns know no others."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x00-\x7F]", "x")
+    Characters beyond ASCII become x, because the oracle's patterns know no others, unless they are to stay."""
+    text = F.coalesce("text", F.lit(""))
+    text = F.regexp_replace(text, r"[^\x00-\x7F]", "x") if ascii_only else text
     rows = docs.select(F.col("doc_id").alias("paper_id"), F.split(text, "\n").alias("l"))
     rest = F.slice("l", 3, F.greatest(F.size("l") - 2, F.lit(0)))
     bar = lambda x: F.contains(x, F.lit(" | "))
@@ -111,6 +113,30 @@ def block_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("paper_id", "block_pos", "kind", score.alias("score"), F.md5("rendered").alias("digest"))
 
 
+def _accented(sql: str) -> str:
+    """The scores' SQL over texts as they are: word characters are letters and digits of all alphabets, and the words that stand
+    between boundaries are marked by section signs before they are counted, twice since neighbours share a blank."""
+    word = r"[\p{L}\p{N}_]"
+    whole = "|".join(re.findall(r"\\b(\w+)\\b", "".join((METRIC_PATTERN, MODEL_PATTERN, ANCHOR_PATTERN))))
+    marked = "b.rendered"
+    for _ in range(2):
+        marked = rf"regexp_replace({marked}, '(?i)(^|[^\p{{L}}\p{{N}}_§])({whole})([^\p{{L}}\p{{N}}_§]|$)', '\1§\2§\3', 'g')"
+    sql = sql.replace("regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', 'x', 'g')", "replace(coalesce(text, ''), '§', ' ')")
+    for pattern in (METRIC_PATTERN, MODEL_PATTERN, ANCHOR_PATTERN):
+        spelled = re.sub(r"\\b(\w+)\\b", r"§\1§", pattern).replace(r"\w", word)
+        sql = sql.replace(f"regexp_extract_all(b.rendered, '(?i){pattern}')", f"regexp_extract_all({marked}, '(?i){spelled}')")
+    return sql
+
+
+@query(f"WITH {_accented(BLOCKS_SQL)} SELECT paper_id, CAST(block_pos AS INTEGER) AS block_pos, kind, round(CAST(score AS DOUBLE), 9) AS score, md5(rendered) AS digest FROM scored WHERE kind NOT IN ('fixed', 'warning')")
+def block_scores_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of texts with their accents; section signs, which the SQL needs, become blanks."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.translate("text", "§", " "))
+    rows = blocks.segment(papers(docs, ascii_only=False)).where(~F.col("kind").isin(*blocks.PINNED))
+    score = F.round(blocks.block_score(F.col("kind"), F.col("rendered")), 9)
+    return rows.select("paper_id", "block_pos", "kind", score.alias("score"), F.md5("rendered").alias("digest"))
+
+
 @query(f"WITH {BLOCKS_SQL} SELECT kind, count(*) AS n_blocks, CAST(sum(cost) AS BIGINT) AS tokens, CAST(max(cost) AS INTEGER) AS most FROM scored GROUP BY kind")
 def block_token_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = blocks.segment(papers(table(spark, sf_dir, "documents"))).withColumn("cost", estimated_tokens(F.col("rendered")))
