@@ -1,10 +1,11 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-Tokens are the bytes of a text and one end. The model is trained on a bounded sample of trusted rows; its n-grams with their
+Tokens are the bytes of a text and one end. The model is trained on all trusted rows of one half; its n-grams with their
 counts, discounts, context totals and interpolation weights are Spark tables, made by aggregations and joins, and stay tables.
-Texts are dealt into parts; a part sends each distinct n-gram once, to the shard of its hash. The distinct n-grams of all shards
-are joined, order by order, with the model's tables, and each shard answers the parts with the probabilities. A text's
-perplexity is held against a quantile of the perplexities of all other trusted rows in its language.
+Texts are dealt into parts; a part sends each distinct n-gram once, to the shard of its hash, with its count in the part's training
+rows. The shards' sums are the model's counts. The distinct n-grams of all shards are joined, order by order, with the model's
+tables, and each shard answers the parts with the probabilities. A text's perplexity is held against a quantile of the
+perplexities of all other trusted rows in its language.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ class Model(NamedTuple):
 
 
 def train(trusted: DataFrame, text_col: str = "text", order: int = 5) -> Model:
-    """A model of all rows of ``trusted``; its tables are bounded by their bytes."""
+    """A model of all rows of ``trusted``; its tables are bounded by their distinct n-grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -73,7 +74,11 @@ def train(trusted: DataFrame, text_col: str = "text", order: int = 5) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["gram", "c"])
 
     counts = trusted.select(F.col(text_col).cast("string")).mapInArrow(count, "gram long, c long")
-    counts = save(counts.groupBy("gram").agg(F.sum("c").alias("c")), "grams")
+    return model_of(save(counts.groupBy("gram").agg(F.sum("c").alias("c")), "grams"), order)
+
+
+def model_of(counts: DataFrame, order: int) -> Model:
+    """The model of the n-grams of order ``order`` with these ``counts`` (gram, c > 0)."""
     # lower orders count the distinct symbols to the left
     longer = F.array(*(F.struct(F.lit(k).alias("k"), _suffix(F.col("gram"), k + 1).alias("gram")) for k in range(1, order)))
     kinds = counts.select(F.explode(longer).alias("g")).select("g.*").distinct()
@@ -115,29 +120,52 @@ def probabilities(model: Model, wanted: DataFrame) -> DataFrame:
 
 
 def _by_shard(key: np.ndarray, n_shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams sorted by shard, then by number, and each one's shard."""
+    """The order of distinct n-grams by shard, then by number, and each one's shard in that order."""
     shard = ((mix(key) >> np.uint64(32)) * np.uint64(n_shards)) >> np.uint64(32)
     by = np.argsort(shard, kind="stable")
-    return key[by], shard[by].astype(np.int64)
+    return by, shard[by].astype(np.int64)
+
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams, sorted, and the sums of their counts."""
+    key, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+    return key, np.bincount(at, np.concatenate([np.zeros(0, np.int64), *counts]), len(key)).astype(np.int64)
 
-def _send(order: int, n_shards: int) -> Callable[[pa.Table], pa.Table]:
-    def run(t: pa.Table) -> pa.Table:
-        found = []
-        for *_, texts in unpacked_rows(t.column("texts")):
+
+def _send(order: int, n_shards: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    """A part's distinct n-grams and their counts in its training texts, those whose (id, text_hash) ``trained`` has."""
+
+    def run(key: tuple, t: pa.Table, trained: pa.Table) -> pa.Table:
+        names = ["shard", "part", "grams"]
+        kinds = (pa.int32(), pa.int32(), pa.binary())
+        if not t.num_rows:
+            return pa.table([pa.array([], k) for k in kinds], names)
+        chosen = set(zip(trained.column("id").to_pylist(), trained.column("text_hash").to_pylist()))
+        found, own, counts = [], [], []
+        for ids, hashes, texts in unpacked_rows(t.column("texts")):
             found += [np.unique(_grams(some, order)[0]) for _, some in chunks(range(len(texts)), texts, CHUNK)]
-        key, shard = _by_shard(np.unique(np.concatenate(found)), n_shards)
-        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(key)]
+            training = [text for text, *row in zip(texts, ids.tolist(), hashes.tolist()) if tuple(row) in chosen]
+            for _, some in chunks(range(len(training)), training, CHUNK):
+                for to, x in zip((own, counts), np.unique(_grams(some, order)[0], return_counts=True)):
+                    to.append(x)
+        grams = np.unique(np.concatenate(found))
+        c = np.zeros(len(grams), np.int64)
+        trained_grams, sums = _summed(own, counts)
+        c[np.searchsorted(grams, trained_grams)] = sums
+        by, shard = _by_shard(grams, n_shards)
+        grams, c = grams[by], c[by]
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(grams)]
         part = t.column("part")[0].as_py()
-        rows = [(int(shard[a]), part, pack(np.diff(key[a:b], prepend=np.uint64(0)))) for a, b in zip(cuts, cuts[1:])]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], ["shard", "part", "grams"])
+        rows = [(int(shard[a]), part, pack(np.diff(grams[a:b], prepend=np.uint64(0)), c[a:b])) for a, b in zip(cuts, cuts[1:])]
+        return pa.table([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
     return run
 
 
 def _union(t: pa.Table) -> pa.Table:
-    key = np.unique(np.concatenate([np.cumsum(unpack(x.as_py())[0]) for x in t.column("grams")]))
-    return pa.table([pa.array(np.full(len(key), t.column("shard")[0].as_py(), np.int32)), pa.array(key.view(np.int64))], ["shard", "gram"])
+    grams, counts = zip(*(unpack(x.as_py()) for x in t.column("grams")))
+    key, c = _summed([np.cumsum(x) for x in grams], list(counts))
+    return pa.table([pa.array(np.full(len(key), t.column("shard")[0].as_py(), np.int32)), pa.array(key.view(np.int64)), pa.array(c)], ["shard", "gram", "c"])
 
 
 def _answer(key: tuple, sent: pa.Table, known: pa.Table) -> pa.Table:
@@ -162,7 +190,8 @@ def _sums(order: int, n_shards: int) -> Callable[[tuple, pa.Table, pa.Table], pa
                     grams, which = np.unique(grams, return_inverse=True)
                     found.append((grams, which.astype(np.int32)))
                     rows.append((ids[at.start : at.stop], hashes[at.start : at.stop], n))
-            grams, _ = _by_shard(np.unique(np.concatenate([g for g, _ in found])), n_shards)
+            grams = np.unique(np.concatenate([g for g, _ in found]))
+            grams = grams[_by_shard(grams, n_shards)[0]]
             log10 = np.concatenate([unpack(x.as_py())[0] for x in answers.sort_by("shard").column("log10")]).astype(np.float64)
             by = np.argsort(grams)
             grams, log10 = grams[by], log10[by]
@@ -176,18 +205,38 @@ def _sums(order: int, n_shards: int) -> Callable[[tuple, pa.Table, pa.Table], pa
     return run
 
 
-def scores(model: Model, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, n_tokens, log10_prob): one row per input row, the log10 probability of its whole text."""
+class Exchange(NamedTuple):
+    """``texts`` (part, texts): packed texts; ``sent`` (shard, part, grams): the n-grams of the parts; ``wanted`` (shard, gram, c):
+    all distinct ones with their counts in the training rows; ``n``: parts, and shards."""
+
+    texts: DataFrame
+    sent: DataFrame
+    wanted: DataFrame
+    n: int
+
+
+def exchange(docs: DataFrame, id_col: str, text_col: str, order: int, picked: DataFrame | None = None) -> Exchange:
+    """Deals the texts of ``docs`` into parts and their n-grams into shards. The rows whose id ``picked`` (pick) has are training
+    rows; only their ids and hashes are joined, so no text moves for it."""
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     total = text_bytes(own, "text")
     n = shards(total, part_bytes(total))
-    texts = packed_texts(own, "id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(n)), F.xxhash64("text"))
-    sent = save(texts.groupBy("part").applyInArrow(_send(model.order, n), "shard int, part int, grams binary"), "sent")
-    wanted = save(sent.groupBy("shard").applyInArrow(_union, "shard int, gram long"), "wanted")
-    known = wanted.join(probabilities(model, wanted), "gram")
-    answers = sent.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "part int, shard int, log10 binary")
-    return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        _sums(model.order, n), "id long, text_hash long, n_tokens long, log10_prob double"
+    part = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(n))
+    texts = packed_texts(own, "id", "text", part, F.xxhash64("text"))
+    rows = own.select(part.cast("int").alias("part"), "id", F.xxhash64("text").alias("text_hash"))
+    trained = rows.limit(0) if picked is None else rows.join(picked, rows.id == picked.pick, "left_semi")
+    sent = texts.groupBy("part").cogroup(trained.groupBy("part")).applyInArrow(_send(order, n), "shard int, part int, grams binary")
+    sent = save(sent, "sent")
+    return Exchange(texts, sent, save(sent.groupBy("shard").applyInArrow(_union, "shard int, gram long, c long"), "wanted"), n)
+
+
+def scores(model: Model, docs: DataFrame, id_col: str, text_col: str, dealt: Exchange | None = None) -> DataFrame:
+    """(id, text_hash, n_tokens, log10_prob): one row per input row, the log10 probability of its whole text."""
+    dealt = dealt or exchange(docs, id_col, text_col, model.order)
+    known = dealt.wanted.select("shard", "gram").join(probabilities(model, dealt.wanted), "gram")
+    answers = dealt.sent.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "part int, shard int, log10 binary")
+    return dealt.texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+        _sums(model.order, dealt.n), "id long, text_hash long, n_tokens long, log10_prob double"
     )
 
 
@@ -216,12 +265,12 @@ def exact_quantile(values: DataFrame, by: list[str], quantile: float) -> DataFra
 
 def classify(
     docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    order: int = 5, sample: int = 4000, quantile: float = 0.99,
+    order: int = 5, sample: int | None = None, quantile: float = 0.99,
 ) -> DataFrame:
     """``docs`` with n_tokens, log10_prob, perplexity, threshold and kept.
 
-    ``trusted`` (``id_col``) names the trusted rows. Up to ``sample`` of them, from one half, train the model, and all
-    others in ``docs`` give the thresholds: the ``quantile`` of their perplexities in each language, or in all languages for
+    ``trusted`` (``id_col``) names the trusted rows. All of one half, or ``sample`` of it where that is given, train the model, and
+    all others in ``docs`` give the thresholds: the ``quantile`` of their perplexities in each language, or in all languages for
     a language without any. Which ones is decided by a hash of the id.
 
     Null texts are empty; an empty text is an end alone and is judged like any other. A null language is one
@@ -230,10 +279,10 @@ def classify(
     """
     names = save(trusted.select(F.col(id_col).cast("long").alias("pick")).distinct(), "trusted")
     half = names.where(F.pmod(F.hash("pick"), F.lit(2)) == 0)
-    picked = save(half.orderBy(F.xxhash64("pick"), "pick").limit(sample), "picked")
-    rows = docs.select(F.col(id_col).cast("long").alias("pick"), F.col(text_col).cast("string").alias("text"))
-    model = train(save(rows.join(picked, "pick").select("text"), "sample"), "text", order)
-    found = scores(model, docs, id_col, text_col).dropDuplicates(["id", "text_hash"])  # repeated rows have one score
+    picked = half if sample is None else save(half.orderBy(F.xxhash64("pick"), "pick").limit(sample), "picked")
+    dealt = exchange(docs, id_col, text_col, order, picked)
+    model = model_of(save(dealt.wanted.where("c > 0").select("gram", "c"), "grams"), order)
+    found = scores(model, docs, id_col, text_col, dealt).dropDuplicates(["id", "text_hash"])  # repeated rows have one score
     perplexity = F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_tokens")).alias("perplexity")
     row, text_hash, language, limit, digest = unused(docs, "row", "text_hash", "language", "limit", "digest")
     found = save(found.select(F.col("id").alias(row), F.col("text_hash").alias(text_hash), "n_tokens", "log10_prob", perplexity), "scores")

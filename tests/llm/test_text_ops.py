@@ -304,6 +304,21 @@ def test_classifier(spark):
     assert all(x.kept for x in quality_model.classify(table(spark, good), trusted.limit(0)).collect())
 
 
+def test_classifier_learns_from_all_of_one_half(spark):
+    """Each trusted row of the half, over 4000, and the repeated and the null ids as well, counts in the model."""
+    r = random.Random(23)
+    rows = [(i, text(r, 3), "xx", "s") for i in range(9000)] + [(0, "another text", "xx", "s"), (1, text(r, 3), "xx", "s"), (None, "no id", "xx", "s")]
+    docs = table(spark, rows)
+    half = {x.doc_id for x in docs.where("pmod(hash(doc_id), 2) = 0 AND doc_id < 8900").select("doc_id").distinct().collect()}
+    found = quality_model.classify(docs, docs.where("doc_id < 8900").select("doc_id"), order=3).collect()
+    want = brute_kneser_ney([x[1] for x in rows if x[0] in half], 3)
+    assert len(half) > 4000 and len(found) == len(rows)
+    texts_of = {i: t for i, t, *_ in rows[2:9000]}
+    for x in found[::500]:
+        if x.doc_id in texts_of:
+            assert x.log10_prob == pytest.approx(want(texts_of[x.doc_id]), rel=1e-6)
+
+
 def test_thresholds_cover_all_other_trusted_rows(spark):
     r = random.Random(22)
     rows = [(i, text(r, r.randint(3, 30)), "rare" if i % 10 == 0 else "hot", "s") for i in range(600)]
