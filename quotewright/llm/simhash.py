@@ -277,26 +277,39 @@ def _close(x: str, y: str, similarity: float) -> str:
 
 
 def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFrame:
-    """``large`` (key, n, m struct<node, ``PRINT``>) -> all pairs (u, v) of a key's members that :func:`_close` lets pass.
+    """``large`` (key, n, m struct<node, crowd, ``PRINT``>) -> all pairs (u, v) of a key's members, but for those of one crowd, that
+    :func:`_close` lets pass.
 
-    A block's members are dealt to n / ``side`` parts, and every two parts meet in one cell: so each pair is compared
-    once, in arrays, and no task holds more than a cell of a block.
+    A crowd of over ``side`` members of a block is dealt to parts of its own, the others to parts in common, and every two parts
+    but those of one crowd meet in one cell: so each pair is compared once, in arrays, and no task holds more than a cell of a block.
     """
-    parts = F.ceil(F.col("n") / side).cast("int")
-    dealt = large.withColumn("own", F.pmod(F.xxhash64("m.node", F.lit(1)), parts).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cell = [F.col("key"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")]
-    dealt = dealt.select(*cell, "own", "m.*")
-    cells = dealt.groupBy("key", "lo", "hi").agg(*(F.collect_list(F.when(F.col("own") == F.col(s), F.struct("node", *PRINT))).alias(s + "_m") for s in ("lo", "hi")))
+    crowds = large.where("m.crowd IS NOT NULL").groupBy("key", "m.crowd").agg(F.count("*").alias("c"))
+    crowds = save(crowds.where(F.col("c") > side).withColumn("parts", F.ceil(F.col("c") / side).cast("int")), "large_crowds")
+    held = large.groupBy("key").agg(F.first("n").alias("n")).join(crowds.groupBy("key").agg(F.sum("c").alias("c")), "key", "left")
+    rest = save(held.select("key", F.ceil((F.col("n") - F.coalesce("c", F.lit(0))) / side).cast("int").alias("rest")), "rest")
+    part = lambda crowd, i: F.struct(crowd.alias("crowd"), i.cast("int").alias("i"))
+    common = F.lit(-1).cast("long")  # no node's number
+    parts = crowds.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.col("crowd").alias("of"))
+    parts = parts.union(rest.where("rest > 0").select("key", F.explode(F.sequence(F.lit(0), F.col("rest") - 1)).alias("i"), common))
+    parts = parts.select("key", part(F.col("of"), F.col("i")).alias("part"))
+    met = parts.toDF("key", "lo").join(parts.toDF("key", "hi"), "key").where("lo <= hi AND (lo.crowd <> hi.crowd OR lo.crowd = -1)")
+    ends = F.array(F.struct(F.col("lo").alias("own"), F.lit("lo").alias("end")), F.struct(F.col("hi").alias("own"), F.lit("hi").alias("end")))
+    met = save(met.select("key", "lo", "hi", F.explode(ends).alias("e")).select("key", "lo", "hi", "e.*").where("lo <> hi OR end = 'lo'"), "cells")
+    own = large.select("key", "m").join(rest, "key").join(crowds.select("key", F.col("crowd").alias("of"), "parts"), (F.col("m.crowd") == F.col("of")) & large.key.eqNullSafe(crowds.key), "left")
+    spot = F.pmod(F.xxhash64("m.node", F.lit(1)), F.coalesce("parts", "rest"))
+    dealt = own.select(large.key.alias("key"), part(F.coalesce("of", common), spot).alias("own"), "m").join(met, ["key", "own"])
+    cells = dealt.groupBy("key", "lo", "hi").agg(*(F.collect_list(F.when(F.col("end") == e, F.struct("m.node", F.coalesce("m.crowd", "m.node"), *(f"m.{w}" for w in PRINT)))).alias(e + "_m") for e in ("lo", "hi")))
     near, near_all = most_apart(BITS, similarity), most_apart(BITS * len(WIDE), similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                (xn, *xw), (yn, *yw) = ([c.field(k).to_numpy() for k in range(1 + len(PRINT))] for c in (b.column(j)[i].values for j in (1, 2)))
+                same = b.column(0)[i].as_py()
+                (xn, xc, *xw), (yn, yc, *yw) = ([c.field(k).to_numpy() for k in range(2 + len(PRINT))] for c in (b.column(j)[i].values for j in (1, 1 if same else 2)))
                 for at in range(0, len(xn), 256):
                     hit = np.bitwise_count(xw[0][at : at + 256, None].view(np.uint64) ^ yw[0][None, :].view(np.uint64)) <= near
-                    if b.column(0)[i].as_py():
+                    hit &= xc[at : at + 256, None] != yc[None, :]
+                    if same:
                         hit &= xn[at : at + 256, None] < yn[None, :]
                     p, q = np.nonzero(hit)
                     apart = sum(np.bitwise_count(x[at + p].view(np.uint64) ^ y[q].view(np.uint64)).astype(np.int64) for x, y in zip(xw, yw))
@@ -310,7 +323,8 @@ def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int) ->
     """Links found in blocks of over ``group``, and (node, w, crowd): a node's crowd so far, null where it has none.
 
     The members of such a block are compared with one of them, drawn anew in each round, until a round links few. A member that is
-    linked joins its crowd; later, a crowd has one member in each block. So a crowd costs a few rows per member.
+    linked joins its crowd, of which the next rounds have one member in each block. Which members meet here decides only what
+    need not be compared later, pairs of one crowd: all other pairs of a block are left to :func:`similar_roots`.
     """
     known, links, turn = nodes.prints.select("node", "w", F.lit(None).cast("long").alias("crowd")), None, 0
     own = F.coalesce("crowd", "node").alias("own")
@@ -347,25 +361,26 @@ def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float =
 
     Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
     random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first (:func:`_crowds`), in the
-    ``first`` tables. Then, in all tables, the members of a block are compared pair by pair, one for each crowd; in blocks
-    over ``group`` by cells of a grid. No pair that shares a block is left out for the block's size.
+    ``first`` tables: their members are linked already. Then, in all tables, all members of a block are compared pair by pair, but
+    for pairs of one crowd; in blocks over ``group`` by cells of a grid. No pair that shares a block and could link
+    anything anew is left out, however large the block or the crowd.
     """
     keys = _tables(n, similarity, recall)
     # bounds three deviations off, on the first word and then on the whole fingerprint, leave few pairs to fetch sketches for
     links, known = _crowds(nodes, keys[:first], similarity, group)
-    blocks = _blocks(known, keys)
+    blocks = known.select("node", "crowd", *(F.get("w", F.lit(i)).alias(w) for i, w in enumerate(PRINT)), F.explode(F.array(*keys)).alias("key"))
     sizes = save(blocks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
-    members = blocks.join(sizes.where(F.col("n") <= group).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", *PRINT))).alias("f"))
+    members = blocks.join(sizes.where(F.col("n") <= group).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "crowd", *PRINT))).alias("f"))
     pairs = members.select(
         F.explode(
             F.expr(
                 f"""flatten(transform(f, (x, i) -> transform(
-                      filter(slice(f, i + 2, {group}), y -> {_close('x.', 'y.', similarity)}),
+                      filter(slice(f, i + 2, {group}), y -> coalesce(x.crowd <> y.crowd, true) AND {_close('x.', 'y.', similarity)}),
                       y -> struct(x.node AS u, y.node AS v))))"""
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", *PRINT).alias("m"))
+    large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", "crowd", *PRINT).alias("m"))
     pairs = save(pairs.union(_grid_pairs(large, similarity)).distinct(), "pairs")
     last = verified(pairs, nodes, similarity)
     return connected_components(last if links is None else links.union(last))

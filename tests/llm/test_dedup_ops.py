@@ -258,3 +258,26 @@ def test_large_blocks_are_compared_pair_by_pair(spark):
     finally:
         simhash.similar_roots = whole
     assert sum(got[1000 + i] == i for i in range(200)) >= 190
+
+
+@pytest.mark.parametrize("side", [8, 2048])
+def test_each_member_of_a_crowd_meets_the_others(spark, side, monkeypatch):
+    """Texts near one member of a crowd alone: that one is rarely the member that a block draws for its crowd."""
+    r = random.Random(41)
+    fresh = lambda n: [f"{words(r, 1)}{r.randrange(10**9)}" for _ in range(n)]
+    centre, rows = fresh(300), []
+    for i in range(60):
+        member = [*centre[: 4 * i], *fresh(13), *centre[4 * i + 13 :]]  # 0.89 to the centre, 0.80 or less to other members
+        partner = list(member)
+        at = (4 * i + 150) % 270
+        partner[at : at + 16] = fresh(16)  # 0.87 to its member, less than 0.8 to the rest
+        rows += [(i, " ".join(member)), (1000 + i, " ".join(partner))]
+    rows.append((-1, " ".join(centre)))
+    close = {i for i in range(60) if jaccard(rows[2 * i][1], rows[2 * i + 1][1]) >= 0.84}
+    only = {i for i in close if all(jaccard(rows[2 * i + 1][1], t) < 0.8 for k, t in rows if k != i and k != 1000 + i)}
+    assert len(only) >= 50
+    grid, whole = simhash._grid_pairs, simhash.similar_roots
+    monkeypatch.setattr(simhash, "_grid_pairs", lambda large, s: grid(large, s, side))
+    monkeypatch.setattr(simhash, "similar_roots", lambda nodes, n, s: whole(nodes, n, s, group=4))
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
+    assert all(got[i] == -1 for i in range(60)) and sum(got[1000 + i] == -1 for i in only) >= 0.97 * len(only)
