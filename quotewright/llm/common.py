@@ -60,7 +60,10 @@ def save(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
 
 
 def release(spark: SparkSession, since: int) -> None:
-    """Removes the tables saved from number ``since`` on, but for the last one, and what Spark holds for them."""
+    """Removes the tables saved from number ``since`` on, but for the last one, and what Spark holds for them.
+
+    An operator calls it once a table is written on which alone, and on its input, its result depends.
+    """
     for path in SAVED[since:-1]:
         _remove(spark, path)
     del SAVED[since:-1]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import SPACE, save
+from quotewright.llm.common import SAVED, SPACE, release, save
 
 KEY = ["k1", "k2"]
 
@@ -74,18 +74,32 @@ def drop_spread_lines(
     does, and texts of nothing but spread lines stay whole. Null texts stay null and have no lines, null sites don't count, rows that repeat an id, or have none, are told
     apart by their texts. Other columns stay, but input columns named n_lines or n_removed are replaced.
     """
-    id_, digest, hit, kept = (f"__line_{i}" for i in range(4))  # names that no table has
+    first = len(SAVED)
+    id_, digest, hit, kept, own_length, lost = (f"__line_{i}" for i in range(6))  # names that no table has
     line = F.regexp_replace(F.col("line"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     named = {id_: F.col(id_col), digest: F.xxhash64(text_col)}
-    lines = docs.select(*(c.alias(n) for n, c in named.items()), F.col(site_col).alias("site"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
-    lines = lines.withColumn("line", line).where("line <> ''").select(id_, digest, "site", "pos", *_key(F.col("line")))
+    lines = docs.select(*(c.alias(n) for n, c in named.items()), F.length(text_col).alias(own_length), F.col(site_col).alias("site"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
+    lines = lines.withColumn(lost, F.length("line") + 1).withColumn("line", line).where("line <> ''").select(id_, digest, own_length, lost, "site", "pos", *_key(F.col("line")))
     spread = save(spread_lines(lines, least_sites), "lines")
     # a line may be in any share of all documents: its rows are dealt to `salts` keys
     salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hits = lines.withColumn("salt", F.pmod(F.xxhash64(id_, "pos"), F.lit(salts)).cast("int")).join(salted, [*KEY, "salt"], "left_semi")
-    hits = hits.select(id_, digest, "pos").distinct().groupBy(id_, digest).agg(F.collect_list("pos").alias(hit))
-    hits = hits if copies is None else save(hits, "hits")  # read twice
-    own, hits = docs.withColumns(named), hits.select(F.col(id_).alias("__line_hit_id"), F.col(digest).alias("__line_hit_text"), hit)
+    hits = hits.select(id_, digest, own_length, lost, "pos").distinct().groupBy(id_, digest)
+    hits = hits.agg(F.collect_list("pos").alias(hit), F.max(own_length).alias(own_length), F.sum(lost).alias(lost))
+    if copies is not None:
+        hits = save(hits, "hits")  # read twice
+        release(docs.sparkSession, first)
+        first, much = len(SAVED), F.greatest(F.col(own_length) - F.col(lost), F.lit(0)) < (1 - most_lost) * F.col(own_length)
+        most = hits.where(much).select(F.col(id_).alias("__line_most_id"), F.col(digest).alias("__line_most_text"))
+        most = save(most, "most")  # only these texts are asked for
+        asked = docs.withColumns(named)
+        same = asked[id_].eqNullSafe(most["__line_most_id"]) & (asked[digest] == most["__line_most_text"])
+        proven = save(copies(asked.join(most, same, "left_semi").select(id_col, text_col)).distinct(), "copies")
+        release(docs.sparkSession, first)
+        proven = proven.select(F.col(id_col).alias(id_), F.col("text_hash").alias(digest), F.lit(True).alias("__line_copy")).alias("c")
+        same = F.col(f"h.{id_}").eqNullSafe(F.col(f"c.{id_}")) & (F.col(f"h.{digest}") == F.col(f"c.{digest}"))
+        hits = hits.withColumn("__line_much", much).alias("h").join(proven, same, "left").select("h.*", "__line_copy").drop(own_length, lost)
+    own, hits = docs.withColumns(named), hits.select(F.col(id_).alias("__line_hit_id"), F.col(digest).alias("__line_hit_text"), hit, *(() if copies is None else ("__line_much", "__line_copy")))
     same = own[id_].eqNullSafe(hits["__line_hit_id"]) & (own[digest] == hits["__line_hit_text"])
     out = own.join(hits, same, "left").drop("__line_hit_id", "__line_hit_text")
     split = F.split(text_col, "\n")
@@ -93,12 +107,7 @@ def drop_spread_lines(
     out = out.withColumn(kept, F.when(F.col(hit).isNotNull(), rest))
     fits = F.col(hit).isNotNull()
     if copies is not None:
-        much = F.length(kept) < (1 - most_lost) * F.length(text_col)
-        proven = save(copies(out.where(fits & much).select(id_col, text_col)).distinct(), "copies")
-        proven = proven.select(F.col(id_col).alias("__line_copy_id"), F.col("text_hash").alias("__line_copy_text"), F.lit(True).alias("__line_copy"))
-        same = out[id_].eqNullSafe(proven["__line_copy_id"]) & (out[digest] == proven["__line_copy_text"])
-        out = out.join(proven, same, "left").drop("__line_copy_id", "__line_copy_text")
-        fits = fits & (~much | (F.col("__line_copy").isNull() & F.col(kept).rlike(r"[^\x20\x09-\x0D]")))
+        fits = fits & (~F.col("__line_much") | (F.col("__line_copy").isNull() & F.col(kept).rlike(r"[^\x20\x09-\x0D]")))
     out = out.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0)).cast("long"))
     out = out.withColumn("n_removed", F.when(fits, F.size(hit)).otherwise(0).cast("long"))
-    return out.withColumn(text_col, F.when(fits, F.col(kept)).otherwise(F.col(text_col))).drop(id_, digest, hit, kept, "__line_copy")
+    return out.withColumn(text_col, F.when(fits, F.col(kept)).otherwise(F.col(text_col))).drop(id_, digest, hit, kept, "__line_much", "__line_copy")

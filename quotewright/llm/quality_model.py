@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import NO_ID, chunks, mix, pack, packed_texts, part_bytes, save, shards, text_bytes, unpack, unpacked_rows, unused
+from quotewright.llm.common import NO_ID, SAVED, chunks, mix, pack, packed_texts, part_bytes, release, save, shards, text_bytes, unpack, unpacked_rows, unused
 
 #: Symbols are bytes, the end of a text, and what stands before it.
 END, BEGIN = 256, 257
@@ -280,12 +280,15 @@ def classify(
     names = save(trusted.select(F.col(id_col).cast("long").alias("pick")).distinct(), "trusted")
     half = names.where(F.pmod(F.hash("pick"), F.lit(2)) == 0)
     picked = half if sample is None else save(half.orderBy(F.xxhash64("pick"), "pick").limit(sample), "picked")
+    first = len(SAVED)
     dealt = exchange(docs, id_col, text_col, order, picked)
     model = model_of(save(dealt.wanted.where("c > 0").select("gram", "c"), "grams"), order)
     found = scores(model, docs, id_col, text_col, dealt).dropDuplicates(["id", "text_hash"])  # repeated rows have one score
     perplexity = F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_tokens")).alias("perplexity")
     row, text_hash, language, limit, digest = unused(docs, "row", "text_hash", "language", "limit", "digest")
     found = save(found.select(F.col("id").alias(row), F.col("text_hash").alias(text_hash), "n_tokens", "log10_prob", perplexity), "scores")
+    del dealt, model
+    release(docs.sparkSession, first)
     own = docs.drop(*(c for c in docs.columns if c.lower() in ("n_tokens", "log10_prob", "perplexity", "threshold", "kept")))
     # hashed below the join, so that its exchange carries texts only where they are asked for
     own = own.withColumn(digest, F.xxhash64(F.col(text_col).cast("string")))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import mix, save
+from quotewright.llm.common import SAVED, mix, release, save
 from quotewright.llm.components import connected_components
 
 BITS = 64
@@ -381,7 +381,9 @@ def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float =
         ).alias("e")
     ).select("e.u", "e.v")
     large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", "crowd", *PRINT).alias("m"))
-    pairs = save(pairs.union(_grid_pairs(large, similarity)).distinct(), "pairs")
+    if not sizes.where(F.col("n") > group).isEmpty():
+        pairs = pairs.union(_grid_pairs(large, similarity))
+    pairs = save(pairs.distinct(), "pairs")
     last = verified(pairs, nodes, similarity)
     return connected_components(last if links is None else links.union(last))
 
@@ -415,9 +417,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The one with the smallest id stays, null ids last; of rows that share that id, the one with the smaller text hash, and of rows
     that repeat id and text any one. Rows that share an id, or have none, are told apart by their texts.
     """
-    _, rooted = _grouped(docs, id_col, text_col, words, similarity)
+    first = len(SAVED)
+    rooted = _grouped(docs, id_col, text_col, words, similarity)[1]
     firsts = save(rooted.groupBy("root").agg(F.min(F.struct(*ROW)).alias("row")).select("row.*"), "firsts")
+    del rooted
+    release(docs.sparkSession, first)
     own = dict(zip((f"__near_{c}" for c in ROW), _row(id_col, text_col)))  # names that no table has
-    rows = docs.withColumns(own)
-    same = [rows[f"__near_{c}"].eqNullSafe(firsts[c]) for c in ROW]
-    return rows.join(firsts, same, "left_semi").dropDuplicates(list(own)).drop(*own)
+    # plain keys, no nulls: rows that repeat lie together after the join, and texts move once
+    rows = docs.withColumns(own).withColumn("__near_id", F.coalesce("__near_id", F.lit(0)))
+    firsts = firsts.select("no_id", F.coalesce("id", F.lit(0)), "text_hash").toDF(*own)
+    return rows.join(firsts, list(own), "left_semi").dropDuplicates(list(own)).drop(*own)
