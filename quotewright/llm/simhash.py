@@ -276,17 +276,29 @@ def _close(x: str, y: str, similarity: float) -> str:
     return f"{apart[0]} <= {most_apart(BITS, similarity)} AND {' + '.join(apart)} <= {most_apart(BITS * len(WIDE), similarity)}"
 
 
-def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFrame:
-    """``large`` (key, n, m struct<node, crowd, ``PRINT``>) -> all pairs (u, v) of a key's members, but for those of one crowd, that
-    :func:`_close` lets pass.
+def _link(label: np.ndarray, at: int, others: np.ndarray) -> np.ndarray:
+    """Gives ``others`` the label of ``at``, with all that share theirs; returns one of them for each label that this changed."""
+    names, first = np.unique(label[others], return_index=True)
+    new = others[first[names != label[at]]]
+    label[np.isin(label, label[new])] = label[at]
+    return new
+
 
-    A crowd of over ``side`` members of a block is dealt to parts of its own, the others to parts in common, and every two parts
-    but those of one crowd meet in one cell: so each pair is compared once, in arrays, and no task holds more than a cell of a block.
+def _cells(large: DataFrame, side: int, hashes: int | None = None) -> DataFrame:
+    """``large`` (key, m struct<node, crowd, ...>) -> (key, lo, hi, end, m): all pairs of a key's members meet in cells (lo, hi) of a
+    grid, but for those of one crowd.
+
+    A crowd of over ``side`` members of a key is dealt to parts of its own, the others to parts in common, and every two parts but
+    those of one crowd meet in one cell: so each pair meets once, and no task holds more than a cell of a key. Where ``hashes`` is
+    given, a part has about so many of its members' shingles (``m.size``) at most, too.
     """
-    crowds = large.where("m.crowd IS NOT NULL").groupBy("key", "m.crowd").agg(F.count("*").alias("c"))
-    crowds = save(crowds.where(F.col("c") > side).withColumn("parts", F.ceil(F.col("c") / side).cast("int")), "large_crowds")
-    held = large.groupBy("key").agg(F.first("n").alias("n")).join(crowds.groupBy("key").agg(F.sum("c").alias("c")), "key", "left")
-    rest = save(held.select("key", F.ceil((F.col("n") - F.coalesce("c", F.lit(0))) / side).cast("int").alias("rest")), "rest")
+    held = lambda *by: large.groupBy(*by).agg(F.count("*").alias("c"), (F.sum("m.size") if hashes else F.lit(0).cast("long")).alias("h"))
+    parts_of = lambda c, h: F.greatest(F.ceil(c / side), F.ceil(h / (hashes or 1))).cast("int")
+    crowds = held("key", "m.crowd").where("crowd IS NOT NULL").withColumn("parts", parts_of(F.col("c"), F.col("h")))
+    crowds = save(crowds.where("parts > 1"), "large_crowds")
+    alone = held("key").join(crowds.groupBy("key").agg(F.sum("c").alias("of_c"), F.sum("h").alias("of_h")), "key", "left")
+    left = [F.col(x) - F.coalesce(f"of_{x}", F.lit(0)) for x in ("c", "h")]
+    rest = save(alone.select("key", parts_of(*left).alias("rest")), "rest")
     part = lambda crowd, i: F.struct(crowd.alias("crowd"), i.cast("int").alias("i"))
     common = F.lit(-1).cast("long")  # no node's number
     parts = crowds.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.col("crowd").alias("of"))
@@ -298,7 +310,18 @@ def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFr
     own = large.select("key", "m").join(rest, "key").join(crowds.select("key", F.col("crowd").alias("of"), "parts"), (F.col("m.crowd") == F.col("of")) & large.key.eqNullSafe(crowds.key), "left")
     spot = F.pmod(F.xxhash64("m.node", F.lit(1)), F.coalesce("parts", "rest"))
     dealt = own.select(large.key.alias("key"), part(F.coalesce("of", common), spot).alias("own"), "m").join(met, ["key", "own"])
-    cells = dealt.groupBy("key", "lo", "hi").agg(*(F.collect_list(F.when(F.col("end") == e, F.struct("m.node", F.coalesce("m.crowd", "m.node"), *(f"m.{w}" for w in PRINT)))).alias(e + "_m") for e in ("lo", "hi")))
+    return dealt.select("key", "lo", "hi", "end", "m")
+
+
+def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFrame:
+    """``large`` (key, m struct<node, crowd, ``PRINT``>) -> (u, v): of the pairs of a key's members, but for those of one crowd, that
+    :func:`_close` lets pass, a forest for each cell of :func:`_cells`.
+
+    All pairs are compared, in arrays; so many rows leave a cell as it has members, however many pairs are close. Every node with a
+    close pair is in its cell's forest, and both ends of a close pair are in one tree.
+    """
+    ends = (F.collect_list(F.when(F.col("end") == e, F.struct("m.node", F.coalesce("m.crowd", "m.node"), *(f"m.{w}" for w in PRINT)))).alias(e + "_m") for e in ("lo", "hi"))
+    cells = _cells(large, side).groupBy("key", "lo", "hi").agg(*ends)
     near, near_all = most_apart(BITS, similarity), most_apart(BITS * len(WIDE), similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,6 +329,8 @@ def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFr
             for i in range(b.num_rows):
                 same = b.column(0)[i].as_py()
                 (xn, xc, *xw), (yn, yc, *yw) = ([c.field(k).to_numpy() for k in range(2 + len(PRINT))] for c in (b.column(j)[i].values for j in (1, 1 if same else 2)))
+                shift, us, vs = 0 if same else len(xn), [], []
+                label = np.arange(shift + len(yn))
                 for at in range(0, len(xn), 256):
                     hit = np.bitwise_count(xw[0][at : at + 256, None].view(np.uint64) ^ yw[0][None, :].view(np.uint64)) <= near
                     hit &= xc[at : at + 256, None] != yc[None, :]
@@ -313,20 +338,69 @@ def _grid_pairs(large: DataFrame, similarity: float, side: int = 2048) -> DataFr
                         hit &= xn[at : at + 256, None] < yn[None, :]
                     p, q = np.nonzero(hit)
                     apart = sum(np.bitwise_count(x[at + p].view(np.uint64) ^ y[q].view(np.uint64)).astype(np.int64) for x, y in zip(xw, yw))
-                    u, v = xn[at + p[apart <= near_all]], yn[q[apart <= near_all]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                    p, q = at + p[apart <= near_all], q[apart <= near_all]
+                    rows, starts = np.unique(p, return_index=True)
+                    for row, others in zip(rows.tolist(), np.split(q, starts[1:])):
+                        new = _link(label, row, shift + others) - shift
+                        us.append(np.full(len(new), xn[row]))
+                        vs.append(yn[new])
+                u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (us, vs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
     return cells.select((F.col("lo") == F.col("hi")).alias("same"), "lo_m", "hi_m").mapInArrow(run, "u long, v long")
 
 
+def _family_links(family: DataFrame, nodes: Nodes, similarity: float, side: int = 1024, hashes: int = 1 << 18) -> DataFrame:
+    """``family`` (key, m struct<node, crowd, size, ``PRINT``>) -> (u, v): links of ``similarity`` that join, with those inside crowds,
+    what all such pairs of a family's members join.
+
+    The members' shingles meet in cells of :func:`_cells`. In a cell, a pair that the fingerprints and sizes let pass is decided by its
+    shingles, unless links found before have joined it; the links that join something leave the cell.
+    """
+    sets = save(_sets(nodes, family.select("m.node")), "sets")
+    dealt = _cells(family, side, hashes).select("key", "lo", "hi", (F.col("end") == "lo").alias("first"), "m.*").join(sets, "node")
+    near, near_all = most_apart(BITS, similarity), most_apart(BITS * len(WIDE), similarity)
+    columns = ["node", F.coalesce("crowd", "node").alias("crowd"), *PRINT, "shingles"]
+
+    def run(t: pa.Table) -> pa.Table:
+        first, node = (t[c].to_numpy() for c in ("first", "node"))
+        order = np.lexsort((node, ~first))
+        node, n, us, vs = node[order], len(order), [], []
+        crowd, *w = (t[c].to_numpy()[order] for c in ("crowd", *PRINT))
+        w = [x.view(np.uint64) for x in w]
+        label = np.unique(crowd, return_inverse=True)[1]
+        found = [np.frombuffer(x, np.uint64) for x in t["shingles"].take(pa.array(order)).to_pylist()]
+        size = np.fromiter(map(len, found), np.int64, n)
+        names, ids = np.unique(np.concatenate(found), return_inverse=True)
+        ids, held = np.split(ids, np.cumsum(size)[:-1]), np.zeros(len(names), bool)
+        upto = int(first.sum())
+        for i in range(upto):
+            j = np.arange(i + 1 if upto == n else upto, n)  # one part with itself, or two parts
+            j = j[np.bitwise_count(w[0][i] ^ w[0][j]) <= near]
+            j = j[(label[j] != label[i]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]))]
+            j = j[sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in w) <= near_all]
+            if not len(j):
+                continue
+            held[ids[i]] = True
+            both = np.add.reduceat(held[np.concatenate([ids[k] for k in j])], np.cumsum(size[j]) - size[j], dtype=np.int64)
+            held[ids[i]] = False
+            new = _link(label, i, j[both >= similarity * (size[i] + size[j] - both) - 1e-9])
+            us.append(np.full(len(new), node[i]))
+            vs.append(node[new])
+        u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (us, vs))
+        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+
+    return dealt.select("key", "lo", "hi", "first", *columns).groupBy("key", "lo", "hi").applyInArrow(run, "u long, v long")
+
+
 def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int) -> tuple[DataFrame | None, DataFrame]:
-    """Links found in blocks of over ``group``, and (node, w, crowd): a node's crowd so far, null where it has none.
+    """Links found in blocks of over ``group``, and (node, w, size, crowd): a node's crowd so far, null where it has none.
 
     The members of such a block are compared with one of them, drawn anew in each round, until a round links few. A member that is
     linked joins its crowd, of which the next rounds have one member in each block. Which members meet here decides only what
     need not be compared later, pairs of one crowd: all other pairs of a block are left to :func:`similar_roots`.
     """
-    known, links, turn = nodes.prints.select("node", "w", F.lit(None).cast("long").alias("crowd")), None, 0
+    known, links, turn = nodes.prints.select("node", "w", "size", F.lit(None).cast("long").alias("crowd")), None, 0
     own = F.coalesce("crowd", "node").alias("own")
     while True:
         sizes = _blocks(known, keys).groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", *PRINT)).alias("hub"))
@@ -342,7 +416,7 @@ def _crowds(nodes: Nodes, keys: list[Column], similarity: float, group: int) ->
         joined = found.join(names.toDF("u", "to"), "u").join(names.toDF("v", "own"), "v").where("`to` <> own")
         joined = joined.groupBy("own").agg(F.min("to").alias("to"))
         joined = joined.union(joined.select(F.col("to").alias("own"), "to")).groupBy("own").agg(F.min("to").alias("to"))
-        known = save(known.withColumn("own", own).join(joined, "own", "left").select("node", "w", F.coalesce("to", "crowd").alias("crowd")), "known")
+        known = save(known.withColumn("own", own).join(joined, "own", "left").select("node", "w", "size", F.coalesce("to", "crowd").alias("crowd")), "known")
         if 10 * found.count() < compared:
             return links, known
 
@@ -362,27 +436,39 @@ def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float =
     Fingerprints of such similarity differ in too many bits for blocks that are sure to agree, so blocks are drawn at
     random (:func:`_tables`); pairs that share one are verified by their shingles. Crowds come first (:func:`_crowds`), in the
     ``first`` tables: their members are linked already. Then, in all tables, all members of a block are compared pair by pair, but
-    for pairs of one crowd; in blocks over ``group`` by cells of a grid. No pair that shares a block and could link
-    anything anew is left out, however large the block or the crowd.
+    for pairs of one crowd. In blocks over ``group`` this is done in arrays: the nodes that have close pairs there are families
+    (:func:`_grid_pairs`), of whose pairs all are verified, each once, where their shingles meet (:func:`_family_links`). So no
+    row is made for a pair of a family. The pairs of smaller blocks that are of no one family are rows. No pair that shares a block
+    and could link anything anew is left out, however large the block, the crowd or the family.
     """
     keys = _tables(n, similarity, recall)
     # bounds three deviations off, on the first word and then on the whole fingerprint, leave few pairs to fetch sketches for
     links, known = _crowds(nodes, keys[:first], similarity, group)
-    blocks = known.select("node", "crowd", *(F.get("w", F.lit(i)).alias(w) for i, w in enumerate(PRINT)), F.explode(F.array(*keys)).alias("key"))
-    sizes = save(blocks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
-    members = blocks.join(sizes.where(F.col("n") <= group).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "crowd", *PRINT))).alias("f"))
-    pairs = members.select(
+    words = [F.get("w", F.lit(i)).alias(w) for i, w in enumerate(PRINT)]
+    blocked = lambda *names: known.select("node", *names, *words, F.explode(F.array(*keys)).alias("key"))
+    sizes = save(blocked().groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
+    if sizes.where(F.col("n") > group).isEmpty():
+        known = known.withColumn("family", F.lit(None).cast("long"))
+    else:
+        large = blocked("crowd").join(sizes.where(F.col("n") > group).select("key"), "key").select("key", F.struct("node", "crowd", *PRINT).alias("m"))
+        trees = connected_components(_grid_pairs(large, similarity))
+        families = trees.select("node", F.col("root").alias("family")).union(trees.select("root", "root").distinct())
+        known = save(known.join(families, "node", "left"), "families")
+        members = known.where("family IS NOT NULL").select(F.col("family").alias("key"), F.struct("node", "crowd", "size", *words).alias("m"))
+        found = save(_family_links(members, nodes, similarity), "family_links")
+        links = found if links is None else links.union(found)
+    blocks = blocked("crowd", "family").join(sizes.where(F.col("n") <= group).select("key"), "key")
+    blocks = blocks.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "crowd", "family", *PRINT))).alias("f"))
+    apart = "coalesce(x.crowd <> y.crowd, true) AND coalesce(x.family <> y.family, true)"
+    pairs = blocks.select(
         F.explode(
             F.expr(
                 f"""flatten(transform(f, (x, i) -> transform(
-                      filter(slice(f, i + 2, {group}), y -> coalesce(x.crowd <> y.crowd, true) AND {_close('x.', 'y.', similarity)}),
+                      filter(slice(f, i + 2, {group}), y -> {apart} AND {_close('x.', 'y.', similarity)}),
                       y -> struct(x.node AS u, y.node AS v))))"""
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    large = blocks.join(sizes.where(F.col("n") > group), "key").select("key", "n", F.struct("node", "crowd", *PRINT).alias("m"))
-    if not sizes.where(F.col("n") > group).isEmpty():
-        pairs = pairs.union(_grid_pairs(large, similarity))
     pairs = save(pairs.distinct(), "pairs")
     last = verified(pairs, nodes, similarity)
     return connected_components(last if links is None else links.union(last))

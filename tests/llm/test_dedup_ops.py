@@ -281,3 +281,40 @@ def test_each_member_of_a_crowd_meets_the_others(spark, side, monkeypatch):
     monkeypatch.setattr(simhash, "similar_roots", lambda nodes, n, s: whole(nodes, n, s, group=4))
     got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
     assert all(got[i] == -1 for i in range(60)) and sum(got[1000 + i] == -1 for i in only) >= 0.97 * len(only)
+
+
+@pytest.mark.parametrize("side", [40, 1024])
+def test_families_of_near_copies_make_no_row_for_each_pair(spark, side, monkeypatch):
+    """One text with one to five words changed: about half of the pairs are alike enough, and others nearly so."""
+    made, saved, whole, families = {}, simhash.save, simhash.similar_roots, simhash._family_links
+
+    def save(df, tag, rows=None):
+        out = saved(df, tag, rows)
+        made[tag] = max(made.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "save", save)
+    monkeypatch.setattr(components, "save", save)
+    monkeypatch.setattr(simhash, "similar_roots", lambda nodes, n, s: whole(nodes, n, s, group=4))
+    monkeypatch.setattr(simhash, "_family_links", lambda family, nodes, s: families(family, nodes, s, side, 100 * side))
+    for n in (80, 240):
+        r = random.Random(n)
+        centre, rows = words(r, 150).split(), []
+        for i in range(n):
+            t = list(centre)
+            for at in r.sample(range(150), r.choice((1, 2, 3, 4, 5))):
+                t[at] = words(r, 1) + str(r.randrange(10**6))
+            rows.append((i, " ".join(t)))
+        rows += [(1000 + i, words(r, 60)) for i in range(n)]
+        label = {i: i for i, _ in rows}
+        sets = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows[:n]]
+        for a in range(n):
+            for b in range(a):
+                if label[a] != label[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    old, new = max(label[a], label[b]), min(label[a], label[b])
+                    label = {k: new if v == old else v for k, v in label.items()}
+        assert len(set(label.values())) > n + 2
+        made.clear()
+        got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
+        assert got == label
+        assert max(made["pairs"], made["candidates"], made["edges"]) < 20 * n and made["family_links"] > 0, made
