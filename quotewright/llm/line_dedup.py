@@ -82,7 +82,7 @@ def drop_spread_lines(
     lines = lines.withColumn(lost, F.length("line") + 1).withColumn("line", line).where("line <> ''").select(id_, digest, own_length, lost, "site", "pos", *_key(F.col("line")))
     spread = save(spread_lines(lines, least_sites), "lines")
     # a line may be in any share of all documents: its rows are dealt to `salts` keys
-    salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")  # no broadcast: Spark sizes it as before explode
     hits = lines.withColumn("salt", F.pmod(F.xxhash64(id_, "pos"), F.lit(salts)).cast("int")).join(salted, [*KEY, "salt"], "left_semi")
     hits = hits.select(id_, digest, own_length, lost, "pos").distinct().groupBy(id_, digest)
     hits = hits.agg(F.collect_list("pos").alias(hit), F.max(own_length).alias(own_length), F.sum(lost).alias(lost))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quotewright.llm.common import SAVED, mix, release, save
 from quotewright.llm.components import connected_components
+from quotewright.llm.ranking import SMALL
 
 BITS = 64
 
@@ -81,7 +82,7 @@ def close_pairs(fps: DataFrame, distance: int = 2, blocks: int = 4, group: int =
         raise ValueError("distance must be 1 or 2")
     keyed = fps.select("fp", F.explode(F.array(*_block_keys(F.col("fp"), distance, blocks))).alias("key"))
     sizes = save(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
-    small = keyed.join(sizes.where(F.col("n") <= group).select("key"), "key").repartition("key")
+    small = keyed.join(sizes.where(F.col("n") <= group), "key", "left_semi").repartition("key")
     members = small.groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("f"))
     pairs = members.select(
         F.explode(
@@ -92,7 +93,7 @@ def close_pairs(fps: DataFrame, distance: int = 2, blocks: int = 4, group: int =
             )
         ).alias("e")
     ).select("e.u", "e.v")
-    large = keyed.join(sizes.where(F.col("n") > group).select("key"), "key").select("fp").distinct()
+    large = keyed.join(sizes.where(F.col("n") > group), "key", "left_semi").select("fp").distinct()
     near = F.expr(f"concat(array(fp), transform(sequence(0, {BITS - 1}), b -> fp ^ shiftleft(1L, b)))")
     shared = large.select("fp", F.explode(near).alias("near")).groupBy("near").agg(F.collect_list("fp").alias("f"))
     stars = shared.where(F.size("f") > 1).select(F.array_min("f").alias("u"), F.explode("f").alias("v")).where(
@@ -303,11 +304,12 @@ def _cells(large: DataFrame, side: int, hashes: int | None = None) -> DataFrame:
     common = F.lit(-1).cast("long")  # no node's number
     parts = crowds.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.col("crowd").alias("of"))
     parts = parts.union(rest.where("rest > 0").select("key", F.explode(F.sequence(F.lit(0), F.col("rest") - 1)).alias("i"), common))
-    parts = parts.select("key", part(F.col("of"), F.col("i")).alias("part"))
+    parts = save(parts.select("key", part(F.col("of"), F.col("i")).alias("part")), "parts")  # saved: Spark knows how many they are
     met = parts.toDF("key", "lo").join(parts.toDF("key", "hi"), "key").where("lo <= hi AND (lo.crowd <> hi.crowd OR lo.crowd = -1)")
     ends = F.array(F.struct(F.col("lo").alias("own"), F.lit("lo").alias("end")), F.struct(F.col("hi").alias("own"), F.lit("hi").alias("end")))
     met = save(met.select("key", "lo", "hi", F.explode(ends).alias("e")).select("key", "lo", "hi", "e.*").where("lo <> hi OR end = 'lo'"), "cells")
-    own = large.select("key", "m").join(rest, "key").join(crowds.select("key", F.col("crowd").alias("of"), "parts"), (F.col("m.crowd") == F.col("of")) & large.key.eqNullSafe(crowds.key), "left")
+    met = met if met.count() <= SMALL else met.hint("merge")  # cells take far less room on disk than in a broadcast
+    own = large.select("key", "m").join(rest, "key", "left").join(crowds.select("key", F.col("crowd").alias("of"), "parts"), (F.col("m.crowd") == F.col("of")) & large.key.eqNullSafe(crowds.key), "left")
     spot = F.pmod(F.xxhash64("m.node", F.lit(1)), F.coalesce("parts", "rest"))
     dealt = own.select(large.key.alias("key"), part(F.coalesce("of", common), spot).alias("own"), "m").join(met, ["key", "own"])
     return dealt.select("key", "lo", "hi", "end", "m")
@@ -445,19 +447,20 @@ def similar_roots(nodes: Nodes, n: int, similarity: float = 0.8, recall: float =
     # bounds three deviations off, on the first word and then on the whole fingerprint, leave few pairs to fetch sketches for
     links, known = _crowds(nodes, keys[:first], similarity, group)
     words = [F.get("w", F.lit(i)).alias(w) for i, w in enumerate(PRINT)]
+    # Spark takes rows made by explode for as many as went in; it can broadcast only the right side of a semi-join, so they stay on the left
     blocked = lambda *names: known.select("node", *names, *words, F.explode(F.array(*keys)).alias("key"))
     sizes = save(blocked().groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "blocks")
     if sizes.where(F.col("n") > group).isEmpty():
         known = known.withColumn("family", F.lit(None).cast("long"))
     else:
-        large = blocked("crowd").join(sizes.where(F.col("n") > group).select("key"), "key").select("key", F.struct("node", "crowd", *PRINT).alias("m"))
+        large = blocked("crowd").join(sizes.where(F.col("n") > group), "key", "left_semi").select("key", F.struct("node", "crowd", *PRINT).alias("m"))
         trees = connected_components(_grid_pairs(large, similarity))
         families = trees.select("node", F.col("root").alias("family")).union(trees.select("root", "root").distinct())
         known = save(known.join(families, "node", "left"), "families")
         members = known.where("family IS NOT NULL").select(F.col("family").alias("key"), F.struct("node", "crowd", "size", *words).alias("m"))
         found = save(_family_links(members, nodes, similarity), "family_links")
         links = found if links is None else links.union(found)
-    blocks = blocked("crowd", "family").join(sizes.where(F.col("n") <= group).select("key"), "key")
+    blocks = blocked("crowd", "family").join(sizes.where(F.col("n") <= group), "key", "left_semi")
     blocks = blocks.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "crowd", "family", *PRINT))).alias("f"))
     apart = "coalesce(x.crowd <> y.crowd, true) AND coalesce(x.family <> y.family, true)"
     pairs = blocks.select(

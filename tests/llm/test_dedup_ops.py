@@ -318,3 +318,44 @@ def test_families_of_near_copies_make_no_row_for_each_pair(spark, side, monkeypa
         got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, rows)).collect()}
         assert got == label
         assert max(made["pairs"], made["candidates"], made["edges"]) < 20 * n and made["family_links"] > 0, made
+
+
+def broadcast_explodes(df):
+    """The lines of the plan of ``df`` that make rows by explode inside a broadcast, without a shuffle between."""
+    found, inside, past = [], [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        inside, past = ([d for d in at if d < depth] for at in (inside, past))
+        name = line[depth:].split(" ")[0]
+        if name == "BroadcastExchange":
+            inside, past = [*inside, depth], []
+        elif name == "Exchange":
+            past.append(depth)
+        elif name == "Generate" and " explode(" in line and inside and not past:
+            found.append(line.strip()[:200])
+    return found
+
+
+def test_exploded_rows_are_never_broadcast(spark, monkeypatch):
+    """Spark takes rows made by explode for as many as went in: a few MB of blocks' members made broadcasts of 1.6 GB."""
+    found, planned, saved = [], [], simhash.save
+
+    def save(df, tag, rows=None):
+        planned.append(tag)
+        found.extend(f"{tag}: {x}" for x in broadcast_explodes(df))
+        return saved(df, tag, rows)
+
+    n, r = 3000, np.random.default_rng(5)
+    w = r.integers(-(1 << 63), 1 << 63, (n, 4 + 64), dtype=np.int64).tolist()
+    prints = spark.createDataFrame([(i, x[:4], 100, x[4:], False, i, i) for i, x in enumerate(w)], "node long, w array<long>, size long, sketch array<long>, no_id boolean, id long, text_hash long")
+    prints, none = saved(prints, "prints"), docs(spark, [])
+    for module in (simhash, line_dedup, components):
+        monkeypatch.setattr(module, "save", save)
+    assert simhash.similar_roots(simhash.Nodes(prints, none, "doc_id", "text", 5), n, group=4).isEmpty()
+    fps = saved(prints.select(F.get("w", F.lit(0)).alias("fp")), "fps")
+    found += broadcast_explodes(simhash.close_pairs(fps.select(F.expr("fp & 65535").alias("fp")).distinct()))
+    pages = spark.createDataFrame([(i, f"everywhere\nonly {i}", f"s{i % 20}") for i in range(200)], "doc_id long, text string, source string")
+    cleaned = line_dedup.drop_spread_lines(saved(pages, "pages"))
+    found += broadcast_explodes(cleaned)
+    assert {"hubs", "blocks", "pairs", "cells", "lines"} <= {*planned} and not found, found
+    assert {x.text for x in cleaned.collect()} == {f"only {i}" for i in range(200)}
