@@ -8,6 +8,7 @@ import math
 import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 #: Tables that :func:`save` has written and nothing has removed, in order.
 SAVED: list[str] = []
+#: Tables written, in all; after so many each time the driver drops what it holds for plans that are gone.
+WRITTEN, CLEAN_AFTER = count(1), 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +59,8 @@ def save(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
     SAVED.append(path)
+    if not next(WRITTEN) % CLEAN_AFTER:
+        clean(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,8 +72,14 @@ def release(spark: SparkSession, since: int) -> None:
     for path in SAVED[since:-1]:
         _remove(spark, path)
     del SAVED[since:-1]
+    clean(spark)
+
+
+def clean(spark: SparkSession) -> None:
+    """Drops what the driver holds for plans that are gone; Spark then clears their shuffles and broadcasts. Many short queries in a
+    row otherwise let the driver's heap grow as far as it may, whatever the input's size."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()  # Spark clears the shuffles of plans that are gone
+    spark.sparkContext._jvm.System.gc()
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quotewright.llm import components, line_dedup, simhash, suffix_dedup
+from quotewright.llm import common, components, line_dedup, simhash, suffix_dedup
 
 DOCS = "doc_id long, text string, source string, fp long, part int, site string"
 
@@ -359,3 +359,11 @@ def test_exploded_rows_are_never_broadcast(spark, monkeypatch):
     found += broadcast_explodes(cleaned)
     assert {"hubs", "blocks", "pairs", "cells", "lines"} <= {*planned} and not found, found
     assert {x.text for x in cleaned.collect()} == {f"only {i}" for i in range(200)}
+
+
+def test_the_driver_is_cleaned_between_many_queries(spark, monkeypatch):
+    asked, cleaned = [], common.clean
+    monkeypatch.setattr(common, "clean", lambda s: asked.append(cleaned(s)))
+    for _ in range(2 * common.CLEAN_AFTER):
+        common.save(spark.range(1), "one")
+    assert len(asked) == 2
